@@ -70,7 +70,9 @@ def similarity_column(left: Column, right: Column) -> Column:
             out[filled] = scores[groups.to_numpy()]
         return out
 
-    return similarity(left, right)
+    # Declared nondeterministic so that the optimizer keeps filters where they are: cheap ones before the call, those
+    # on its result after it, and no second evaluation.
+    return similarity.asNondeterministic()(left, right)
 
 
 def required_jaro(threshold: float, prefix: int) -> float:

@@ -50,22 +50,30 @@ def _oriented(joined: DataFrame, self_join: bool) -> DataFrame:
                            for a, b in (("l_", "r_"), ("r_", "l_")) for n in names])
 
 
+def _shares(spec: IdentitySpec, profile: str) -> list[tuple[str, Column]]:
+    """(key type, condition that both sides of a pair share the key)."""
+    if profile == "incremental":
+        keys = zip(key_columns(spec, profile, "l_"), key_columns(spec, profile, "r_"))
+        return [(name, l == r) for (name, l), (_, r) in keys]
+    return [(spec.key_name(parts), reduce(lambda a, b: a & b, [F.col(f"l_n_{p}") == F.col(f"r_n_{p}") for p in parts]))
+            for parts in spec.blocking]
+
+
 def _first_shared_key(spec: IdentitySpec, profile: str) -> Column:
-    l, r = key_columns(spec, profile, "l_"), key_columns(spec, profile, "r_")
-    return F.coalesce(*[F.when(lk == rk, F.lit(name)) for (name, lk), (_, rk) in zip(l, r)])
+    return F.coalesce(*[F.when(shared, F.lit(name)) for name, shared in _shares(spec, profile)])
 
 
 def shared_keys(spec: IdentitySpec, profile: str = "batch") -> Column:
     """All key types that the two sides of a pair share."""
-    l, r = key_columns(spec, profile, "l_"), key_columns(spec, profile, "r_")
-    return F.filter(F.array(*[F.when(lk == rk, F.lit(name)) for (name, lk), (_, rk) in zip(l, r)]),
+    return F.filter(F.array(*[F.when(shared, F.lit(name)) for name, shared in _shares(spec, profile)]),
                     lambda k: k.isNotNull())
 
 
 def block_pairs(keyed: DataFrame, spec: IdentitySpec, profile: str = "batch") -> DataFrame:
     """All pairs of the given blocks, each once: `l_*` and `r_*` columns."""
     keys = ("key_type", "key_value")
-    joined = _renamed(keyed, "l_", keys).join(_renamed(keyed, "r_", keys), list(keys))
+    # A shuffled join even on small input: the pairs are many more than the rows, and both sides reuse one exchange.
+    joined = _renamed(keyed, "l_", keys).hint("merge").join(_renamed(keyed, "r_", keys), list(keys))
     return joined.where(_ordered() & (_first_shared_key(spec, profile) == F.col("key_type"))).drop(*keys)
 
 
