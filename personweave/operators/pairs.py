@@ -93,20 +93,12 @@ def _lowest_weight(spec: IdentitySpec, agreed: int, present: int) -> float:
                for i, f in enumerate(spec.fields) if present >> i & 1)
 
 
-def _partner_masks(spec: IdentitySpec, floor: float) -> Column:
-    """For a row's `agreed` and `mask`: the partner masks with which every pair reaches the floor."""
+def _is_certain(spec: IdentitySpec, floor: float, agreed: Column, present: Column) -> Column:
+    """True where pairs that agree on the fields `agreed`, with the fields `present` on both sides, reach the floor."""
     size = 1 << len(spec.fields)
-    free = {}
-    for agreed, mask in product(range(size), range(size)):
-        if agreed & mask == agreed:
-            masks = [other for other in range(size) if agreed & other == agreed
-                     and _lowest_weight(spec, agreed, mask & other) >= floor]
-            if masks:
-                free[agreed * size + mask] = masks
-    if not free:
-        return F.array().cast("array<int>")
-    entries = [x for k, masks in free.items() for x in (F.lit(k), F.array(*[F.lit(m) for m in masks]))]
-    return F.element_at(F.create_map(*entries), F.col("agreed") * size + F.col("mask"))
+    codes = [a * size + p for a, p in product(range(size), range(size))
+             if a & p == a and _lowest_weight(spec, a, p) >= floor]
+    return (agreed * size + present).isin(codes) if codes else F.lit(False)
 
 
 def _certain(level: DataFrame, spec: IdentitySpec, floor: float, links: bool) -> DataFrame:
@@ -116,8 +108,11 @@ def _certain(level: DataFrame, spec: IdentitySpec, floor: float, links: bool) ->
         row = F.struct(*[c for c in level.columns if c not in ("block", "side", "mask")])
         hub = level.groupBy("block", "side", "mask").agg(F.min_by(row, F.col("vid")).alias("hub"))
         partners = hub.select("block", "side", "mask", "hub.*")
+    agreed, mask = F.col("agreed"), F.col("mask")
+    masks = F.filter(F.sequence(F.lit(0), F.lit((1 << len(spec.fields)) - 1)), lambda other: (
+        (other.bitwiseAND(agreed) == agreed) & _is_certain(spec, floor, agreed, mask.bitwiseAND(other))))
     slices = F.greatest(F.ceil(F.col("block_rows") / ROWS_PER_SLICE), F.lit(1)).cast("int")
-    partners = (partners.withColumn("partner_mask", F.explode(_partner_masks(spec, floor)))
+    partners = (partners.withColumn("partner_mask", F.explode(masks))
                 .withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))))
     rows = (level.withColumn("partner_mask", F.col("mask"))
             .withColumn("slice", F.pmod(F.xxhash64("vid"), slices).cast("int")))
@@ -130,6 +125,14 @@ def _certain(level: DataFrame, spec: IdentitySpec, floor: float, links: bool) ->
     return across.where(_ordered())
 
 
+def _undecided(level: DataFrame, spec: IdentitySpec, floor: float) -> DataFrame:
+    """Rows with at least one possible partner in their block for which the floor is not certain."""
+    masks = level.groupBy("block").agg(F.collect_set("mask").alias("_masks"))
+    agreed, mask = F.col("agreed"), F.col("mask")
+    open_pair = F.exists("_masks", lambda other: ~_is_certain(spec, floor, agreed, mask.bitwiseAND(other)))
+    return level.join(masks, "block").where(open_pair).drop("_masks")
+
+
 def _sub_blocks(level: DataFrame, similar: DataFrame, spec: IdentitySpec) -> DataFrame:
     """Split blocks by one further agreeing field; fields are taken in order, so a set of fields is met once."""
     values = [F.struct(F.lit(i).alias("index"), F.lit(1 << i).alias("bit"), F.lit(f.name).alias("field"),
@@ -190,13 +193,16 @@ def _refined(large: DataFrame, spec: IdentitySpec, profile: str, floor: float, l
         F.concat_ws(SEPARATOR, "key_type", "key_value").alias("block"),
         agreed[F.col("key_type")].alias("agreed"), F.lit(-1).alias("last")), "level")
     similar = _similar_in(level, spec)
+    # Pairs that were certain one step earlier have been found there.
+    before = F.col("l_agreed") - F.pow(F.lit(2.0), F.col("l_last")).cast("int")
+    done = _is_certain(spec, floor, before, F.col("l_mask").bitwiseAND(F.col("r_mask")))
     found = []
     for _ in range(len(spec.fields) + 1):
         found.append(_certain(level, spec, floor, links))
-        sub = scratch_table(_with_sizes(_sub_blocks(level, similar, spec)), "level")
+        sub = scratch_table(_with_sizes(_sub_blocks(_undecided(level, spec, floor), similar, spec)), "level")
         small = sub.where(F.col("block_rows") <= spec.block_limit)
         pairs = _renamed(small, "l_", ("block",)).join(_renamed(small, "r_", ("block",)), "block").drop("block")
-        found.append(pairs.where(_ordered()))
+        found.append(pairs.where(_ordered() & ~done))
         level = sub.where(F.col("block_rows") > spec.block_limit)
         if level.isEmpty():
             break
