@@ -8,23 +8,19 @@ from pyspark.sql import functions as F
 from personweave.sources.scratch import scratch_table
 
 
-def _toward_minimum(edges: DataFrame, larger_only: bool) -> DataFrame:
-    """Link the neighbours of every node to the smallest of them (Kiveris et al., 2014).
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link the larger neighbours of every node to the smallest node among its neighbours and itself."""
+    around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    return (around.join(least, "a").where(F.col("b") > F.col("a"))
+            .select(F.col("b").alias("a"), F.col("m").alias("b")))
 
-    `edges` has a > b. Large star (`larger_only`) takes all neighbours and re-links the larger ones, small star takes
-    the smaller neighbours and the node itself. Minima are aggregated before the shuffle; the join back has one row
-    per node on one side, so a node with very many neighbours only makes the other side long.
-    """
-    if larger_only:
-        around = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        linked = around.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        linked = edges.join(least, "a").select(
-            F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
-                              F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-    return linked.where(F.col("a") > F.col("b")).distinct()
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link every node and its smaller neighbours to the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.where(F.col("a") > F.col("b")).unionByName(least.withColumnRenamed("m", "b")).distinct()
 
 
 def _unfinished(edges: DataFrame) -> bool:
@@ -38,13 +34,14 @@ def _unfinished(edges: DataFrame) -> bool:
 def connected_components(vertices: DataFrame, edges: DataFrame, vertex: str = "rec_id") -> DataFrame:
     """`vertex`, `component`: the smallest vertex connected with it. `edges` has `left_id`, `right_id`.
 
-    Alternates small and large star until every component is a star; each round is written out, so plans stay short
-    and a lost executor costs one round at most.
+    Alternates large and small star (Kiveris et al., 2014) until every component is a star. Minima are aggregated
+    before the shuffle, and the join back has one row per node on one side, so a node with very many neighbours only
+    makes the other side long. Each round is written out: plans stay short, and a lost executor costs one round at most.
     """
     low, high = F.least("left_id", "right_id"), F.greatest("left_id", "right_id")
     stars = scratch_table(edges.select(high.alias("a"), low.alias("b")).where(F.col("a") > F.col("b")).distinct(), "edges")
     while _unfinished(stars):
-        stars = scratch_table(_toward_minimum(_toward_minimum(stars, True), False), "stars")
+        stars = scratch_table(_small_star(_large_star(stars)), "stars")
     return (vertices.select(vertex).join(stars.withColumnRenamed("a", vertex), vertex, "left")
             .select(vertex, F.coalesce("b", vertex).alias("component")))
 

@@ -127,6 +127,9 @@ def merged_entities(candidates: DataFrame, spec: IdentitySpec, locks: DataFrame
     first = strong.groupBy("left_id").agg(F.min("entity_id").alias("first"))
     edges = (strong.join(first, "left_id").where(F.col("entity_id") != F.col("first"))
              .select(F.col("first").alias("left_id"), F.col("entity_id").alias("right_id")).distinct())
+    edges = scratch_table(edges, "merges")
+    if edges.isEmpty():
+        return edges.select(F.col("left_id").alias("entity_id"), F.col("right_id").alias("survivor"))
     nodes = edges.select(F.col("left_id").alias("entity_id")).unionByName(
         edges.select(F.col("right_id").alias("entity_id"))).distinct()
     found = connected_components(nodes, edges, "entity_id").withColumnRenamed("component", "survivor")
@@ -185,10 +188,14 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     valid, errors = reject_invalid(cdc_inserts(changes), spec)
     latest = last_per_key(valid.select(*STAGED_COLUMNS, "_seq"), ["source_system", "external_id"], "_seq")
     records = scratch_table(prepare_records(latest, spec), "changes")
+    columns = [c for c in graph.members.columns if c != "updated_version"]
 
-    known = resolve_known(records, graph.crosswalk()).select(
+    # One scan of the stored members finds the known records; what follows uses this small table.
+    stored = scratch_table(graph.members.select("rec_id", "source_system", F.col("external_id").alias("source_id"), "entity_id")
+                           .join(records.select("rec_id"), "rec_id", "left_semi"), "known")
+    known = resolve_known(records, stored).select(
         "rec_id", "source_system", "external_id", "entity_id", "is_new", "matched_source", "confidence")
-    unknown = records.join(graph.members.select("rec_id"), "rec_id", "left_anti")
+    unknown = records.join(stored.select("rec_id"), "rec_id", "left_anti")
     profiles = scratch_table(collapse_profiles(unknown, spec), "new-profiles")
     assigned, merges = _assign_new(unknown, profiles, graph, spec, profile)
     known = (known.join(merges, "entity_id", "left").withColumn("entity_id", F.coalesce("survivor", "entity_id"))
@@ -196,41 +203,40 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     resolved = scratch_table(known.unionByName(assigned), "resolved")
 
     # Changed member rows: the batch itself, and all members of absorbed entities.
-    columns = [c for c in graph.members.columns if c != "updated_version"]
-    incoming = records.join(resolved.select("rec_id", "entity_id"), "rec_id").select(*columns)
+    changed = records.join(resolved.select("rec_id", "entity_id"), "rec_id").select(*columns)
+    before = stored.select("source_system", "source_id", "entity_id")
     if not merges.isEmpty():
-        moved = (graph.members.join(merges, "entity_id").withColumn("entity_id", F.col("survivor"))
-                 .join(records.select("rec_id"), "rec_id", "left_anti").select(*columns))
-        incoming = incoming.unionByName(moved)
-    changed = scratch_table(incoming, "changed-members")
-
-    touched = changed.select("entity_id").distinct()
-    removed = changed.select(*columns).where(F.lit(False))
+        moved = scratch_table(graph.members.select(*columns).join(merges, "entity_id")
+                              .join(records.select("rec_id"), "rec_id", "left_anti"), "moved")
+        changed = changed.unionByName(moved.withColumn("entity_id", F.col("survivor")).select(*columns))
+        before = before.unionByName(_links(moved))
+    changed = scratch_table(changed, "changed-members")
+    touched, seen = changed.select("entity_id"), changed.select("rec_id")
+    removed = changed.where(F.lit(False))
     if tombstone:
-        gone = _deleted_records(changes).join(changed.select("rec_id"), "rec_id", "left_anti")
+        gone = _deleted_records(changes).join(seen, "rec_id", "left_anti")
         removed = scratch_table(graph.members.select(*columns).join(gone, "rec_id", "left_semi"), "removed-members")
-        touched = touched.unionByName(removed.select("entity_id")).distinct()
-    kept = (graph.members.select(*columns).join(touched, "entity_id", "left_semi")
-            .join(changed.select("rec_id").unionByName(removed.select("rec_id")), "rec_id", "left_anti"))
-    refreshed = golden_records(kept.unionByName(changed), spec, as_of)
-    stored = graph.golden.select(*refreshed.columns).join(refreshed.select("entity_id"), "entity_id", "left_semi")
+        touched, seen = touched.unionByName(removed.select("entity_id")), seen.unionByName(removed.select("rec_id"))
+        before = before.unionByName(_links(removed))
+
+    # Golden records of touched entities, from all of their members.
+    touched = scratch_table(touched.distinct(), "touched")
+    kept = (graph.members.select(*columns).join(touched, "entity_id", "left_semi").join(seen, "rec_id", "left_anti"))
+    current = scratch_table(kept.unionByName(changed), "touched-members")
+    refreshed = golden_records(current, spec, as_of)
+    previous = scratch_table(graph.golden.select(*refreshed.columns).join(touched, "entity_id", "left_semi"), "old-golden")
     if graph.locks is not None:
-        locked = graph.locks.select("entity_id").distinct()
-        refreshed = refreshed.join(stored.join(locked, "entity_id", "left_semi").select("entity_id"), "entity_id", "left_anti")
-    golden = scratch_table(upsert_golden(stored, refreshed), "changed-golden")
+        locked = previous.select("entity_id").join(graph.locks.select("entity_id"), "entity_id", "left_semi")
+        refreshed = refreshed.join(locked, "entity_id", "left_anti")
+    golden = scratch_table(upsert_golden(previous, refreshed), "changed-golden")
 
     canonical = golden.select("entity_id", F.struct(*ATTRIBUTES).alias("canonical_data"))
     results = resolved.join(canonical, "entity_id", "left").select(
         "source_system", "external_id", "entity_id", "is_new", "matched_source", "confidence", "canonical_data")
-    seen = changed.select("rec_id").unionByName(removed.select("rec_id"))
-    before = _links(graph.members.join(seen, "rec_id", "left_semi"))
-    events = entity_history(before, _links(changed), version)
     # Compared on the changed records only, an entity looks new when none of them was in it: keep the truly new ones.
-    stored_ids = events.where(F.col("event") == "created").join(graph.golden, "entity_id", "left_semi").select(
-        "entity_id", "event")
-    events = events.join(stored_ids, ["entity_id", "event"], "left_anti")
-    emptied = removed.select("entity_id").distinct().join(
-        kept.select("entity_id").unionByName(changed.select("entity_id")), "entity_id", "left_anti")
+    existing = previous.select("entity_id", F.lit("created").alias("event"))
+    events = entity_history(before, _links(changed), version).join(existing, ["entity_id", "event"], "left_anti")
+    emptied = removed.select("entity_id").distinct().join(current, "entity_id", "left_anti")
     ended = merges.select("entity_id").unionByName(emptied)
     return BatchResult(results, errors, changed, golden, removed, ended, events)
 
