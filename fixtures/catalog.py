@@ -106,7 +106,7 @@ class Run:
     @cached_property
     def new_profiles(self) -> DataFrame:
         """Profiles of changed records that the graph does not know."""
-        records = normalize.prepare_records(upsert.cdc_inserts(self.changes), self.spec)
+        records = normalize.prepare_records(upsert.cdc_inserts(self.changes), self.spec, "incremental")
         unknown = records.join(self.resolution1.members.select("rec_id"), "rec_id", "left_anti")
         return scratch_table(normalize.collapse_profiles(unknown, self.spec), "new-profiles")
 
@@ -606,7 +606,8 @@ UNKNOWN = dict(
     changed=CHANGED,
     new_norm=f"""select source_system || ':' || external_id as rec_id, {sql.STAGED}, {sql.normal()} from changed
       where _action = 'INSERT' and source_system || ':' || external_id not in (select rec_id from members1)""",
-    new_prof=f"select min(rec_id) as vid, count(*) as n, {sql.N} from new_norm group by {sql.N}",
+    new_prof=f"""select min(rec_id) as vid, count(*) as n, {sql.N} from new_norm group by {sql.N},
+      case when {sql.SELF_WEIGHT} >= 8 and {sql.HAS_INCREMENTAL_KEY} then '' else rec_id end""",
     stored=f"select min(rec_id) as vid, entity_id, {sql.N} from members1 group by entity_id, {sql.N}",
     new_keys=sql.INCREMENTAL_KEY_SQL.format(id="vid", t="new_prof"),
     stored_keys=sql.INCREMENTAL_KEY_SQL.format(id="vid", t="stored"),

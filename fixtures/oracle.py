@@ -36,6 +36,10 @@ WEIGHT = " + ".join(
     for f, (w, m, u) in PARAMETERS.items())
 SELF_WEIGHT = " + ".join(
     f"case when n_{f} is not null then {w} * log2({m} / {u}) else 0 end" for f, (w, m, u) in PARAMETERS.items())
+HAS_KEY = ("(n_email is not null or n_phone is not null or (n_last_name is not null and n_first_name is not null) "
+           "or (n_company_name is not null and n_last_name is not null))")
+HAS_INCREMENTAL_KEY = "(n_email is not null or n_phone is not null or (n_last_name is not null and n_first_name is not null))"
+COPIES_MATCH = f"({SELF_WEIGHT}) >= 8 and {HAS_KEY}"
 CONFIDENCE = ("case when weight >= 8 then 1 - 0.1 * pow(2.0, 8 - weight) when weight >= 4 then 0.7 + 0.2 * (weight - 4) / 4 "
               "when weight > -5 then 0.7 * (weight + 5) / 9 else 0 end")
 SOURCES = ("crm_contacts", "billing_accounts", "support_users", "app_signups", "partner_leads")
@@ -106,7 +110,7 @@ CTES["unified"] = " union all ".join(f"select * from stg_{s}" for s in ("crm", "
 CTES["nick"] = "select * from (values " + ", ".join(f"('{a}', '{b}')" for a, b in NICKNAMES.items()) + ") t(alias, formal)"
 CTES["norm"] = f"select source_system || ':' || external_id as rec_id, {STAGED}, {normal()} from unified"
 CTES["prof"] = f"""select min(rec_id) as vid, count(*) as n, {N} from norm
-  group by {N}, case when {SELF_WEIGHT} >= 8 then '' else rec_id end"""
+  group by {N}, case when {COPIES_MATCH} then '' else rec_id end"""
 KEY_SQL = """select {id}, 'email' as key_type, n_email as key_value from {t} where n_email is not null
   union all select {id}, 'phone', n_phone from {t} where n_phone is not null
   union all select {id}, 'last_name+first_name', n_last_name || chr(31) || n_first_name from {t}
@@ -136,7 +140,7 @@ CTES["members"] = f"""select m.*, sha256(c.component) as entity_id from norm m
   join prof p on m.n_email is not distinct from p.n_email and m.n_phone is not distinct from p.n_phone
    and m.n_first_name is not distinct from p.n_first_name and m.n_last_name is not distinct from p.n_last_name
    and m.n_company_name is not distinct from p.n_company_name
-   and (({SELF_WEIGHT.replace('n_', 'm.n_')}) >= 8 or p.vid = m.rec_id)
+   and (({COPIES_MATCH.replace('n_', 'm.n_')}) or p.vid = m.rec_id)
   join comp c on c.vid = p.vid"""
 CTES["survived"] = f"""select entity_id, {complete('first_name')} as first_name, {complete('last_name')} as last_name,
   {complete('email')} as email, {by_priority('phone', ('crm_contacts', 'support_users'))} as phone,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from personweave.functions.text import normal_email, normal_generic, normal_name, normal_phone
+from personweave.operators.blocking import key_columns
 from personweave.spec import IdentitySpec, ScoreField
 
 # The nickname dictionary travels as a broadcast table; larger ones belong in a staged column.
@@ -56,20 +57,26 @@ def best_possible_weight(spec: IdentitySpec) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
-def prepare_records(staged: DataFrame, spec: IdentitySpec) -> DataFrame:
+def prepare_records(staged: DataFrame, spec: IdentitySpec, profile: str = "batch") -> DataFrame:
     """Normalised records with `rec_id` and `profile_key`.
 
-    Records with equal normalised values compare alike, so they share a profile key and are compared once. That
-    needs a copy to match its own copies: where it does not, the record keeps a profile of its own.
+    Records with equal normalised values compare alike, so they share a profile key and are compared once. That needs
+    a copy to be linked to its own copies: they have a blocking key, and what they agree on makes a match. Where that
+    does not hold, the record keeps a profile of its own.
     """
     out = normalize_records(staged, spec.fields, spec.nicknames).withColumn("rec_id", record_id())
     values = F.to_json(F.array(*[F.coalesce(f.column, F.lit("")) for f in spec.fields]))
     own = [F.when(F.col(f.column).isNotNull(), F.lit(f.agree)).otherwise(F.lit(0.0)) for f in spec.fields]
-    copies_match = reduce(lambda a, b: a + b, own) >= spec.match
+    copies_match = (reduce(lambda a, b: a + b, own) >= spec.match) & has_key(spec, profile)
     key = F.when(copies_match, values).otherwise(F.concat(values, F.col("rec_id")))
     return out.withColumn("profile_key", F.sha2(key, 256))
 
 
+def has_key(spec: IdentitySpec, profile: str = "batch") -> Column:
+    """True for records with at least one blocking key."""
+    return reduce(lambda a, b: a | b, [key.isNotNull() for _, key in key_columns(spec, profile)])
+
+
 def collapse_profiles(records: DataFrame, spec: IdentitySpec) -> DataFrame:
     """One row per profile: `vid` is the smallest record id, `n` the number of copies."""
     return records.groupBy("profile_key").agg(

@@ -171,7 +171,7 @@ def _with_sizes(sub: DataFrame) -> DataFrame:
     return sub.join(sizes, "block")
 
 
-def _similar_in(level: DataFrame, spec: IdentitySpec) -> DataFrame:
+def similar_in(level: DataFrame, spec: IdentitySpec) -> DataFrame:
     """Similar values, per field compared by similarity, among the rows of oversized blocks."""
     found = []
     for threshold in sorted({f.threshold for f in spec.fields if f.comparator != "exact"}):
@@ -192,7 +192,7 @@ def _refined(large: DataFrame, spec: IdentitySpec, profile: str, floor: float, l
         *[c for c in large.columns if c not in ("key_type", "key_value")],
         F.concat_ws(SEPARATOR, "key_type", "key_value").alias("block"),
         agreed[F.col("key_type")].alias("agreed"), F.lit(-1).alias("last")), "level")
-    similar = _similar_in(level, spec)
+    similar = similar_in(level, spec)
     # Pairs that were certain one step earlier have been found there.
     before = F.col("l_agreed") - F.pow(F.lit(2.0), F.col("l_last")).cast("int")
     done = _is_certain(spec, floor, before, F.col("l_mask").bitwiseAND(F.col("r_mask")))

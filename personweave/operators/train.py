@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from personweave.operators.blocking import block_keys
 from personweave.operators.pairs import block_pairs, split_by_size
+from personweave.operators.patterns import block_patterns
 from personweave.operators.score import AGREE, DISAGREE, MISSING, compare_pairs
 from personweave.spec import IdentitySpec
 
@@ -19,8 +20,7 @@ ROUNDS = 8
 BUCKET_ROWS = 64
 
 
-def random_pairs(profiles: DataFrame, spec: IdentitySpec, max_pairs: int, rounds: int = ROUNDS,
-                 within: tuple[str, ...] = ()) -> DataFrame:
+def random_pairs(profiles: DataFrame, spec: IdentitySpec, max_pairs: int, rounds: int = ROUNDS) -> DataFrame:
     """Random pairs of neighbours in hash order, at most about `max_pairs`, the same for every run.
 
     Each round sorts the rows of small random buckets by another hash and pairs neighbours. The hash of a unique id
@@ -29,20 +29,16 @@ def random_pairs(profiles: DataFrame, spec: IdentitySpec, max_pairs: int, rounds
     total = max(profiles.count(), 1)
     share = min(1.0, max_pairs / (rounds * total))
     buckets = max(int(total * share) // BUCKET_ROWS, 1)
-    pairs = []
-    for r in range(rounds):
-        digest = F.md5(F.concat(F.lit(f"{r}:"), F.col("vid")))
-        number = F.conv(F.substr(digest, F.lit(1), F.lit(12)), 16, 10).cast("long")
-        drawn = profiles.withColumn("_hash", digest).where(F.pmod(number, F.lit(1_000_000)) < int(share * 1_000_000))
-        drawn = drawn.withColumn("_bucket", F.pmod(F.floor(number / 1_000_000), F.lit(buckets)))
-        order = Window.partitionBy("_bucket", *within).orderBy("_hash")
-        columns = ["vid", *[f.column for f in spec.fields]]
-        right = F.lead(F.struct(*columns)).over(order)
-        pairs.append(drawn.select(*[F.col(c).alias("l_" + c) for c in columns], *within, right.alias("_r"))
-                     .where(F.col("_r").isNotNull())
-                     .select(*[F.col("l_" + c) for c in columns], *within,
-                             *[F.col(f"_r.{c}").alias("r_" + c) for c in columns]))
-    return reduce(DataFrame.unionByName, pairs)
+    columns = ["vid", *[f.column for f in spec.fields]]
+    drawn = (profiles.select(*columns, F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_round"))
+             .withColumn("_hash", F.md5(F.concat(F.col("_round").cast("string"), F.lit(":"), "vid")))
+             .withColumn("_number", F.conv(F.substr("_hash", F.lit(1), F.lit(12)), 16, 10).cast("long"))
+             .where(F.pmod("_number", F.lit(1_000_000)) < int(share * 1_000_000))
+             .withColumn("_bucket", F.pmod(F.floor(F.col("_number") / 1_000_000), F.lit(buckets))))
+    following = F.lead(F.struct(*columns)).over(Window.partitionBy("_round", "_bucket").orderBy("_hash"))
+    return (drawn.select(*[F.col(c).alias("l_" + c) for c in columns], following.alias("_r"))
+            .where(F.col("_r").isNotNull())
+            .select(*["l_" + c for c in columns], *[F.col(f"_r.{c}").alias("r_" + c) for c in columns]))
 
 
 def estimate_u(profiles: DataFrame, spec: IdentitySpec, rounds: int = ROUNDS) -> DataFrame:
@@ -55,13 +51,13 @@ def estimate_u(profiles: DataFrame, spec: IdentitySpec, rounds: int = ROUNDS) ->
 
 
 def gamma_patterns(profiles: DataFrame, spec: IdentitySpec) -> DataFrame:
-    """Record pairs per comparison vector, at most 3^fields rows.
+    """Record pairs per comparison vector, over all pairs that share a blocking key; at most 3^fields rows.
 
-    Copies count without being paired up: n_left * n_right per pair of profiles, n * (n - 1) / 2 within a profile. An
-    oversized block is represented by random pairs within the block, weighted up to its number of pairs.
+    Copies count without being paired up: n_left * n_right per pair of profiles, n * (n - 1) / 2 within a profile. The
+    pairs of an oversized block are counted from the sizes of its groups of equal and similar values.
     """
     names = [f"gamma_{f.name}" for f in spec.fields]
-    wide = ["vid", "n", *[f.column for f in spec.fields]]
+    wide = ["vid", "n", "mask", *[f.column for f in spec.fields]]
     ordinary, large = split_by_size(block_keys(profiles.select(*wide).withColumn("side", F.lit("B")), spec), spec)
     pairs = compare_pairs(block_pairs(ordinary, spec), spec).select(
         *names, (F.col("l_n") * F.col("r_n")).cast("double").alias("pairs"))
@@ -70,21 +66,10 @@ def gamma_patterns(profiles: DataFrame, spec: IdentitySpec) -> DataFrame:
     copies = profiles.where(F.col("n") > 1).select(*within, (F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
     parts = [pairs, copies]
     if large is not None:
-        parts.append(_large_block_patterns(large, spec, names))
+        parts.append(block_patterns(large, spec))
     return reduce(DataFrame.unionByName, parts).groupBy(*names).agg(F.sum("pairs").alias("pairs"))
 
 
-def _large_block_patterns(large: DataFrame, spec: IdentitySpec, names: list[str]) -> DataFrame:
-    block = ("key_type", "key_value")
-    sizes = large.groupBy(*block).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("records"))
-    drawn = compare_pairs(random_pairs(large, spec, spec.max_random_pairs, within=block), spec)
-    per_block = drawn.groupBy(*block, *names).agg(F.count(F.lit(1)).alias("hits"))
-    all_hits = per_block.groupBy(*block).agg(F.sum("hits").alias("drawn"))
-    stands_for = F.col("records") * (F.col("records") - 1) / 2
-    return (per_block.join(all_hits, list(block)).join(sizes, list(block))
-            .select(*names, (F.col("hits") / F.col("drawn") * stands_for).alias("pairs")))
-
-
 @dataclass(frozen=True)
 class Trained:
     parameters: dict[str, tuple[float, float]]  # field -> (m, u)

@@ -187,7 +187,7 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     """
     valid, errors = reject_invalid(cdc_inserts(changes), spec)
     latest = last_per_key(valid.select(*STAGED_COLUMNS, "_seq"), ["source_system", "external_id"], "_seq")
-    records = scratch_table(prepare_records(latest, spec), "changes")
+    records = scratch_table(prepare_records(latest, spec, profile), "changes")
     columns = [c for c in graph.members.columns if c != "updated_version"]
 
     # One scan of the stored members finds the known records; what follows uses this small table.
