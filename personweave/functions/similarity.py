@@ -82,10 +82,15 @@ def required_jaro(threshold: float, prefix: int) -> float:
 
 
 def can_reach(left: Column, right: Column, threshold: float) -> Column:
-    """False where lengths and common prefix already rule the threshold out. Never false for a similar pair."""
-    shorter, longer = F.least(F.length(left), F.length(right)), F.greatest(F.length(left), F.length(right))
-    needed = F.lit(required_jaro(threshold, 0))
-    for prefix in range(1, PREFIX_LENGTH + 1):
-        shared = F.substr(left, F.lit(1), F.lit(prefix)) == F.substr(right, F.lit(1), F.lit(prefix))
-        needed = F.when(shared, F.lit(required_jaro(threshold, prefix))).otherwise(needed)
-    return (2 + shorter / longer) / 3 >= needed - 1e-9
+    """False where lengths and first letter already rule the threshold out. Never false for a similar pair.
+
+    Kept small: it is evaluated inside the join of candidate pairs, whose generated code must stay compilable.
+    """
+    def ratio(jaro: float) -> float:
+        return 3 * jaro - 2 - 1e-9
+
+    lengths = F.length(left), F.length(right)
+    same_start = F.substr(left, F.lit(1), F.lit(1)) == F.substr(right, F.lit(1), F.lit(1))
+    needed = F.when(same_start, F.lit(ratio(required_jaro(threshold, PREFIX_LENGTH)))).otherwise(
+        F.lit(ratio(required_jaro(threshold, 0))))
+    return F.least(*lengths) >= needed * F.greatest(*lengths)

@@ -58,18 +58,23 @@ def best_possible_weight(spec: IdentitySpec) -> Column:
 
 
 def prepare_records(staged: DataFrame, spec: IdentitySpec, profile: str = "batch") -> DataFrame:
-    """Normalised records with `rec_id` and `profile_key`.
+    """Normalised records with `rec_id` and `profile_key`."""
+    normal = normalize_records(staged, spec.fields, spec.nicknames).withColumn("rec_id", record_id())
+    return with_profile_key(normal, spec, profile)
+
+
+def with_profile_key(normal: DataFrame, spec: IdentitySpec, profile: str = "batch") -> DataFrame:
+    """Add the profile key to normalised records.
 
     Records with equal normalised values compare alike, so they share a profile key and are compared once. That needs
     a copy to be linked to its own copies: they have a blocking key, and what they agree on makes a match. Where that
     does not hold, the record keeps a profile of its own.
     """
-    out = normalize_records(staged, spec.fields, spec.nicknames).withColumn("rec_id", record_id())
     values = F.to_json(F.array(*[F.coalesce(f.column, F.lit("")) for f in spec.fields]))
     own = [F.when(F.col(f.column).isNotNull(), F.lit(f.agree)).otherwise(F.lit(0.0)) for f in spec.fields]
     copies_match = (reduce(lambda a, b: a + b, own) >= spec.match) & has_key(spec, profile)
     key = F.when(copies_match, values).otherwise(F.concat(values, F.col("rec_id")))
-    return out.withColumn("profile_key", F.sha2(key, 256))
+    return normal.withColumn("profile_key", F.sha2(key, 256))
 
 
 def has_key(spec: IdentitySpec, profile: str = "batch") -> Column:

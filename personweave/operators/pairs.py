@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from personweave.operators.blocking import SEPARATOR, agreed_fields, block_keys, key_columns
-from personweave.operators.score import compare_pairs, score
+from personweave.operators.score import compare_pairs, compare_similar, plausible_pairs, score
 from personweave.operators.values import similar_values
 from personweave.sources.scratch import scratch_table
 from personweave.spec import IdentitySpec
@@ -47,7 +47,8 @@ def _oriented(joined: DataFrame, self_join: bool) -> DataFrame:
     flip = F.col("l_vid") > F.col("r_vid") if self_join else F.col("l_side") == "R"
     names = [c[2:] for c in joined.columns if c.startswith("l_")]
     return joined.select(*[F.when(flip, F.col(b + n)).otherwise(F.col(a + n)).alias(a + n)
-                           for a, b in (("l_", "r_"), ("r_", "l_")) for n in names])
+                           for a, b in (("l_", "r_"), ("r_", "l_")) for n in names],
+                         *[c for c in joined.columns if c.startswith("gamma_")])
 
 
 def _shares(spec: IdentitySpec, profile: str) -> list[tuple[str, Column]]:
@@ -141,7 +142,7 @@ def _sub_blocks(level: DataFrame, similar: DataFrame, spec: IdentitySpec) -> Dat
     usable = F.filter(F.array(*values), lambda v: v["value"].isNotNull() & (v["index"] > last)
                       & (agreed.bitwiseAND(v["bit"]) == 0))
     spread = level.drop("block_rows").withColumn("_next", F.explode(usable)).select("*", "_next.*").drop("_next")
-    spread = spread.withColumns({"agreed": F.col("agreed") + F.col("bit"), "last": F.col("index")})
+    spread = spread.withColumns({"before": agreed, "agreed": agreed + F.col("bit"), "last": F.col("index")})
 
     def named(df: DataFrame, *parts: Column) -> DataFrame:
         return (df.withColumn("block", F.concat_ws(SEPARATOR, F.col("block"), F.col("field"), *parts))
@@ -186,16 +187,15 @@ def similar_in(level: DataFrame, spec: IdentitySpec) -> DataFrame:
 
 def _refined(large: DataFrame, spec: IdentitySpec, profile: str, floor: float, links: bool,
              self_join: bool) -> DataFrame:
-    """Qualifying pairs of oversized blocks, repeats included."""
+    """Pairs of oversized blocks that may reach the floor, each once, similarities not yet computed."""
     agreed = F.create_map(*[F.lit(x) for kv in agreed_fields(spec, profile).items() for x in kv])
     level = scratch_table(large.select(
         *[c for c in large.columns if c not in ("key_type", "key_value")],
         F.concat_ws(SEPARATOR, "key_type", "key_value").alias("block"),
-        agreed[F.col("key_type")].alias("agreed"), F.lit(-1).alias("last")), "level")
+        agreed[F.col("key_type")].alias("agreed"), F.lit(0).alias("before"), F.lit(-1).alias("last")), "level")
     similar = similar_in(level, spec)
     # Pairs that were certain one step earlier have been found there.
-    before = F.col("l_agreed") - F.pow(F.lit(2.0), F.col("l_last")).cast("int")
-    done = _is_certain(spec, floor, before, F.col("l_mask").bitwiseAND(F.col("r_mask")))
+    done = _is_certain(spec, floor, F.col("l_before"), F.col("l_mask").bitwiseAND(F.col("r_mask")))
     found = []
     for _ in range(len(spec.fields) + 1):
         found.append(_certain(level, spec, floor, links))
@@ -208,7 +208,9 @@ def _refined(large: DataFrame, spec: IdentitySpec, profile: str, floor: float, l
             break
     passing = [c for c in large.columns if c not in ("key_type", "key_value", "block_rows")]
     columns = [p + c for p in ("l_", "r_") for c in passing]
-    return _oriented(reduce(DataFrame.unionByName, [df.select(*columns) for df in found]), self_join)
+    # Filtered before the shuffle that removes repeats: most pairs of a sub-block cannot reach the floor.
+    kept = [plausible_pairs(df.select(*columns), spec, floor) for df in found]
+    return _oriented(reduce(DataFrame.unionByName, kept), self_join).dropDuplicates(["l_vid", "r_vid"])
 
 
 def scored_pairs(left: DataFrame, spec: IdentitySpec, floor: float, right: DataFrame | None = None,
@@ -229,8 +231,7 @@ def scored_pairs(left: DataFrame, spec: IdentitySpec, floor: float, right: DataF
     ordinary, large = split_by_size(keyed, spec)
     out = score(compare_pairs(block_pairs(ordinary, spec, profile), spec, floor), spec)
     if large is not None:
-        refined = _refined(large, spec, profile, floor, links, right is None).dropDuplicates(["l_vid", "r_vid"])
-        refined = score(compare_pairs(refined, spec, floor), spec)
+        refined = score(compare_similar(_refined(large, spec, profile, floor, links, right is None), spec), spec)
         # A pair of a later ordinary block may have come up again in the refinement.
         out = out.unionByName(refined.select(*out.columns)).dropDuplicates(["l_vid", "r_vid"])
     return (out.where(F.col("weight") >= floor)

@@ -14,12 +14,10 @@ MISSING, DISAGREE, AGREE = -1, 0, 1
 
 
 def known_gamma(f: ScoreField, left: str = "l_", right: str = "r_") -> Column:
-    """Comparison result without computing a similarity; null where one has to be computed."""
+    """Comparison result as far as equality decides it; null for different texts compared by similarity."""
     l, r = F.col(left + f.column), F.col(right + f.column)
     known = F.when(l.isNull() | r.isNull(), F.lit(MISSING)).when(l == r, F.lit(AGREE))
-    if f.comparator == "exact":
-        return known.otherwise(F.lit(DISAGREE))
-    return known.when(~can_reach(l, r, f.threshold), F.lit(DISAGREE))
+    return known.otherwise(F.lit(DISAGREE)) if f.comparator == "exact" else known
 
 
 def field_weight(f: ScoreField, gamma: Column) -> Column:
@@ -27,24 +25,48 @@ def field_weight(f: ScoreField, gamma: Column) -> Column:
             .otherwise(F.lit(0.0)))
 
 
+def _upper_bound(spec: IdentitySpec, lengths: bool) -> Column:
+    """Highest weight a pair can reach, from equality alone or from lengths and prefixes as well.
+
+    Every comparison appears once, so the join evaluates it once per pair.
+    """
+    parts = []
+    for f in spec.fields:
+        l, r = F.col("l_" + f.column), F.col("r_" + f.column)
+        differing = F.lit(f.disagree)
+        if f.comparator != "exact":
+            differing = F.lit(max(f.agree, f.disagree))
+            if lengths:
+                differing = F.when(can_reach(l, r, f.threshold), differing).otherwise(F.lit(f.disagree))
+        parts.append(F.when(l.isNull() | r.isNull(), F.lit(0.0)).when(l == r, F.lit(f.agree)).otherwise(differing))
+    return reduce(lambda a, b: a + b, parts)
+
+
+def plausible_pairs(pairs: DataFrame, spec: IdentitySpec, floor: float | None = None) -> DataFrame:
+    """Add `gamma_<field>` as far as it is known without computing a similarity, null where one is needed.
+
+    With a floor, pairs whose weight cannot reach it are dropped: first by equality alone, then by lengths and prefixes.
+    """
+    if floor is not None:
+        pairs = pairs.where(_upper_bound(spec, False) >= floor - 1e-9).where(_upper_bound(spec, True) >= floor - 1e-9)
+    return pairs.withColumns({f"gamma_{f.name}": known_gamma(f) for f in spec.fields})
+
+
+def compare_similar(pairs: DataFrame, spec: IdentitySpec) -> DataFrame:
+    """Compute the similarities that `plausible_pairs` left open."""
+    fuzzy = [(f, F.col(f"gamma_{f.name}")) for f in spec.fields if f.comparator != "exact"]
+    similar = {f.name: similarity_column(*[F.when(gamma.isNull(), F.col(side + f.column)) for side in ("l_", "r_")])
+               for f, gamma in fuzzy}
+    return pairs.withColumns({
+        f"gamma_{f.name}": F.coalesce(gamma, (similar[f.name] >= f.threshold).cast("int")) for f, gamma in fuzzy})
+
+
 def compare_pairs(pairs: DataFrame, spec: IdentitySpec, floor: float | None = None) -> DataFrame:
     """Add `gamma_<field>` in (-1 missing, 0 disagree, 1 agree) to pairs that carry `l_n_*` and `r_n_*` columns.
 
-    With a floor, pairs whose weight cannot reach it are dropped before any similarity is computed.
+    With a floor, pairs that cannot reach it are dropped before any similarity is computed.
     """
-    out = pairs.withColumns({f"gamma_{f.name}": known_gamma(f) for f in spec.fields})
-    if floor is not None:
-        bounds = [F.when(F.col(f"gamma_{f.name}").isNull(), F.lit(max(f.agree, f.disagree)))
-                  .otherwise(field_weight(f, F.col(f"gamma_{f.name}"))) for f in spec.fields]
-        out = out.where(reduce(lambda a, b: a + b, bounds) >= floor - 1e-9)
-    resolved = {}
-    for f in spec.fields:
-        if f.comparator == "exact":
-            continue
-        gamma, l, r = F.col(f"gamma_{f.name}"), F.col("l_" + f.column), F.col("r_" + f.column)
-        similarity = similarity_column(F.when(gamma.isNull(), l), F.when(gamma.isNull(), r))
-        resolved[f"gamma_{f.name}"] = F.coalesce(gamma, (similarity >= f.threshold).cast("int"))
-    return out.withColumns(resolved)
+    return compare_similar(plausible_pairs(pairs, spec, floor), spec)
 
 
 def score(compared: DataFrame, spec: IdentitySpec) -> DataFrame:

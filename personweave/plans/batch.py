@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from personweave.operators.cluster import apply_overrides, connected_components, entity_ids
-from personweave.operators.normalize import collapse_profiles, prepare_records
+from personweave.operators.normalize import collapse_profiles, prepare_records, with_profile_key
 from personweave.operators.pairs import scored_pairs
 from personweave.operators.survive import build_crosswalk, golden_records
 from personweave.operators.train import train
@@ -59,7 +59,9 @@ def reconcile(staged: DataFrame, spec: IdentitySpec, as_of: str, trained: bool =
     records, profiles = prepared(staged, spec)
     if trained:
         spec = spec.with_parameters(train(profiles, spec))
-        records, profiles = prepared(staged, spec)
+        # Which copies belong together depends on the parameters; the normalised values do not.
+        records = scratch_table(with_profile_key(records, spec), "records")
+        profiles = scratch_table(collapse_profiles(records, spec), "profiles")
     members = scratch_table(resolve_links(records, profiles, spec, overrides), "members")
     golden = scratch_table(golden_records(members, spec, as_of), "golden")
     crosswalk = build_crosswalk(golden, members)

@@ -7,22 +7,25 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables; only a local master may fall back to a machine-local folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    path = tempfile.mkdtemp(prefix="personweave-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="personweave-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and read it back, so later steps neither recompute it nor depend on a live executor."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

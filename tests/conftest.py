@@ -1,5 +1,3 @@
-import tempfile
-
 import pytest
 from pyspark.sql import SparkSession
 
@@ -12,8 +10,6 @@ def spark():
                .config("spark.driver.memory", "8g"))
     session = builder.getOrCreate()
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
