@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from personweave.operators.upsert import last_per_key
 from personweave.plans.batch import Resolution
-from personweave.sources.state import GraphStore
+from personweave.sources.state import TABLES, GraphStore
 from personweave.spec import IdentitySpec
 from personweave.streaming.incremental import BatchResult, Graph, resolve_batch
 
@@ -22,7 +23,16 @@ def seed(store: GraphStore, resolution: Resolution) -> int:
     links = members.select("source_system", F.col("external_id").alias("source_id"), "entity_id")
     events = links.select(F.lit("linked").alias("event"), "entity_id", F.lit(None).cast("string").alias("other_entity_id"),
                           "source_system", "source_id")
-    return store.write("seed", {"members": members, "golden": golden, "entity_event": events}, base=True)
+    parameters = store.spark.createDataFrame(
+        [(f.name, f.m, f.u, None, None) for f in resolution.spec.fields], TABLES["params"])
+    return store.write("seed", {"members": members, "golden": golden, "entity_event": events, "params": parameters},
+                       base=True)
+
+
+def stored_spec(store: GraphStore, spec: IdentitySpec) -> IdentitySpec:
+    """The spec with the m and u of the batch run that seeded the graph; the stream never trains again."""
+    last = last_per_key(store.read("params"), ["field"], "version")
+    return spec.with_parameters({r["field"]: (r["m"], r["u"]) for r in last.collect()})
 
 
 def save(store: GraphStore, batch_id: str, result: BatchResult) -> int:

@@ -1,12 +1,14 @@
 import pytest
 from pyspark.sql import SparkSession
 
+from personweave.session import configured
+
 
 @pytest.fixture(scope="session")
 def spark():
-    builder = (SparkSession.builder.master("local[8]").appName("tests")
+    builder = (configured(SparkSession.builder).master("local[8]").appName("tests")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.shuffle.partitions", "4")
                .config("spark.driver.memory", "8g"))
     session = builder.getOrCreate()
     session.conf.set("spark.sql.shuffle.partitions", "4")

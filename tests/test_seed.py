@@ -13,7 +13,7 @@ from personweave.plans.batch import reconcile
 from personweave.sources.state import GraphStore
 from personweave.spec import realtime_spec
 from personweave.streaming.incremental import Graph, resolve_batch, resolve_summary
-from personweave.streaming.stream import load_graph, resolve_changes, resolve_stream, seed
+from personweave.streaming.stream import load_graph, resolve_changes, resolve_stream, seed, stored_spec
 from personweave.sources.files import read_changes
 from tests.seed import CASES, change_rows, raw_seed
 
@@ -102,6 +102,7 @@ def test_six_cases_one_by_one_in_a_store(spark, resolution, tmp_path):
 def test_stream_restart(spark, resolution, tmp_path):
     store = GraphStore(spark, str(tmp_path / "graph")).create()
     seed(store, resolution)
+    assert [(f.m, f.u) for f in stored_spec(store, realtime_spec()).fields] == [(f.m, f.u) for f in strict_spec().fields]
     inbox, checkpoint = str(tmp_path / "inbox"), str(tmp_path / "checkpoint")
 
     def run():
