@@ -8,10 +8,10 @@ from personweave.session import configured
 def spark():
     builder = (configured(SparkSession.builder).master("local[8]").appName("tests")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-               .config("spark.sql.shuffle.partitions", "4")
-               .config("spark.driver.memory", "8g"))
+               .config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "8g")
+               # Inputs are tiny: compiling a plan would take longer than running it.
+               .config("spark.sql.codegen.wholeStage", "false"))
     session = builder.getOrCreate()
-    session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
