@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,10 +13,15 @@ from pyspark.sql import functions as F
 from personweave.functions.similarity import (
     BOOST_FROM, PREFIX_LENGTH, can_reach, required_jaro, similarity_column,
 )
+from personweave.sources.scratch import scratch_table
 
 # Letters from rare to common. Any fixed order gives the same result; a good one gives fewer candidates.
 _RARE_FIRST = {c: i for i, c in enumerate("jqxzwvkfybhgmpudclotnraise ")}
 
+# A signature holds up to three tokens, and a text gets at most so many per length of its partner.
+MAX_TOKENS = 3
+MAX_KEYS = 40
+
 
 def _tokens(text: str) -> list[tuple[int, str, int]]:
     """Characters numbered by occurrence, rarest first."""
@@ -27,11 +33,20 @@ def _tokens(text: str) -> list[tuple[int, str, int]]:
     return sorted(out)
 
 
-def _signatures(text: str, threshold: float) -> Iterator[str]:
+def _tokens_per_key(longer: int, overlap: int) -> int:
+    """How many tokens one signature holds: more are more selective, as long as a text does not get too many keys."""
+    size = 1
+    while size < min(MAX_TOKENS, overlap) and math.comb(longer - overlap + size + 1, size + 1) <= MAX_KEYS:
+        size += 1
+    return size
+
+
+def _signatures(text: str, threshold: float, lengths: frozenset[int]) -> Iterator[str]:
     """Keys of which two similar texts share at least one.
 
     Jaro >= J needs m common characters with m/len1 + m/len2 >= 3J - 1, hence for each pair of lengths a least
-    overlap, and texts with that overlap share a token among their first len - overlap + 1 tokens.
+    overlap. Texts with that overlap have k tokens in common among their first len - overlap + k tokens, so each
+    combination of k of those is a key.
     """
     tokens, length = _tokens(text), len(text)
     # Without a common first character there is no prefix boost, so a higher Jaro value is needed.
@@ -42,8 +57,11 @@ def _signatures(text: str, threshold: float) -> Iterator[str]:
         longest = math.floor(length / (needed - 1) + 1e-9)
         for other in range(shortest, longest + 1):
             overlap = math.ceil(needed / (1 / length + 1 / other) - 1e-9)
-            for _, c, k in tokens[:length - overlap + 1]:
-                yield f"{label}|{min(length, other)}|{max(length, other)}|{c}{k}"
+            if other not in lengths or overlap > min(length, other):
+                continue
+            size = _tokens_per_key(max(length, other), overlap)
+            for chosen in combinations(tokens[:length - overlap + size], size):
+                yield f"{label}|{min(length, other)}|{max(length, other)}|" + "".join(f"{c}{k}" for _, c, k in chosen)
 
 
 def similar_values(values: DataFrame, threshold: float) -> DataFrame:
@@ -54,12 +72,15 @@ def similar_values(values: DataFrame, threshold: float) -> DataFrame:
     if required_jaro(threshold, PREFIX_LENGTH) < BOOST_FROM or threshold < BOOST_FROM:
         raise ValueError(f"threshold must be at least {BOOST_FROM}")
 
+    distinct = scratch_table(values.where(F.length("value") > 0).select("field", "value").distinct(), "vocabulary")
+    # Lengths that occur: at most as many as the longest value has characters.
+    lengths = frozenset(r[0] for r in distinct.select(F.length("value")).distinct().collect())
+
     def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys = [sorted(set(_signatures(v, threshold))) for v in batch["value"]]
+            keys = [sorted(set(_signatures(v, threshold, lengths))) for v in batch["value"]]
             yield batch.assign(signature=keys).explode("signature").dropna(subset=["signature"])
 
-    distinct = values.where(F.length("value") > 0).select("field", "value").distinct()
     keyed = distinct.mapInPandas(signatures, "field string, value string, signature string")
     left = keyed.withColumnRenamed("value", "v")
     right = keyed.withColumnRenamed("value", "w")
