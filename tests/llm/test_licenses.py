@@ -26,13 +26,12 @@ def corpus(templates, n, seed, edits):
     filler = [f"w{i}" for i in range(200)]
     texts = []
     for _ in range(n):
-        words = rng.choices(filler, k=rng.randrange(0, 400))
+        words = rng.choices(filler, k=rng.randrange(0, 200))
         for _ in range(rng.randrange(3)):
             own = rng.choice(list(templates.values())).split()
             for _ in range(rng.randrange(edits + 1)):
                 own[rng.randrange(len(own))] = "changed"
-            at = rng.randrange(len(words) + 1)
-            words[at:at] = own
+            words += own + rng.choices(filler, k=rng.randrange(0, 200))
         texts.append(" ".join(words))
     return texts
 

@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from personweave.llm.pii import VALUES, Feistel, Pseudonyms, iban_check, luhn_digit, pseudonymise
 from tests.llm.common import clashing, documents
@@ -55,7 +56,7 @@ def test_value(kind, value):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(10 ** 11, 10 ** 17))
+@given(st.integers(10 ** 11, 10 ** 17 - 1))
 def test_cards_stay_valid(n):
     card = f"4{n}"
     card += luhn_digit(card)
@@ -107,22 +108,17 @@ def test_frame(spark):
     want = [(i, *((HIDE(t)[0], sum(HIDE(t)[1].values())))) for i, t in rows]
     assert sorted(((r.doc_id, r.text, r.n_values) for r in out), key=key) == sorted(want, key=key)
     assert next(r for r in out if r.doc_id is None).kinds == "card"
-    back = pseudonymise(docs.select("doc_id", "text").unionByName(docs.select("doc_id", "text")).limit(0).unionByName(
-        spark.createDataFrame([(r.doc_id, r.text) for r in out], "doc_id long, text string")), KEY, restore=True).collect()
+    hidden = spark.createDataFrame([(r.doc_id, r.text) for r in out], "doc_id long, text string")
+    back = pseudonymise(hidden, KEY, restore=True).collect()
     assert sorted(((r.doc_id, r.text) for r in back), key=key) == sorted(rows, key=key)
 
 
 def test_carries_all_columns(spark):
     docs = clashing(documents(spark, ["+1 (743) 555-3824"]))
-    out = pseudonymise(docs, KEY, carry=True).select("record.*", F_text())
+    out = pseudonymise(docs, KEY, carry=True).select("record.*", F.col("text").alias("new"))
     assert out.columns[:-1] == docs.columns and out.first()["new"] != "+1 (743) 555-3824"
 
 
-def F_text():
-    from pyspark.sql import functions as F
-    return F.col("text").alias("new")
-
-
 def test_empty_table(spark):
     assert pseudonymise(documents(spark, []), KEY).collect() == []
 

@@ -81,8 +81,7 @@ def test_archives_are_deduplicated_again(spark, tmp_path):
 
 def test_damage_is_found(spark, tmp_path):
     write_warc(deduplicated(captures(spark.createDataFrame(PAGES[:1], SCHEMA))), str(tmp_path / "w"))
-    file = next(Path(tmp_path / "w").glob("part-*.gz"))
-    data = gzip.decompress(file.read_bytes()).replace(b"<p>one", b"<p>two")
+    data = b"".join(gzip.decompress(f.read_bytes()) for f in Path(tmp_path / "w").glob("part-*.gz")).replace(b"<p>one", b"<p>two")
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "a.warc").write_bytes(data)
     with pytest.raises(Exception, match="damaged"):
