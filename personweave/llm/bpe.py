@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 KNOWN_FRAGMENTS = 500_000
 ENCODE_AT_ONCE = 2 << 20  # bytes of text
+WORDS_AT_ONCE = 500
 DECODE_AT_ONCE = 1 << 18
 # Unicode white space beyond ASCII, as the last (up to three) bytes in UTF-8.
 WIDE_SPACE = np.array([0xC285, 0xC2A0, 0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
@@ -64,6 +66,11 @@ class Codec:
         first, second = np.arange(256)[:, None], np.arange(256)[None, :]
         unsafe = (first <= 0x20) | (second == ord("'")) | ((second >= 0x80) & (second < 0xC0))
         self.cut = ~(joined | unsafe)
+        self.may_end_space = np.isin(np.arange(256), WIDE_SPACE & 0xFF)
+        self.starts_word = np.array([t[:1] == b" " for t in table])
+        # Words that may be encoded side by side: one space, no other white space, a certain cut before the next space.
+        ends = "".join(re.escape(chr(i)) for i in range(256) if self.cut[i, 0x20] and not self.may_end_space[i])
+        self.is_word = re.compile(f" [^\\s\x1c-\x20]*[{ends}]".encode("latin-1"), re.DOTALL).fullmatch
         self.known: dict[bytes, bytes] = {}
         if array("I", [1]).tobytes() != np.array([1], "<u4").tobytes():
             raise RuntimeError("ids are kept as little-endian 32-bit integers")
@@ -72,20 +79,39 @@ class Codec:
         """The pieces of `data` between certain cuts."""
         b = np.frombuffer(data, np.uint8)
         at = np.flatnonzero(self.cut[b[:-1], b[1:]]) + 1
-        if len(wide := at[b[at - 1] >= 0x80]):
-            two = (b[wide - 2].astype(np.int64) << 8) | b[wide - 1]
-            three = (b[np.maximum(wide - 3, 0)].astype(np.int64) << 16) | two
-            at = np.setdiff1d(at, wide[np.isin(two, WIDE_SPACE) | np.isin(three, WIDE_SPACE)], assume_unique=True)
+        if len(wide := np.flatnonzero(self.may_end_space[b[at - 1]])):
+            place = at[wide]
+            two = (b[place - 2].astype(np.int64) << 8) | b[place - 1]
+            three = (b[np.maximum(place - 3, 0)].astype(np.int64) << 16) | two
+            at = np.delete(at, wide[np.isin(two, WIDE_SPACE) | np.isin(three, WIDE_SPACE)])
         edges = [0, *at.tolist(), len(data)]
         return [data[i:j] for i, j in zip(edges, edges[1:])]
 
+    def _ids(self, fragments: list[bytes]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([p.decode() for p in fragments], add_special_tokens=False)
+        return [array("I", code.ids).tobytes() for code in coded]
+
+    def _learn(self, fragments: list[bytes]) -> None:
+        self.known.update(zip(fragments, self._ids(fragments)))
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Words are encoded many at a time: between them are certain cuts, and only their first tokens start with a space."""
+        runs = [words[i:i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
+        for run, code in zip(runs, self._ids([b"".join(r) for r in runs])):
+            at = (4 * np.flatnonzero(self.starts_word[np.frombuffer(code, "<u4")])).tolist()
+            if len(at) == len(run):
+                self.known.update(zip(run, [code[a:b] for a, b in zip(at, [*at[1:], len(code)])]))
+            else:  # a special token spelled out among them
+                self._learn(run)
+
     def _encode(self, parts: list[list[bytes]]) -> Iterator[bytes]:
         wanted = set().union(*parts)
-        new = [p for p in wanted if p not in self.known]
+        new = wanted.difference(self.known)
         if len(self.known) + len(new) > KNOWN_FRAGMENTS:  # distinct fragments grow with the data: start anew
-            self.known, new = {}, list(wanted)
-        coded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        self.known.update((part, array("I", code.ids).tobytes()) for part, code in zip(new, coded))
+            self.known, new = {}, wanted
+        words = [p for p in new if self.is_word(p)]
+        self._learn_words(words)
+        self._learn(list(new.difference(words)))
         for part in parts:
             yield b"".join(map(self.known.__getitem__, part))
 
