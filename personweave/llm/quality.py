@@ -112,24 +112,24 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn_from: Column, s: Settings,
                   id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """`stats`, `label`, `fold` of a sample of at most about `max_rows` labelled documents, chosen by hash of the id."""
+    """`stats`, `label`, `fold`, `spread` of a sample of at most about `max_rows` labelled documents, chosen by hash of the id."""
     known = (labels.select(labels[f"`{id_col}`"].cast("long").alias("doc_id"), labels[f"`{label_col}`"].alias("label"))
              .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & learn_from)
              .groupBy("doc_id").agg(F.min("label").cast("double").alias("label")))
     share = min(1.0, s.max_rows / max(1, known.count()))
     mark = F.pmod(F.xxhash64("doc_id", F.lit(s.seed)), F.lit(1 << 30))
     chosen = (known.where(mark < int(share * (1 << 30)))
-              .withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(s.folds)).cast("int")))
+              .withColumns({"fold": F.pmod(F.xxhash64("doc_id"), F.lit(s.folds)).cast("int"), "spread": F.xxhash64("doc_id")}))
     texts = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             stats = pa.array([statistics(t.as_py()) for t in b["text"]], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([stats, b["label"], b["fold"]], ["stats", "label", "fold"])
+            yield pa.RecordBatch.from_arrays([stats, b["label"], b["fold"], b["spread"]], ["stats", "label", "fold", "spread"])
 
     # The sample is bounded by max_rows, so it may be broadcast: texts are not shuffled.
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "label", "fold").mapInArrow(
-        run, "stats array<double>, label double, fold int")
+    return texts.join(F.broadcast(chosen), "doc_id").select("text", "label", "fold", "spread").mapInArrow(
+        run, "stats array<double>, label double, fold int, spread long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -138,7 +138,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def fit(rows: DataFrame, s: Settings) -> Model | None:
     """Fit on `training_rows`; None without any. What reaches the driver has the size of the model times `tasks`."""
-    rows = rows.repartition(s.tasks, F.xxhash64("stats")).cache()
+    rows = rows.repartition(s.tasks, "spread").drop("spread").cache()
     try:
         n = len(STATISTICS)
         sums = [F.sum(F.col("stats")[i]).alias(f"a{i}") for i in range(n)]
