@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from personweave.llm.bpe import codec
 from personweave.sources.scratch import scratch_table
 
-SHARDS = 256  # a length that a third of all pieces has is counted and ranked in this many parts
+SHARDS = 64  # a length that a third of all pieces has is counted and ranked in this many parts
 
 
 def fullest(counts: dict[int, int], space: int) -> list[tuple[int, int]]:
