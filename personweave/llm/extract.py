@@ -123,6 +123,12 @@ class _Blocks(HTMLParser):
 
 def blocks(html: str) -> list[tuple[str, bool, bool]]:
     """(text, boilerplate by markup, inside an article) of each block; a page that breaks off ends there."""
+    comment = html.rfind("<!--")
+    if comment >= 0 and html.find("-->", comment) < 0:
+        html = html[:comment]
+    tag = html.rfind("<")
+    if html.find(">", tag) < 0 <= tag and re.match(r"</?[A-Za-z!]", html[tag:tag + 3]):
+        html = html[:tag]
     parser = _Blocks()
     parser.feed(html)
     parser.close()

@@ -205,15 +205,17 @@ class Pseudonyms:
         return mark.join([*parts, str(to.year)])
 
     def _written(self, value: str) -> str | None:
-        """12 March 2021, March 12, 2021 and the like; months may be cut to three letters, endings like 12th go."""
+        """12 March 2021, March 12, 2021 and the like; months may be cut to three letters, endings like 12th go. A day
+        below ten that is written with a zero stays so."""
         name = re.search(r"[A-Za-z]{3,}", value).group()
         month = [m[:3].lower() for m in MONTHS].index(name[:3].lower()) + 1
         day, year = re.findall(r"\d+", value)
-        to = self._day(int(day), month, int(year))
+        zero = day[0] == "0"
+        to = self._day(int(day), month, int(year), "date", lambda x: not zero or x.day < 10)
         if to is None:
             return None
         new = MONTHS[to.month - 1] if len(name) > 3 or name.lower() == "may" else MONTHS[to.month - 1][:3]
-        parts = {name: new, day: str(to.day), year: str(to.year)}
+        parts = {name: new, day: "0" * zero + str(to.day), year: str(to.year)}
         return re.sub(r"[A-Za-z]{3,}|\d+", lambda m: parts[m.group()], re.sub(r"(?<=\d)(st|nd|rd|th)", "", value))
 
     def _email(self, value: str) -> str:
