@@ -143,24 +143,28 @@ def host_of(url: str | None) -> str:
 
 
 def parsed(pages: DataFrame, depth: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """`page_id`, `url`, `host`, `texts`, `aside`, `article`, and `suffixes`: for each token outside articles a hash of the
-    `depth` tokens that begin there."""
+    """`page_id`, `url`, `host`, `suffixes` (for each token outside articles a hash of the `depth` tokens that begin there),
+    and `text` of pages that markup alone decides; for the others their blocks: `texts`, `aside`, `article`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for url, html in zip(batch["url"].to_pylist(), batch["html"]):
                 found = blocks(html.as_py())
                 words = [w for text, _, article in found if not article for w in text.lower().split()]
                 suffixes = [xxhash.xxh64_intdigest(" ".join(words[i:i + depth])) - (1 << 63) for i in range(len(words) - depth + 1)]
-                for to, value in zip(out, (host_of(url), [b[0] for b in found], [b[1] for b in found], [b[2] for b in found], suffixes)):
+                if all(aside or article for _, aside, article in found):
+                    row = (None, None, None, "\n\n".join(text for text, aside, _ in found if not aside))
+                else:
+                    row = ([b[0] for b in found], [b[1] for b in found], [b[2] for b in found], None)
+                for to, value in zip(out, (host_of(url), suffixes, *row)):
                     to.append(value)
-            kinds = (pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
+            kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.string())
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(out, kinds))],
-                                             ["page_id", "url", "host", "texts", "aside", "article", "suffixes"])
+                                             ["page_id", "url", "host", "suffixes", "texts", "aside", "article", "text"])
     return (pages.select(pages[f"`{id_col}`"].cast("long").alias("page_id"), pages[f"`{url_col}`"].cast("string").alias("url"),
                          F.coalesce(pages[f"`{html_col}`"].cast("string"), F.lit("")).alias("html"))
-            .mapInArrow(run, "page_id long, url string, host string, texts array<string>, aside array<boolean>, "
-                             "article array<boolean>, suffixes array<long>"))
+            .mapInArrow(run, "page_id long, url string, host string, suffixes array<long>, texts array<string>, "
+                             "aside array<boolean>, article array<boolean>, text string"))
 
 
 def repeated_suffixes(streams: DataFrame, least_pages: int) -> DataFrame:
@@ -211,9 +215,13 @@ def main_text(pages: DataFrame, depth: int = 8, least_pages: int = 3, cover: flo
     result; other columns are ignored. Whole pages, whatever their length.
     """
     streams = scratch_table(parsed(pages, depth, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "page_blocks")
-    common = repeated_suffixes(streams, least_pages)
-    # Only pages with something to look up take part in the join, with their suffixes and without their texts.
-    hits = (streams.select("row", "host", F.explode(F.array_distinct("suffixes")).alias("suffix"))
-            .join(common, ["host", "suffix"]).groupBy("row").agg(F.collect_list("suffix").alias("repeated")))
-    return streams.join(hits, "row", "left").drop("row", "host").mapInArrow(
+    decided = streams.where(F.col("text").isNotNull()).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    # Only pages with blocks that markup leaves open look their suffixes up.
+    undecided = streams.where(F.col("text").isNull()).drop("text")
+    hits = (undecided.select("row", "host", F.explode(F.array_distinct("suffixes")).alias("suffix"))
+            .join(repeated_suffixes(streams, least_pages), ["host", "suffix"]).groupBy("row")
+            .agg(F.collect_list("suffix").alias("repeated")))
+    judged = undecided.join(hits, "row", "left").drop("row", "host").mapInArrow(
         _kept_text(depth, cover), "page_id long, url string, text string, n_chars long")
+    return decided.unionByName(judged)
