@@ -132,9 +132,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .where(F.col("group_size") > 1)
               .select("text_sha256", "group_size", F.bitwise_not("best.id").alias("keep_id"),
                       F.bitwise_not("best.sender").alias("keep_sender"), F.bitwise_not("best.seq").alias("keep_seq")))
-    alone = F.col("group_size").isNull()
-    return (flagged.join(groups, "text_sha256", "left")
-            .select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-                    (alone | ((F.col("sender") == F.col("keep_sender")) & (F.col("seq") == F.col("keep_seq")))).alias("kept"),
-                    "text_sha256", *(["record"] if carry else [])))
+    # Only suspects are joined with their groups: the other rows stay where they are.
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256", *(["record"] if carry else [])]
+    single = {"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)}
+    alone = flagged.where(~F.col("suspect")).withColumns(single).select(*columns)
+    found = F.col("group_size").isNotNull()
+    member = {"keep_id": F.when(found, F.col("keep_id")).otherwise(F.col("doc_id")),
+              "kept": ~found | ((F.col("sender") == F.col("keep_sender")) & (F.col("seq") == F.col("keep_seq"))),
+              "group_size": F.coalesce("group_size", F.lit(1).cast("long"))}
+    grouped = flagged.where("suspect").join(groups, "text_sha256", "left").withColumns(member).select(*columns)
+    return alone.unionByName(grouped)
