@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_FRAGMENTS = 500_000
+KNOWN_FRAGMENTS = 200_000  # of each of two generations
 ENCODE_AT_ONCE = 2 << 20  # bytes of text
 WORDS_AT_ONCE = 500
 DECODE_AT_ONCE = 1 << 18
@@ -72,6 +72,7 @@ class Codec:
         ends = "".join(re.escape(chr(i)) for i in range(256) if self.cut[i, 0x20] and not self.may_end_space[i])
         self.is_word = re.compile(f" [^\\s\x1c-\x20]*[{ends}]".encode("latin-1"), re.DOTALL).fullmatch
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         if array("I", [1]).tobytes() != np.array([1], "<u4").tobytes():
             raise RuntimeError("ids are kept as little-endian 32-bit integers")
 
@@ -106,9 +107,12 @@ class Codec:
 
     def _encode(self, parts: list[list[bytes]]) -> Iterator[bytes]:
         wanted = set().union(*parts)
+        if len(self.known) > KNOWN_FRAGMENTS:  # distinct fragments grow with the data: keep what was used lately
+            self.known, self.older = {}, self.known
         new = wanted.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_FRAGMENTS:  # distinct fragments grow with the data: start anew
-            self.known, new = {}, wanted
+        again = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        new -= again
         words = [p for p in new if self.is_word(p)]
         self._learn_words(words)
         self._learn(list(new.difference(words)))

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from functools import lru_cache
 from math import isqrt
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -268,13 +268,15 @@ KINDS = {"iso": "date", "numeric": "date", "written": "date", "world": "phone",
 
 
 def _columns(key: bytes, by: int, text: Column) -> Column:
-    @F.pandas_udf("text string, n_values int, kinds string")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("text string, n_values int, kinds string")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         change = Pseudonyms(key, by)
-        rows = [change(t) for t in texts]
-        return pd.DataFrame({
-            "text": pd.Series([t for t, _ in rows], dtype=object), "n_values": pd.Series([sum(c.values()) for _, c in rows], dtype="int32"),
-            "kinds": pd.Series([",".join(sorted({KINDS.get(k, k) for k in c})) for _, c in rows], dtype=object)})
+        for part in texts:
+            rows = [change(t.as_py()) for t in part]
+            kinds = [",".join(sorted({KINDS.get(k, k) for k in c})) for _, c in rows]
+            yield pa.StructArray.from_arrays(
+                [pa.array([t for t, _ in rows], pa.string()), pa.array([sum(c.values()) for _, c in rows], pa.int32()),
+                 pa.array(kinds, pa.string())], ["text", "n_values", "kinds"])
     return run(text.cast("string"))
 
 

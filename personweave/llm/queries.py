@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from personweave.llm import bpe, exact_dedup, extract, licenses, packing, pii, quality, simhash_dedup, topk, warc
+from personweave.llm.session import small_batches
 from personweave.sources.scratch import scratch_root
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,7 +21,7 @@ KEY = b"personweave demonstration key"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
