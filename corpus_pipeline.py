@@ -15,23 +15,26 @@ from personweave.llm.packing import pack_documents
 from personweave.llm.pii import pseudonymise
 from personweave.llm.quality import quality_scores
 from personweave.llm.queries import CAPACITY, END_ID, KEY, TOKENIZER
+from personweave.llm.session import small_batches
 from personweave.llm.simhash_dedup import near_duplicates
 from personweave.sources.scratch import scratch_table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality classifier rejects."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return quality_scores(docs, labels, carry=True).where("predicted = 1").select("record.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of equal texts."""
+    small_batches(spark)
     return exact_dedup(docs, carry=True).where("kept").select("record.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each component of near-duplicates; rows without an id stay."""
+    small_batches(spark)
     found = near_duplicates(docs)
     # The list of dropped ids is written first: its size is then known, and a short one is sent to the texts.
     dropped = scratch_table(found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct(), "dropped")
@@ -40,6 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; `n_chars` follows the text."""
+    small_batches(spark)
     out = pseudonymise(docs, KEY, carry=True)
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_values") > 0, F.char_length("text").cast("long"))
            .otherwise(F.col("record.n_chars"))}
@@ -48,6 +52,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of every document, packed into sequences."""
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path(TOKENIZER), CAPACITY, END_ID)
 
 
