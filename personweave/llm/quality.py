@@ -8,11 +8,11 @@ documents without a shuffle.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +43,8 @@ def statistics(text: str | None) -> np.ndarray:
     words = data.split()
     n = max(len(words), 1)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    distinct = set(words)
-    top = max(pd.Series(words).value_counts(sort=False)) / n if words else 0.0
+    distinct = Counter(words)
+    top = max(distinct.values(), default=0) / n
     pairs = len(set(zip(words, words[1:]))) if len(words) > 1 else 0
     lines = [x for x in data.split(b"\n") if x.strip()]
     some = max(len(lines), 1)
@@ -138,7 +138,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def fit(rows: DataFrame, s: Settings) -> Model | None:
     """Fit on `training_rows`; None without any. What reaches the driver has the size of the model times `tasks`."""
-    rows = rows.repartition(s.tasks, "spread").drop("spread").cache()
+    rows = rows.repartition("spread").drop("spread").coalesce(s.tasks).cache()
     try:
         n = len(STATISTICS)
         sums = [F.sum(F.col("stats")[i]).alias(f"a{i}") for i in range(n)]
