@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fixtures import oracle as sql
-from fixtures.derived import app_events, invoices, raw_records, sources_of
+from fixtures.derived import app_events, companies, invoices, raw_records, sources_of
 from personweave.functions import text
 from personweave.operators import cluster, graph, normalize, quality, score, staging, survive, train, upsert
 from personweave.operators.blocking import block_keys, block_stats, rule_exact_match
@@ -34,13 +34,17 @@ ORACLES: dict[str, str] = {}
 sql.add_state("1", "select * from raw where k % 10 <> 9")
 sql.add_state("2", "select k, p, s, source_system, external_id, email, case when k % 17 <> 0 then phone end as phone, "
                    "first_name, last_name, account_name, display_name, company_name from raw where k % 19 <> 0")
+sql.add_trained()
+
+# A limit that turns many blocks into oversized ones: results must not depend on it.
+HOT = 3
 
 
 class Run:
     """Shared inputs of the queries of one session and data folder; each stage is computed at most once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self.spec = spark, sf_dir, batch_spec()
+    def __init__(self, spark: SparkSession, sf_dir: str, limit: int | None = None):
+        self.spark, self.sf_dir, self.spec = spark, sf_dir, batch_spec(**({} if limit is None else {"block_limit": limit}))
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -91,11 +95,16 @@ class Run:
 
     @cached_property
     def resolution(self) -> batch.Resolution:
+        """With the declared parameters."""
+        return batch.reconcile(self.staged, self.spec, AS_OF, trained=False)
+
+    @cached_property
+    def trained(self) -> batch.Resolution:
         return batch.reconcile(self.staged, self.spec, AS_OF)
 
     @cached_property
     def resolution1(self) -> batch.Resolution:
-        return batch.reconcile(self.staged_of(self.raw1), self.spec, AS_OF)
+        return batch.reconcile(self.staged_of(self.raw1), self.spec, AS_OF, trained=False)
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -116,13 +125,13 @@ class Run:
         return incremental.resolve_batch(self.changes, graph1, self.spec, AS_OF, version=2)
 
 
-_RUNS: dict[tuple[str, str], Run] = {}
+_RUNS: dict[tuple[str, str, int | None], Run] = {}
 
 
-def run_of(spark: SparkSession, sf_dir: str) -> Run:
-    key = (spark.sparkContext.applicationId, sf_dir)
+def run_of(spark: SparkSession, sf_dir: str, limit: int | None = None) -> Run:
+    key = (spark.sparkContext.applicationId, sf_dir, limit)
     if key not in _RUNS:
-        _RUNS[key] = Run(spark, sf_dir)
+        _RUNS[key] = Run(spark, sf_dir, limit)
     return _RUNS[key]
 
 
@@ -131,10 +140,10 @@ def forget() -> None:
     _RUNS.clear()
 
 
-def register(name: str, oracle: str | None = None, **extra: str):
+def register(name: str, oracle: str | None = None, limit: int | None = None, **extra: str):
     """Register a query by name; `oracle` is its final SELECT over the shared CTEs plus `extra` ones."""
     def add(build: Callable[[Run], DataFrame]) -> Callable[[Run], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: build(run_of(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: build(run_of(spark, sf_dir, limit))
         if oracle is not None:
             ORACLES[name] = sql.query(oracle, **extra)
         return build
@@ -169,12 +178,11 @@ def _(r: Run) -> DataFrame:
     return r.staged
 
 
-@register("title_case", f"select support_user_id, {sql.initcap('trim(display_name)')} as name, "
-                        f"{sql.initcap('trim(company)')} as company from support")
+@register("title_case", f"""select external_id, {sql.initcap("trim(coalesce(display_name, account_name, first_name || ' ' || last_name))")} as name,
+  {sql.initcap('trim(company_name)')} as company from raw""")
 def _(r: Run) -> DataFrame:
-    return r.sources["support_users"].select(
-        "support_user_id", text.title_case(F.col("display_name")).alias("name"),
-        text.title_case(F.col("company")).alias("company"))
+    name = F.coalesce("display_name", "account_name", F.concat("first_name", F.lit(" "), "last_name"))
+    return r.raw.select("external_id", text.title_case(name).alias("name"), text.title_case(F.col("company_name")).alias("company"))
 
 
 # --- normalisation and blocking
@@ -288,44 +296,34 @@ def _(r: Run) -> DataFrame:
 
 # --- training
 
-RANDOM = """select r.range as round, p.*, md5(cast(r.range as varchar) || ':' || vid) as h,
-  cast('0x' || substr(md5(cast(r.range as varchar) || ':' || vid), 1, 12) as bigint) as number,
-  (select count(*) from prof) as total from prof p, range(8) r"""
-DRAWN = """select *, (number // 1000000) % greatest(cast(floor(total * least(1.0, 1000000 / (8.0 * total))) as bigint) // 64, 1) as bucket
-  from random where number % 1000000 < cast(floor(least(1.0, 1000000 / (8.0 * total)) * 1000000) as bigint)"""
-NEIGHBOURS = "select round, vid, lead(vid) over (partition by round, bucket order by h) as other from drawn"
-NEIGHBOUR_GAMMAS = f"""select {sql.gammas()} from neighbours n join prof l on l.vid = n.vid join prof r on r.vid = n.other"""
-U_ROWS = " union all ".join(
-    f"select '{a}' as field, (count(*) filter (where gamma_{a} = 1) + 1) / (count(*) filter (where gamma_{a} >= 0) + 2) as u, "
-    f"count(*) filter (where gamma_{a} >= 0) as compared from neighbour_gammas" for a in ATTRIBUTES)
-
-
-@register("estimate_u", "select field, round(u, 9) as u, compared from u_rows", random=RANDOM, drawn=DRAWN,
-          neighbours=NEIGHBOURS, neighbour_gammas=NEIGHBOUR_GAMMAS, u_rows=U_ROWS)
+@register("estimate_u", "select field, round(u, 9) as u, compared from u_rows")
 def _(r: Run) -> DataFrame:
     return train.estimate_u(r.profiles, r.spec).withColumn("u", F.round("u", 9))
 
 
-PATTERNS = f"""select {', '.join(GAMMAS)}, cast(sum(pairs) as double) as pairs from (
-  select {', '.join(GAMMAS)}, n_left * n_right as pairs from compared
-  union all select {', '.join(f'case when n_{a} is null then -1 else 1 end' for a in ATTRIBUTES)}, n * (n - 1) / 2
-  from prof where n > 1) group by all"""
-LIKE = " * ".join(f"case gamma_{f} when 1 then {{{i}}} when 0 then 1 - {{{i}}} else 1.0 end" for i, f in enumerate(ATTRIBUTES))
-LIKE_M = LIKE.format(*[sql.PARAMETERS[a][1] for a in ATTRIBUTES])
-LIKE_U = LIKE.format(*[sql.PARAMETERS[a][2] for a in ATTRIBUTES])
-EXPECTED = f"select *, pairs * 0.1 * {LIKE_M} / (0.1 * {LIKE_M} + 0.9 * {LIKE_U}) as expected from patterns"
-EM_ROWS = " union all ".join(
-    f"select '{a}' as field, round(greatest(least(sum(expected) filter "
-    f"(where gamma_{a} = 1) / sum(expected) filter (where gamma_{a} >= 0), 1 - 1e-6), 1e-6), 6) as m, "
-    "round(sum(expected) / sum(pairs), 6) as match_rate from expectations" for a in ATTRIBUTES)
+@register("gamma_patterns", f"select {', '.join(GAMMAS)}, pairs from patterns")
+def _(r: Run) -> DataFrame:
+    return train.gamma_patterns(r.profiles, r.spec)
 
 
-@register("gamma_patterns", f"select {', '.join(GAMMAS)}, pairs from patterns", patterns=PATTERNS)
+@register("decide_patterns", f"""select *, case when weight >= 8 then 'match' when weight >= 4 then 'possible' when weight >= -5 then 'unlikely'
+    else 'non_match' end as class, case when confidence >= 0.9 then 'match' when confidence >= 0.7 then 'review' else 'reject' end as decision
+  from (select {', '.join(GAMMAS)}, pairs, round(weight, 6) as weight, round({sql.CONFIDENCE}, 6) as confidence
+    from (select *, {sql.WEIGHT} as weight from patterns))""")
 def _(r: Run) -> DataFrame:
-    return train.gamma_patterns(r.profiles, r.spec)
+    """All comparison vectors with their number of record pairs: every class and decision, without listing pairs."""
+    scored = score.score(train.gamma_patterns(r.profiles, r.spec), r.spec)
+    return score.decide(scored.withColumns({c: F.round(c, 6) for c in ("weight", "confidence")}), r.spec).select(
+        *GAMMAS, "pairs", "weight", "confidence", "class", "decision")
+
 
+def _em_columns(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in ("m", "u", "match_rate")})
 
-@register("em_step", "select * from em_rows", patterns=PATTERNS, expectations=EXPECTED, em_rows=EM_ROWS)
+
+@register("em_step", " union all ".join(f"select '{a}' as field, round(m_{a}, 6) as m, round(rate, 6) as match_rate from em_1d" for a in ATTRIBUTES),
+          em_0d=sql.declared_start(), em_x1d=sql.CTES["em_x1"].replace("em_0", "em_0d"), em_y1d=sql.CTES["em_y1"].replace("em_x1", "em_x1d"),
+          em_1d=sql.CTES["em_1"].replace("em_y1", "em_y1d"))
 def _(r: Run) -> DataFrame:
     patterns = scratch_table(train.gamma_patterns(r.profiles, r.spec), "patterns")
     once = train.em_train(patterns, {}, replace(r.spec, max_iterations=1))
@@ -333,11 +331,13 @@ def _(r: Run) -> DataFrame:
         "field", F.round("m", 6).alias("m"), F.round("match_rate", 6).alias("match_rate"))
 
 
-@register("em_train")
+@register("em_train", " union all ".join(
+    f"select '{a}' as field, round(m_{a}, 6) as m, round(u_{a}, 6) as u, round(rate, 6) as match_rate, step as iteration from em_{sql.STEPS}"
+    for a in ATTRIBUTES))
 def _(r: Run) -> DataFrame:
     u = {row["field"]: row["u"] for row in train.estimate_u(r.profiles, r.spec).collect()}
     patterns = scratch_table(train.gamma_patterns(r.profiles, r.spec), "patterns")
-    return train.parameter_table(patterns, train.em_train(patterns, u, r.spec))
+    return _em_columns(train.parameter_table(patterns, train.em_train(patterns, u, r.spec)))
 
 
 # --- clusters, golden records, marts
@@ -430,28 +430,41 @@ def _(r: Run) -> DataFrame:
 
 
 @register("top_invoiced", """select g.entity_id, g.first_name, g.last_name, sum(i.amount_cents) / 100.0 as total_invoiced
-  from invoices i join crosswalk x on x.source_system = 'billing_accounts' and x.source_id = i.billing_account_id
+  from invoices i join crosswalk x using (source_system, source_id)
   join golden g on g.entity_id = x.entity_id group by 1, 2, 3 order by total_invoiced desc, g.entity_id limit 20""")
 def _(r: Run) -> DataFrame:
     return marts.top_invoiced(invoices(r.spark, r.sf_dir), r.resolution.crosswalk, r.resolution.golden, 20)
 
 
-@register("facts_with_entity", """select billing_account_id, amount_cents, entity_id from invoices
-  left join crosswalk on source_system = 'billing_accounts' and source_id = billing_account_id""")
+@register("facts_with_entity", """select i.source_system, i.source_id, amount_cents, entity_id from invoices i
+  left join crosswalk x on x.source_system = i.source_system and x.source_id = i.source_id""")
 def _(r: Run) -> DataFrame:
-    return marts.facts_with_entity(invoices(r.spark, r.sf_dir), r.resolution.crosswalk, "billing_accounts", "billing_account_id")
+    return marts.facts_with_entity(invoices(r.spark, r.sf_dir), r.resolution.crosswalk)
 
 
 @register("customer_360_enriched", """select c360.*, n_invoices, total_invoices, n_events from c360
   left join (select entity_id, count(*) as n_invoices, cast(sum(amount_cents) as bigint) as total_invoices from invoices
-    join crosswalk on source_system = 'billing_accounts' and source_id = billing_account_id group by 1) i using (entity_id)
+    join crosswalk using (source_system, source_id) group by 1) i using (entity_id)
   left join (select entity_id, count(*) as n_events from app_events
-    join crosswalk on source_system = 'app_signups' and source_id = app_user_id group by 1) e using (entity_id)""")
+    join crosswalk using (source_system, source_id) group by 1) e using (entity_id)""")
 def _(r: Run) -> DataFrame:
     crosswalk = r.resolution.crosswalk
     return marts.customer_360_enriched(_c360(r), [
-        marts.fact_totals(invoices(r.spark, r.sf_dir), crosswalk, "billing_accounts", "billing_account_id", "invoices", "amount_cents"),
-        marts.fact_totals(app_events(r.spark, r.sf_dir), crosswalk, "app_signups", "app_user_id", "events")])
+        marts.fact_totals(invoices(r.spark, r.sf_dir), crosswalk, "invoices", "amount_cents"),
+        marts.fact_totals(app_events(r.spark, r.sf_dir), crosswalk, "events")])
+
+
+@register("customer_360_companies", """select c360.*, domain, industry, employee_count from c360
+  left join company on lower(trim(c360.company_name)) = company.name""",
+          company="""select lower(company_name) as name, replace(lower(company_name), ' ', '') || '.com' as domain, arg_min(c_mktsegment, k) as industry,
+    cast(count(*) as integer) as employee_count from raw join customer on c_custkey = k where company_name is not null group by 1, 2""")
+def _(r: Run) -> DataFrame:
+    return marts.with_company(_c360(r), companies(r.spark, r.sf_dir))
+
+
+@register("golden_trained", f"select {GOLDEN} from goldent")
+def _(r: Run) -> DataFrame:
+    return _shown(r.trained.golden)
 
 
 @register("mask_pii", """select entity_id, sha256(email) as email, sha256(phone) as phone, sha256(first_name) as first_name,
@@ -462,6 +475,21 @@ def _(r: Run) -> DataFrame:
 
 # --- identity graph
 
+HISTORY = dict(
+    moves="""select coalesce(n.source_system, o.source_system) as source_system, coalesce(n.source_id, o.source_id) as source_id,
+      o.entity_id as old_id, n.entity_id as new_id from crosswalk1 o full join crosswalk n
+      on o.source_system = n.source_system and o.source_id = n.source_id""",
+    flows="select distinct old_id, new_id from moves where old_id is not null and new_id is not null",
+    history="""select 'linked' as event, new_id as entity_id, cast(null as varchar) as other_entity_id, source_system, source_id
+        from moves where old_id is null
+      union all select 'unlinked', old_id, null, source_system, source_id from moves where new_id is null
+      union all select 'moved', new_id, old_id, source_system, source_id from moves where old_id <> new_id
+      union all select distinct 'created', entity_id, null, null, null from crosswalk
+        where entity_id not in (select entity_id from crosswalk1)
+      union all select case when (select count(*) from flows f where f.old_id = flows.old_id) = 1 then 'merged' else 'split' end,
+        new_id, old_id, null, null from flows where old_id <> new_id""")
+
+
 @register("resolve_ids", """select raw.source_system, external_id as source_id, entity_id from raw
   left join crosswalk on crosswalk.source_system = raw.source_system and source_id = external_id""")
 def _(r: Run) -> DataFrame:
@@ -469,6 +497,16 @@ def _(r: Run) -> DataFrame:
     return graph.resolve_ids(ids, r.resolution.crosswalk)
 
 
+@register("resolve_ids_redirected", """select o.source_system, o.source_id, coalesce(h.entity_id, o.entity_id) as entity_id
+  from crosswalk1 o left join (select entity_id, other_entity_id from history where event = 'merged') h on h.other_entity_id = o.entity_id""",
+          **HISTORY)
+def _(r: Run) -> DataFrame:
+    """The crosswalk of the first state, its absorbed entities redirected to those of the second."""
+    old = r.resolution1.crosswalk
+    events = graph.entity_history(old, r.resolution.crosswalk, 2)
+    return graph.resolve_ids(old.select("source_system", "source_id"), old, events)
+
+
 @register("linked_records", """select entity_id, source_system, source_id from crosswalk
   where entity_id in (select entity_id from c360 where source_count >= 3)""")
 def _(r: Run) -> DataFrame:
@@ -481,21 +519,6 @@ def _(r: Run) -> DataFrame:
     return graph.search_entities(r.resolution.golden, "Smith").select("entity_id", "email", "first_name", "last_name")
 
 
-HISTORY = dict(
-    moves="""select coalesce(n.source_system, o.source_system) as source_system, coalesce(n.source_id, o.source_id) as source_id,
-      o.entity_id as old_id, n.entity_id as new_id from crosswalk1 o full join crosswalk n
-      on o.source_system = n.source_system and o.source_id = n.source_id""",
-    flows="select distinct old_id, new_id from moves where old_id is not null and new_id is not null",
-    history="""select 'linked' as event, new_id as entity_id, cast(null as varchar) as other_entity_id, source_system, source_id
-        from moves where old_id is null
-      union all select 'unlinked', old_id, null, source_system, source_id from moves where new_id is null
-      union all select 'moved', new_id, old_id, source_system, source_id from moves where old_id <> new_id
-      union all select distinct 'created', entity_id, null, null, null from crosswalk
-        where entity_id not in (select entity_id from crosswalk1)
-      union all select case when (select count(*) from flows f where f.old_id = flows.old_id) = 1 then 'merged' else 'split' end,
-        new_id, old_id, null, null from flows where old_id <> new_id""")
-
-
 @register("entity_history", """select cast(2 as bigint) as version, event, entity_id, other_entity_id, source_system, source_id
   from history""", **HISTORY)
 def _(r: Run) -> DataFrame:
@@ -639,7 +662,13 @@ def _(r: Run) -> DataFrame:
 
 
 RESOLVED = dict(
-    **UNKNOWN,
+    UNKNOWN,
+    # New records meet known ones with the values that the batch brings.
+    known_norm=f"""select c.source_system || ':' || c.external_id as rec_id, x.entity_id, {sql.normal('c.')} from changed c
+      join crosswalk1 x on x.source_system = c.source_system and x.source_id = c.external_id where _action = 'INSERT'""",
+    stored=f"""select min(rec_id) as vid, entity_id, {sql.N} from (
+      select rec_id, entity_id, {sql.N} from members1 where rec_id not in (select rec_id from known_norm)
+      union all select rec_id, entity_id, {sql.N} from known_norm) group by entity_id, {sql.N}""",
     strong="select left_id, entity_id from per_entity where weight >= 12",
     m_edges="select distinct a.entity_id as a, b.entity_id as b from strong a join strong b using (left_id) where a.entity_id <> b.entity_id",
     m_reach="""select distinct a as entity_id, a as seen from m_edges union select m_edges.b, m_reach.seen from m_reach
@@ -657,16 +686,29 @@ RESOLVED = dict(
     n_comp="select vid, min(seen) as component from n_reach group by vid",
     own_link="""select left_id as vid, arg_min(entity_id, row(-weight, entity_id)) as entity_id, max(weight) as weight
       from per_entity where weight >= 8 group by 1""",
-    group_link="""select component, arg_min(entity_id, row(-weight, entity_id)) as entity_id from n_comp
-      join own_link using (vid) group by 1""",
-    placed=f"""select n.rec_id, n.source_system, n.external_id, c.component, o.entity_id as own_id, g.entity_id as group_id,
+    own_match="""select left_id as vid, arg_min(matched_id, row(-weight, entity_id)) as matched_id from per_entity where weight >= 8 group by 1""",
+    group_link="""select component, arg_min(entity_id, row(-weight, entity_id)) as entity_id, arg_min(matched_id, row(-weight, entity_id)) as matched_id
+      from n_comp join own_link using (vid) join own_match using (vid) group by 1""",
+    placed=f"""select n.rec_id, n.source_system, n.external_id, c.component, o.entity_id as own_id, o.weight, om.matched_id as own_match,
+      g.entity_id as group_id, g.matched_id as group_match, {', '.join(f'n.{c}' for c in N_COLUMNS)},
       row_number() over (partition by c.component order by cast(split_part(n.external_id, '_', 2) as bigint), n.rec_id) as pos
       from new_norm n join new_prof p on {' and '.join(f'n.{c} is not distinct from p.{c}' for c in N_COLUMNS)}
-      join n_comp c on c.vid = p.vid left join own_link o on o.vid = p.vid left join group_link g on g.component = c.component""",
-    outcome="""select source_system, external_id, coalesce(own_id, group_id, sha256(component)) as entity_id,
-      group_id is null and pos = 1 as is_new from placed
-      union all select source_system, external_id, entity_id, false from changed join crosswalk1 using (source_system)
-      where _action = 'INSERT' and external_id = source_id""")
+      join n_comp c on c.vid = p.vid left join own_link o on o.vid = p.vid left join own_match om on om.vid = p.vid
+      left join group_link g on g.component = c.component""",
+    # A record without a link of its own is compared with the one it is said to match: that of the group, or its first.
+    partners=f"""select vid as rec_id, {sql.N} from stored union all select rec_id, {sql.N} from placed where pos = 1 and group_id is null""",
+    heads="select component, rec_id as head_id from placed where pos = 1",
+    through=f"""select l.rec_id, {sql.gammas()} from placed l join heads h on h.component = l.component
+      join partners r on r.rec_id = case when l.group_id is not null then l.group_match else h.head_id end""",
+    through_weight=f"select rec_id, {sql.WEIGHT} as weight from through",
+    outcome=f"""select p.source_system, p.external_id, coalesce(own_id, group_id, sha256(p.component)) as entity_id, group_id is null and pos = 1 as is_new,
+      case when own_id is not null then split_part(own_match, ':', 1) when group_id is not null then split_part(group_match, ':', 1)
+        when pos > 1 then split_part(h.head_id, ':', 1) end as matched_source,
+      case when own_id is not null then {sql.CONFIDENCE.replace('weight', 'p.weight')} when group_id is null and pos = 1 then 1.0
+        else {sql.CONFIDENCE.replace('weight', 't.weight')} end as confidence
+      from placed p join heads h on h.component = p.component left join through_weight t on t.rec_id = p.rec_id
+      union all select c.source_system, external_id, entity_id, false, c.source_system, 1.0 from changed c join crosswalk1 x
+        on x.source_system = c.source_system and x.source_id = c.external_id where _action = 'INSERT'""")
 
 
 @register("resolve_batch", """select source_system, external_id, coalesce(survivor, outcome.entity_id) as entity_id, is_new
@@ -675,16 +717,32 @@ def _(r: Run) -> DataFrame:
     return r.batch_result.results.select("source_system", "external_id", "entity_id", "is_new")
 
 
-@register("resolve_batch_details")
-def _(r: Run) -> DataFrame:
+DETAILS = """select source_system, external_id, coalesce(survivor, outcome.entity_id) as entity_id, is_new, matched_source,
+  round(confidence, 6) as confidence from outcome left join survivors on survivors.entity_id = outcome.entity_id"""
+
+
+def _details(r: Run) -> DataFrame:
     return r.batch_result.results.select("source_system", "external_id", "entity_id", "is_new", "matched_source",
-                                         F.round("confidence", 6).alias("confidence"), "canonical_data.*")
+                                         F.round("confidence", 6).alias("confidence"))
+
+
+register("resolve_batch_details", DETAILS, **RESOLVED)(_details)
 
 
-@register("resolve_summary", """select count(*) as total, count(*) filter (where is_new) as new_entities,
-  count(*) filter (where not is_new) as matched, cast(0 as bigint) as errors from outcome""", **RESOLVED)
+@register("resolve_batch_attributes")
 def _(r: Run) -> DataFrame:
-    return incremental.resolve_summary(r.batch_result.results, r.batch_result.errors)
+    return r.batch_result.results.select("source_system", "external_id", "canonical_data.*")
+
+
+@register("resolve_summary", """select count(*) + bad as total, count(*) filter (where is_new) as new_entities,
+  count(*) filter (where not is_new) as matched, bad as errors from outcome, (select count(*) as bad from changed
+  where _action = 'DELETE' and not _is_update) group by bad""", **RESOLVED)
+def _(r: Run) -> DataFrame:
+    """Besides the changes, every deleted record comes again without any attribute: those are the errors."""
+    bare = r.changes.where("_action = 'DELETE' and not _is_update").withColumns(
+        {a: F.lit(None).cast("string") for a in ATTRIBUTES}).withColumn("_action", F.lit("INSERT"))
+    errors = incremental.reject_invalid(upsert.cdc_inserts(r.changes.unionByName(bare)), r.spec)[1]
+    return incremental.resolve_summary(r.batch_result.results, errors)
 
 
 # --- quality
@@ -702,6 +760,31 @@ def _(r: Run) -> DataFrame:
     return quality.dq_unique(r.staged, "email")
 
 
+@register("dq_unique_keys", """select table_name || ' ' || source_system || '.external_id unique' as rule, count(*) filter (where n > 1) as failures
+    from (select 'unified' as table_name, source_system, external_id, count(*) as n from unified group by all) group by 1
+  union all select 'golden.entity_id unique', count(*) filter (where n > 1) from (select entity_id, count(*) as n from golden group by 1)
+  union all select 'unified.email unique', count(*) filter (where n > 1) from (select email, count(*) as n from unified where email is not null group by 1)""")
+def _(r: Run) -> DataFrame:
+    """The declared keys, and a column that is none: it must fail."""
+    return (quality.dq_unique_keys(r.staged, ["external_id"], "unified", by="source_system")
+            .unionByName(quality.dq_unique_keys(r.resolution.golden, ["entity_id"], "golden"))
+            .unionByName(quality.dq_unique_keys(r.staged, ["email"], "unified")))
+
+
+@register("check_schema", """select source, field, 'null' as problem, n as rows from (
+  select 'crm_contacts' as source, 'email' as field, count(*) filter (where email is null) as n from stg_crm
+  union all select 'crm_contacts', 'phone', count(*) filter (where phone is null) from stg_crm
+  union all select 'support_users', 'last_name', count(*) filter (where last_name is null) from stg_support
+  union all select 'app_signups', 'email', count(*) filter (where email is null) from stg_app
+  union all select 'billing_accounts', 'company_name', count(*) filter (where company_name is null) from stg_billing) where n > 0
+  union all select 'crm_contacts', 'loyalty_tier', 'missing', null""")
+def _(r: Run) -> DataFrame:
+    declared = {"crm_contacts": {"email": False, "phone": False, "loyalty_tier": True}, "support_users": {"last_name": False, "email": True},
+                "app_signups": {"email": False}, "billing_accounts": {"company_name": False}}
+    found = [quality.check_schema(staging.STAGERS[source](r.sources[source]), fields, source) for source, fields in declared.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @register("run_summary", """select 'completed' as status, 'healthy' as health, (select count(*) from unified) as input_entities,
   (select count(*) from golden) as canonicals,
   round(1 - (select count(*) from golden) / (select count(*) from unified), 6) as merge_rate""")
@@ -710,12 +793,54 @@ def _(r: Run) -> DataFrame:
     return quality.run_summary(r.staged, r.resolution.golden, failures)
 
 
-@register("pair_quality", """select true_positives, predicted, actual, round(true_positives / predicted, 6) as precision,
+PAIR_QUALITY = """select true_positives, predicted, actual, round(true_positives / predicted, 6) as precision,
   round(true_positives / actual, 6) as recall, round(2 * true_positives / (predicted + actual), 6) as f1 from (select
   (select cast(sum(n * (n - 1) // 2) as bigint) from (select count(*) as n from labelled group by entity_id, p)) as true_positives,
   (select cast(sum(n * (n - 1) // 2) as bigint) from (select count(*) as n from labelled group by entity_id)) as predicted,
-  (select cast(sum(n * (n - 1) // 2) as bigint) from (select count(*) as n from labelled group by p)) as actual)""",
-          labelled="select m.rec_id, m.entity_id, raw.p from members m join raw on raw.source_system || ':' || raw.external_id = m.rec_id")
+  (select cast(sum(n * (n - 1) // 2) as bigint) from (select count(*) as n from labelled group by p)) as actual)"""
+LABELLED = "select m.rec_id, m.entity_id, raw.p from {0} m join raw on raw.source_system || ':' || raw.external_id = m.rec_id"
+
+
+def _pair_quality_of(r: Run, members: DataFrame) -> DataFrame:
+    return quality.pair_quality(members, r.raw.select(normalize.record_id().alias("rec_id"), F.col("p").alias("person")))
+
+
+register("pair_quality", PAIR_QUALITY, labelled=LABELLED.format("members"))(lambda r: _pair_quality_of(r, r.resolution.members))
+register("pair_quality_trained", PAIR_QUALITY, labelled=LABELLED.format("memberst"))(lambda r: _pair_quality_of(r, r.trained.members))
+
+
+# --- the same results with blocks of more than three profiles taken as oversized
+
+@register("scored_pairs_hot", "select left_id, right_id, round(weight, 6) as weight from scored", limit=HOT)
+def _(r: Run) -> DataFrame:
+    return r.pairs.select("left_id", "right_id", F.round("weight", 6).alias("weight"))
+
+
+@register("entities_hot", "select rec_id, entity_id from members", limit=HOT)
+def _(r: Run) -> DataFrame:
+    return r.resolution.members.select("rec_id", "entity_id")
+
+
+@register("gamma_patterns_hot", f"select {', '.join(GAMMAS)}, pairs from patterns", limit=HOT)
+def _(r: Run) -> DataFrame:
+    return train.gamma_patterns(r.profiles, r.spec)
+
+
+register("resolve_batch_hot", DETAILS, limit=HOT, **RESOLVED)(_details)
+
+
+# --- overrides that hold
+
+SPLITS = """select min(rec_id) as left_id, max(rec_id) as right_id from members group by entity_id having count(*) > 2"""
+
+
+@register("overrides_hold", f"""select count(*) as splits, cast(0 as bigint) as broken, (select count(*) from members) as records from ({SPLITS})""")
 def _(r: Run) -> DataFrame:
-    truth = r.raw.select(normalize.record_id().alias("rec_id"), F.col("p").alias("person"))
-    return quality.pair_quality(r.resolution.members, truth)
+    """Every entity of more than two records is split between its first and its last record; how many splits fail."""
+    groups = r.resolution.members.groupBy("entity_id").agg(F.min("rec_id").alias("left_id"), F.max("rec_id").alias("right_id"), F.count("*").alias("n"))
+    splits = scratch_table(groups.where("n > 2").select(F.lit("split").alias("kind"), "left_id", "right_id"), "splits")
+    members = batch.reconcile(r.staged, r.spec, AS_OF, trained=False, overrides=splits).members
+    ends = [members.select(F.col("rec_id").alias(c), F.col("entity_id").alias(c[:-3])) for c in ("left_id", "right_id")]
+    both = splits.join(ends[0], "left_id").join(ends[1], "right_id")
+    return both.agg(F.count("*").alias("splits"), F.count(F.when(F.col("left") == F.col("right"), 1)).alias("broken")).crossJoin(
+        members.agg(F.count("*").alias("records")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # `p` is the true person, `k` the record, `s` the source. Noise: missing emails and phones, plus-tags, typos, and
@@ -69,16 +69,30 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return sources_of(raw_records(spark, sf_dir))
 
 
+def _record_of(customer: str) -> list[Column]:
+    """Source system and record id of a customer number, as in `raw`."""
+    kind = (F.col(customer) % 5 + 1).cast("int")
+    name = lambda names: F.split_part(F.lit(names), F.lit(","), kind)
+    return [name("crm_contacts,billing_accounts,support_users,app_signups,partner_leads").alias("source_system"),
+            F.concat(name("CRM,BILL,SUP,APP,PART"), F.lit("_"), F.lpad(F.col(customer).cast("string"), 9, "0")).alias("source_id")]
+
+
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers that are billing accounts."""
-    orders = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 5 == 1)
-    return orders.select(
-        F.concat(F.lit("BILL_"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("billing_account_id"),
-        F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"))
+    """All orders as invoices of the customer's record."""
+    return table(spark, sf_dir, "orders").select(
+        *_record_of("o_custkey"), F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"))
 
 
 def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where(F.col("user_id") % 5 == 3)
-    return events.select(
-        F.concat(F.lit("APP_"), F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("app_user_id"),
-        "event_id", "event_type", "value")
+    """All events, each of one user's record."""
+    return table(spark, sf_dir, "events").select(*_record_of("user_id"), "event_id", "event_type", "value")
+
+
+def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per company of the records: the segment of its first customer, and how many it has."""
+    named = raw_records(spark, sf_dir).join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment"), "k")
+    name = F.lower("company_name")
+    return (named.where(F.col("company_name").isNotNull()).groupBy(name.alias("company_name"))
+            .agg(F.min("k").alias("first"), F.min_by("c_mktsegment", "k").alias("industry"), F.count(F.lit(1)).cast("int").alias("employee_count"))
+            .select(F.concat(F.lit("CO_"), F.col("first").cast("string")).alias("crm_company_id"), "company_name",
+                    F.concat(F.regexp_replace("company_name", " ", ""), F.lit(".com")).alias("domain"), "industry", "employee_count"))

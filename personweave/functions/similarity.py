@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 PREFIX_SCALE = 0.1
 PREFIX_LENGTH = 4
 BOOST_FROM = 0.7
+LENGTH_CLASSES = (8, 16, 32)
 
 
 def _codes(texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -25,8 +28,53 @@ def _matched_in_order(codes: np.ndarray, flags: np.ndarray, width: int) -> np.nd
     return out
 
 
+def _jaro_parts(a: str, b: str) -> tuple[int, int]:
+    """Common characters and transpositions of one pair, in one pass over each text."""
+    window = max(max(len(a), len(b)) // 2 - 1, 0)
+    places: dict[str, deque[int]] = {}
+    for i, c in enumerate(a):
+        places.setdefault(c, deque()).append(i)
+    taken, order = [], []
+    for j, c in enumerate(b):
+        free = places.get(c)
+        while free and free[0] < j - window:
+            free.popleft()
+        if free and free[0] <= j + window:
+            taken.append(free.popleft())
+            order.append(c)
+    taken.sort()
+    return len(taken), sum(a[i] != c for i, c in zip(taken, order)) // 2
+
+
+def _long_similarity(a: str, b: str) -> float:
+    common, swaps = _jaro_parts(a, b)
+    if not common:
+        return 0.0
+    jaro = (common / len(a) + common / len(b) + (common - swaps) / common) / 3
+    prefix = next((i for i, (x, y) in enumerate(zip(a[:PREFIX_LENGTH], b[:PREFIX_LENGTH])) if x != y),
+                  min(PREFIX_LENGTH, len(a), len(b)))
+    return jaro + prefix * PREFIX_SCALE * (1 - jaro) if jaro >= BOOST_FROM else jaro
+
+
 def jaro_winkler(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Similarity of aligned, non-null texts; one array operation handles one character position of all rows."""
+    """Similarity of aligned, non-null texts.
+
+    Rows are taken by length class: the width of the arrays follows the class and not the longest value of the batch.
+    Long texts are compared one pair at a time, in linear time.
+    """
+    longest = np.fromiter((max(len(a), len(b)) for a, b in zip(left, right)), np.int64, len(left))
+    out = np.zeros(len(left))
+    for low, high in zip((-1, *LENGTH_CLASSES), LENGTH_CLASSES):
+        rows = np.flatnonzero((longest > low) & (longest <= high))
+        if len(rows):
+            out[rows] = _aligned(left[rows], right[rows])
+    for i in np.flatnonzero(longest > LENGTH_CLASSES[-1]):
+        out[i] = _long_similarity(left[i], right[i])
+    return out
+
+
+def _aligned(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One array operation handles one character position of all rows."""
     a, la = _codes(left)
     b, lb = _codes(right)
     n = len(a)

@@ -46,6 +46,57 @@ def connected_components(vertices: DataFrame, edges: DataFrame, vertex: str = "r
             .select(vertex, F.coalesce("b", vertex).alias("component")))
 
 
+# Weight of a link that a person has set.
+MANUAL = 1e9
+
+
+def _part_of(nodes: DataFrame, around: DataFrame, anchors: DataFrame) -> DataFrame:
+    """`node`, `label`: every node gets the label of the anchor that reaches it over the strongest links, link by link."""
+    labels = scratch_table(anchors, "labels")
+    while True:
+        reached = (around.join(labels, "node").join(labels.select(F.col("node").alias("other")), "other", "left_anti")
+                   .groupBy(F.col("other").alias("node"))
+                   .agg(F.min(F.struct((-F.col("weight")).alias("w"), "label")).getField("label").alias("label")))
+        reached = scratch_table(reached, "reached")
+        if reached.isEmpty():
+            return nodes.join(labels, "node").select("node", "label")
+        labels = scratch_table(labels.unionByName(reached), "labels")
+
+
+def separated_components(vertices: DataFrame, edges: DataFrame, splits: DataFrame, vertex: str = "rec_id") -> DataFrame:
+    """Like `connected_components`, but the two ends of every split (`left_id`, `right_id`) end up in different components.
+
+    `edges` has a `weight`. A component that holds both ends is divided between them: every other vertex follows the end
+    that it hangs on by the stronger links. One split per component is taken at a time until none is broken, so splits
+    that one division settles cost nothing more. Components without a broken split stay as they are.
+    """
+    pair = (F.least("left_id", "right_id").alias("left_id"), F.greatest("left_id", "right_id").alias("right_id"))
+    splits = scratch_table(splits.where(F.col("left_id") != F.col("right_id")).select(*pair).distinct(), "splits")
+    edges = scratch_table(edges.select(*pair, "weight").groupBy("left_id", "right_id").agg(F.max("weight").alias("weight"))
+                          .join(splits, ["left_id", "right_id"], "left_anti"), "weighted-edges")
+    parts = scratch_table(connected_components(vertices, edges, vertex), "components")
+    while True:
+        ends = [parts.select(F.col(vertex).alias(c), F.col("component").alias(c[:-3])) for c in ("left_id", "right_id")]
+        broken = splits.join(ends[0], "left_id").join(ends[1], "right_id").where(F.col("left") == F.col("right"))
+        first = scratch_table(broken.groupBy(F.col("left").alias("component")).agg(
+            F.min(F.struct("left_id", "right_id")).alias("split")), "broken-splits")
+        if first.isEmpty():
+            return parts
+        torn = parts.join(first.select("component"), "component", "left_semi").select(F.col(vertex).alias("node"), "component")
+        torn = scratch_table(torn, "torn")
+        around = (edges.join(torn.select(F.col("node").alias("left_id"), F.col("component").alias("l")), "left_id")
+                  .join(torn.select(F.col("node").alias("right_id"), F.col("component").alias("r")), "right_id")
+                  .where(F.col("l") == F.col("r")))
+        around = scratch_table(around.select(F.col("left_id").alias("node"), F.col("right_id").alias("other"), "weight").unionByName(
+            around.select(F.col("right_id").alias("node"), F.col("left_id").alias("other"), "weight")), "torn-edges")
+        anchors = first.select(F.explode(F.array("split.left_id", "split.right_id")).alias("node")).withColumn("label", F.col("node"))
+        divided = _part_of(torn.select("node"), around, anchors)
+        names = divided.groupBy("label").agg(F.min("node").alias("component"))
+        divided = divided.join(names, "label").select(F.col("node").alias(vertex), "component")
+        parts = scratch_table(parts.join(first.select("component"), "component", "left_anti").select(vertex, "component")
+                              .unionByName(divided), "components")
+
+
 def entity_id(member: Column) -> Column:
     return F.sha2(member, 256)
 

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from personweave.operators.upsert import upsert_golden
+from personweave.sources.scratch import scratch_table
 
 RECORD = ("source_system", "source_id")
 
 
-def resolve_ids(ids: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """Entity of every (source_system, source_id); null for unknown ones."""
-    return ids.join(crosswalk.select(*RECORD, "entity_id"), list(RECORD), "left")
+def resolve_ids(ids: DataFrame, crosswalk: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Entity of every (source_system, source_id); null for unknown ones.
+
+    With `events` an older crosswalk may be asked: entities absorbed since then lead to the one that absorbed them.
+    """
+    found = ids.join(crosswalk.select(*RECORD, "entity_id"), list(RECORD), "left")
+    if events is None:
+        return found
+    moved = absorbed(events).withColumnRenamed("now", "_now")
+    return found.join(moved, "entity_id", "left").withColumn("entity_id", F.coalesce("_now", "entity_id")).select(*found.columns)
 
 
 def linked_records(entity_ids: DataFrame, crosswalk: DataFrame) -> DataFrame:
@@ -70,11 +78,26 @@ def revert(events: DataFrame, current: DataFrame, version: int, new_version: int
     return restored, entity_history(current, restored, new_version)
 
 
+def absorbed(events: DataFrame) -> DataFrame:
+    """`entity_id`, `now`: every absorbed entity and the one that holds its records now, through chains of merges.
+
+    Each round doubles the length of the chains that are followed, so their number is the logarithm of the longest chain.
+    """
+    now = scratch_table(events.where(F.col("event") == "merged").groupBy(F.col("other_entity_id").alias("entity_id")).agg(
+        F.max_by("entity_id", "version").alias("now")), "absorbed")
+    while True:
+        ahead = now.select(F.col("entity_id").alias("now"), F.col("now").alias("_next"))
+        longer = now.join(ahead, "now", "left")
+        if longer.where(F.col("_next").isNotNull() & (F.col("_next") != F.col("entity_id"))).isEmpty():
+            return now
+        # An entity that came back to life after it was absorbed ends its own chain.
+        onward = F.when(F.col("_next") != F.col("entity_id"), F.col("_next"))
+        now = scratch_table(longer.select("entity_id", F.coalesce(onward, "now").alias("now")), "absorbed")
+
+
 def follow_merges(ids: DataFrame, events: DataFrame) -> DataFrame:
-    """Redirect absorbed entity ids to the entity that absorbed them last."""
-    absorbed = events.where(F.col("event") == "merged").groupBy(F.col("other_entity_id").alias("entity_id")).agg(
-        F.max_by("entity_id", "version").alias("now"))
-    return ids.join(absorbed, "entity_id", "left").select(
+    """Redirect absorbed entity ids to the entity that holds their records now."""
+    return ids.join(absorbed(events), "entity_id", "left").select(
         F.coalesce("now", "entity_id").alias("entity_id"), F.col("entity_id").alias("asked_id"))
 
 

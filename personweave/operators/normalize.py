@@ -12,8 +12,8 @@ from personweave.functions.text import normal_email, normal_generic, normal_name
 from personweave.operators.blocking import key_columns
 from personweave.spec import IdentitySpec, ScoreField
 
-# The nickname dictionary travels as a broadcast table; larger ones belong in a staged column.
-MAX_NICKNAMES = 100_000
+# Up to so many entries the nickname dictionary is sent to all tasks; a larger one is an ordinary join.
+BROADCAST_NICKNAMES = 100_000
 
 NORMALIZERS: dict[str, Callable[[Column], Column]] = {
     "email": normal_email, "phone": normal_phone, "nickname": normal_name, "name": normal_name,
@@ -25,18 +25,21 @@ def record_id(source: str = "source_system", key: str = "external_id") -> Column
     return F.concat(F.col(source), F.lit(":"), F.col(key))
 
 
-def apply_nicknames(df: DataFrame, column: str, nicknames: dict[str, str]) -> DataFrame:
-    """Replace short given names by their full form."""
-    if len(nicknames) > MAX_NICKNAMES:
-        raise ValueError(f"nickname dictionary has more than {MAX_NICKNAMES} entries")
-    if not nicknames:
+def apply_nicknames(df: DataFrame, column: str, nicknames: dict[str, str] | DataFrame) -> DataFrame:
+    """Replace short given names by their full form. A table of nicknames has one row per `alias`."""
+    if isinstance(nicknames, DataFrame):
+        table = nicknames.select("alias", "formal")
+    elif not nicknames:
         return df
-    table = df.sparkSession.createDataFrame(list(nicknames.items()), "alias string, formal string")
-    joined = df.join(F.broadcast(table), F.col(column) == F.col("alias"), "left")
+    else:
+        table = df.sparkSession.createDataFrame(list(nicknames.items()), "alias string, formal string")
+        if len(nicknames) <= BROADCAST_NICKNAMES:
+            table = F.broadcast(table)
+    joined = df.join(table, F.col(column) == F.col("alias"), "left")
     return joined.withColumn(column, F.coalesce("formal", column)).drop("alias", "formal")
 
 
-def normalize_records(df: DataFrame, fields: tuple[ScoreField, ...], nicknames: dict[str, str]) -> DataFrame:
+def normalize_records(df: DataFrame, fields: tuple[ScoreField, ...], nicknames: dict[str, str] | DataFrame) -> DataFrame:
     """Add `n_<field>` columns; null stays null and an empty text becomes null."""
     out = df.withColumns({f.column: NORMALIZERS[f.normalizer](F.col(f.name)) for f in fields})
     for f in fields:
@@ -77,6 +80,16 @@ def with_profile_key(normal: DataFrame, spec: IdentitySpec, profile: str = "batc
     return normal.withColumn("profile_key", F.sha2(key, 256))
 
 
+def apart(records: DataFrame, overrides: DataFrame | None) -> DataFrame:
+    """Give every record that a split names a profile of its own, so that it can leave its copies."""
+    if overrides is None:
+        return records
+    splits = overrides.where(F.col("kind") == "split")
+    named = splits.select(F.explode(F.array("left_id", "right_id")).alias("rec_id")).distinct().withColumn("_own", F.lit(True))
+    key = F.when(F.col("_own"), F.sha2(F.concat("profile_key", "rec_id"), 256)).otherwise(F.col("profile_key"))
+    return records.join(named, "rec_id", "left").withColumn("profile_key", key).drop("_own")
+
+
 def has_key(spec: IdentitySpec, profile: str = "batch") -> Column:
     """True for records with at least one blocking key."""
     return reduce(lambda a, b: a | b, [key.isNotNull() for _, key in key_columns(spec, profile)])

@@ -81,16 +81,15 @@ def block_pairs(keyed: DataFrame, spec: IdentitySpec, profile: str = "batch") ->
 def split_by_size(keyed: DataFrame, spec: IdentitySpec) -> tuple[DataFrame, DataFrame | None]:
     """Ordinary blocks, and the oversized ones if there are any."""
     keys = ["key_type", "key_value"]
-    large = (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("block_rows"))
-             .where(F.col("block_rows") > spec.block_limit))
+    large = scratch_table(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("block_rows"))
+                          .where(F.col("block_rows") > spec.block_limit), "large-blocks")
     if large.isEmpty():
         return keyed, None
-    large = scratch_table(large, "large-blocks")
     return keyed.join(large, keys, "left_anti"), keyed.join(large, keys)
 
 
 def _lowest_weight(spec: IdentitySpec, agreed: int, present: int) -> float:
-    return sum(f.agree if agreed >> i & 1 else f.disagree
+    return sum(f.agree if agreed >> i & 1 else min(f.agree, f.disagree)
                for i, f in enumerate(spec.fields) if present >> i & 1)
 
 

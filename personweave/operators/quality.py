@@ -22,6 +22,16 @@ def dq_unique(df: DataFrame, column: str) -> DataFrame:
             .where(F.col("n") > 1))
 
 
+def dq_unique_keys(df: DataFrame, keys: list[str], table: str, by: str | None = None) -> DataFrame:
+    """`rule`, `failures`: values of each declared key that occur more than once, within each value of `by` if given."""
+    rules = []
+    for key in keys:
+        name = F.lit(f"{table}.{key} unique") if by is None else F.concat(F.lit(f"{table} "), F.col(by), F.lit(f".{key} unique"))
+        counts = df.where(F.col(key).isNotNull()).groupBy(name.alias("rule"), F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+        rules.append(counts.groupBy("rule").agg(F.count(F.when(F.col("n") > 1, 1)).alias("failures")))
+    return reduce(DataFrame.unionByName, rules)
+
+
 def check_schema(df: DataFrame, declared: dict[str, bool], source: str) -> DataFrame:
     """`source, field, problem, rows` for missing fields, wrong types, and nulls in fields declared not null."""
     spark, types = df.sparkSession, {f.name: f.dataType for f in df.schema.fields}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from personweave.operators.blocking import block_keys
@@ -18,23 +18,32 @@ LOWEST = 1e-6
 ROUNDS = 8
 # Records that meet in one random bucket: few enough to sort, many enough to pair nearly all of them.
 BUCKET_ROWS = 64
+HASH_RANGE = 1 << 48
+
+
+def _number(digest: Column) -> Column:
+    """The first 48 bits of a hexadecimal digest."""
+    return F.conv(F.substr(digest, F.lit(1), F.lit(12)), 16, 10).cast("long")
 
 
 def random_pairs(profiles: DataFrame, spec: IdentitySpec, max_pairs: int, rounds: int = ROUNDS) -> DataFrame:
     """Random pairs of neighbours in hash order, at most about `max_pairs`, the same for every run.
 
     Each round sorts the rows of small random buckets by another hash and pairs neighbours. The hash of a unique id
-    decides the bucket, so buckets are even whatever the data look like.
+    decides the bucket, so buckets are even whatever the data look like. One hash per profile, moved on by an even step
+    per round, decides which rounds draw it; only drawn profiles are hashed again.
     """
     total = max(profiles.count(), 1)
     share = min(1.0, max_pairs / (rounds * total))
     buckets = max(int(total * share) // BUCKET_ROWS, 1)
     columns = ["vid", *[f.column for f in spec.fields]]
-    drawn = (profiles.select(*columns, F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_round"))
+    step, limit = HASH_RANGE // rounds, int(share * HASH_RANGE)
+    place = _number(F.md5("vid"))
+    in_rounds = F.filter(F.sequence(F.lit(0), F.lit(rounds - 1)),
+                         lambda r: F.pmod(place + r * F.lit(step).cast("long"), F.lit(HASH_RANGE)) < F.lit(limit).cast("long"))
+    drawn = (profiles.select(*columns, F.explode(in_rounds).alias("_round"))
              .withColumn("_hash", F.md5(F.concat(F.col("_round").cast("string"), F.lit(":"), "vid")))
-             .withColumn("_number", F.conv(F.substr("_hash", F.lit(1), F.lit(12)), 16, 10).cast("long"))
-             .where(F.pmod("_number", F.lit(1_000_000)) < int(share * 1_000_000))
-             .withColumn("_bucket", F.pmod(F.floor(F.col("_number") / 1_000_000), F.lit(buckets))))
+             .withColumn("_bucket", F.pmod(_number(F.col("_hash")), F.lit(buckets))))
     following = F.lead(F.struct(*columns)).over(Window.partitionBy("_round", "_bucket").orderBy("_hash"))
     return (drawn.select(*[F.col(c).alias("l_" + c) for c in columns], following.alias("_r"))
             .where(F.col("_r").isNotNull())
@@ -83,7 +92,7 @@ def _bounded(x: float) -> float:
 
 def em_iterate(rows: list[tuple[tuple[int, ...], float]], m: list[float], u: list[float], rate: float
                ) -> tuple[list[float], float]:
-    """One expectation and maximisation step over (comparison vector, count) rows; u stays fixed."""
+    """One expectation and maximisation step over (comparison vector, count) rows; u stays fixed and bounds m."""
     hits, seen = [0.0] * len(m), [0.0] * len(m)
     matched = total = 0.0
     for gammas, pairs in rows:
@@ -99,7 +108,7 @@ def em_iterate(rows: list[tuple[tuple[int, ...], float]], m: list[float], u: lis
             if g != MISSING:
                 seen[i] += expected
                 hits[i] += expected * (g == AGREE)
-    new_m = [_bounded(h / s) if s > 0 else old for h, s, old in zip(hits, seen, m)]
+    new_m = [max(_bounded(h / s), low) if s > 0 else old for h, s, old, low in zip(hits, seen, m, u)]
     return new_m, _bounded(matched / total) if total else rate
 
 
@@ -110,8 +119,8 @@ def em_train(patterns: DataFrame, u: dict[str, float], spec: IdentitySpec, start
     """
     names = [f"gamma_{f.name}" for f in spec.fields]
     rows = [(tuple(row[n] for n in names), float(row["pairs"])) for row in patterns.select(*names, "pairs").collect()]
-    m = [f.m for f in spec.fields]
     fixed = [_bounded(u.get(f.name, f.u)) for f in spec.fields]
+    m = [max(f.m, low) for f, low in zip(spec.fields, fixed)]
     rate, done = start_rate, 0
     for done in range(1, spec.max_iterations + 1):
         new_m, new_rate = em_iterate(rows, m, fixed, rate)

@@ -4,27 +4,28 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPDATED_ON_MATCH = ("email", "phone", "first_name", "last_name", "company_name", "confidence_score")
 
 
-def last_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def last_per_key(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
     """The row with the largest `order` for every key."""
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r")).select(
+    order = F.col(order) if isinstance(order, str) else order
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(
         *keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], update: list[str]) -> DataFrame:
     """All rows of both tables; for keys in both, the `update` columns come from `new`, the others from `old`.
 
-    `new` holds one row per key and the columns of `old`.
+    `new` has the columns of `old`; of several rows of one key the largest one (column by column) counts.
     """
     rest = [c for c in old.columns if c not in keys]
     o = old.select(*keys, F.struct(*rest).alias("_old"))
-    n = new.select(*keys, F.struct(*rest).alias("_new"))
+    n = new.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_new"))
     joined = o.join(n, keys, "full")
 
     def value(c: str):

@@ -10,10 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from personweave.functions.similarity import (
-    BOOST_FROM, PREFIX_LENGTH, can_reach, required_jaro, similarity_column,
-)
+from personweave.functions.similarity import PREFIX_LENGTH, can_reach, required_jaro, similarity_column
 from personweave.sources.scratch import scratch_table
+from personweave.spec import LOWEST_THRESHOLD
 
 # Letters from rare to common. Any fixed order gives the same result; a good one gives fewer candidates.
 _RARE_FIRST = {c: i for i, c in enumerate("jqxzwvkfybhgmpudclotnraise ")}
@@ -52,9 +51,10 @@ def _signatures(text: str, threshold: float, lengths: frozenset[int]) -> Iterato
     # Without a common first character there is no prefix boost, so a higher Jaro value is needed.
     for label, prefix in ((text[0], PREFIX_LENGTH), ("", 0)):
         needed = 3 * required_jaro(threshold, prefix) - 1
-        # m cannot exceed the shorter length, which bounds the other length from both sides.
-        shortest = max(1, math.ceil(length * (needed - 1) - 1e-9))
-        longest = math.floor(length / (needed - 1) + 1e-9)
+        # m cannot exceed the shorter length, which bounds the other length from both sides if J is above 2/3.
+        bounded = needed > 1 + 1e-9
+        shortest = max(1, math.ceil(length * (needed - 1) - 1e-9)) if bounded else 1
+        longest = math.floor(length / (needed - 1) + 1e-9) if bounded else max(lengths)
         for other in range(shortest, longest + 1):
             overlap = math.ceil(needed / (1 / length + 1 / other) - 1e-9)
             if other not in lengths or overlap > min(length, other):
@@ -69,9 +69,8 @@ def similar_values(values: DataFrame, threshold: float) -> DataFrame:
 
     `values` has `field`, `value`; the result has `field`, `v`, `w`, `similarity`.
     """
-    if required_jaro(threshold, PREFIX_LENGTH) < BOOST_FROM or threshold < BOOST_FROM:
-        raise ValueError(f"threshold must be at least {BOOST_FROM}")
-
+    if threshold < LOWEST_THRESHOLD:
+        raise ValueError(f"threshold must be at least {LOWEST_THRESHOLD}")
     distinct = scratch_table(values.where(F.length("value") > 0).select("field", "value").distinct(), "vocabulary")
     # Lengths that occur: at most as many as the longest value has characters.
     lengths = frozenset(r[0] for r in distinct.select(F.length("value")).distinct().collect())

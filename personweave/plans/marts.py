@@ -45,35 +45,44 @@ def multi_system_customers(c360: DataFrame, n: int = 3) -> DataFrame:
     return c360.where(F.col("source_count") >= n).orderBy(F.desc("source_count"), "entity_id")
 
 
-def facts_with_entity(facts: DataFrame, crosswalk: DataFrame, source: str, id_column: str, keep_unresolved: bool = True
-                      ) -> DataFrame:
-    """Attach the entity id to a fact table keyed by a record id of one source system."""
-    links = crosswalk.where(F.col("source_system") == source).select(F.col("source_id").alias(id_column), "entity_id")
-    return facts.join(links, id_column, "left" if keep_unresolved else "inner")
-
+RECORD = ("source_system", "source_id")
+
+
+def facts_with_entity(facts: DataFrame, crosswalk: DataFrame, source: str | None = None, id_column: str = "source_id",
+                      keep_unresolved: bool = True) -> DataFrame:
+    """Attach the entity id to facts that name a record: by `source_system` and `source_id`, or, for facts of one
+    `source`, by the record id in `id_column`."""
+    links = crosswalk.select(*RECORD, "entity_id")
+    keys = list(RECORD)
+    if source is not None:
+        links = links.where(F.col("source_system") == source).select(F.col("source_id").alias(id_column), "entity_id")
+        keys = [id_column]
+    return facts.join(links, keys, "left" if keep_unresolved else "inner")
+
+
+def _per_entity(facts: DataFrame, crosswalk: DataFrame, source: str | None, id_column: str, amount: str | None) -> DataFrame:
+    """Number and sum of facts per entity. Facts are summed per record before any join, so a record with very many of
+    them shuffles as one row per task."""
+    keys = list(RECORD) if source is None else [id_column]
+    sums = [F.sum(amount).alias("total")] if amount else []
+    per_record = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
+    linked = facts_with_entity(per_record, crosswalk, source, id_column, keep_unresolved=False)
+    return linked.groupBy("entity_id").agg(F.sum("n").alias("n"), *([F.sum("total").alias("total")] if amount else []))
 
-def top_invoiced(invoices: DataFrame, crosswalk: DataFrame, golden: DataFrame, n: int = 20) -> DataFrame:
-    """Customers with the largest invoice totals.
 
-    Invoices are summed per account before any join, so an account with very many invoices shuffles as one row per
-    task.
-    """
-    per_account = invoices.groupBy("billing_account_id").agg(F.sum("amount_cents").alias("cents"))
-    accounts = facts_with_entity(per_account, crosswalk, "billing_accounts", "billing_account_id", keep_unresolved=False)
-    totals = accounts.groupBy("entity_id").agg(F.sum("cents").alias("cents"))
+def top_invoiced(invoices: DataFrame, crosswalk: DataFrame, golden: DataFrame, n: int = 20, source: str | None = None,
+                 id_column: str = "source_id") -> DataFrame:
+    """Customers with the largest invoice totals."""
+    totals = _per_entity(invoices, crosswalk, source, id_column, "amount_cents")
     return (totals.join(golden.select("entity_id", "first_name", "last_name"), "entity_id")
-            .select("entity_id", "first_name", "last_name", (F.col("cents") / 100.0).alias("total_invoiced"))
+            .select("entity_id", "first_name", "last_name", (F.col("total") / 100.0).alias("total_invoiced"))
             .orderBy(F.desc("total_invoiced"), "entity_id").limit(n))
 
 
-def fact_totals(facts: DataFrame, crosswalk: DataFrame, source: str, id_column: str, name: str,
-                amount: str | None = None) -> DataFrame:
-    """`n_<name>` and, with an amount column, `total_<name>` per entity; pre-aggregated per source record."""
-    sums = [F.sum(amount).alias("_total")] if amount else []
-    per_record = facts.groupBy(id_column).agg(F.count(F.lit(1)).alias("_n"), *sums)
-    linked = facts_with_entity(per_record, crosswalk, source, id_column, keep_unresolved=False)
-    totals = [F.sum("_total").alias(f"total_{name}")] if amount else []
-    return linked.groupBy("entity_id").agg(F.sum("_n").alias(f"n_{name}"), *totals)
+def fact_totals(facts: DataFrame, crosswalk: DataFrame, name: str, amount: str | None = None, source: str | None = None,
+                id_column: str = "source_id") -> DataFrame:
+    """`n_<name>` and, with an amount column, `total_<name>` per entity."""
+    return _per_entity(facts, crosswalk, source, id_column, amount).withColumnsRenamed({"n": f"n_{name}", "total": f"total_{name}"})
 
 
 def customer_360_enriched(c360: DataFrame, facts: list[DataFrame]) -> DataFrame:
@@ -92,8 +101,11 @@ def with_company(c360: DataFrame, companies: DataFrame) -> DataFrame:
     return c360.withColumn("_company", key).join(lookup, "_company", "left").drop("_company")
 
 
-def mask_pii(df: DataFrame, fields: tuple[str, ...] | None = None) -> DataFrame:
-    """Replace personal fields by their hash: those marked `pii` in the schema, or the given ones."""
+def mask_pii(df: DataFrame, fields: tuple[str, ...] | None = None, salt: str = "") -> DataFrame:
+    """Replace personal fields by their hash: those marked `pii` in the schema, or the given ones.
+
+    Without a secret `salt` the hash of a value from a small set, such as a phone number, can be found by trying all.
+    """
     marked = tuple(f.name for f in df.schema.fields if f.metadata.get("pii"))
     chosen = fields if fields is not None else (marked or PII_FIELDS)
-    return df.withColumns({c: F.sha2(F.col(c), 256) for c in chosen if c in df.columns})
+    return df.withColumns({c: F.sha2(F.concat(F.lit(salt), F.col(c)), 256) for c in chosen if c in df.columns})

@@ -1,8 +1,8 @@
-"""The stored identity graph: append-only Parquet tables with a commit log.
+"""The stored identity graph: Parquet tables, one `version=` folder per change, and a log of the finished ones.
 
-Every batch writes only its changed rows, into one `version=` folder per table, and then appends one row to the commit
-log. A reader sees the versions that were committed, takes the latest row per key, and can read any earlier version.
-`compact` writes a full copy as a new base, from which later reads start.
+A batch writes only its changed rows and then one row of the log, so an interrupted one is never read. A base is a
+version that holds all rows of the keyed tables, deleted ones included; readers start there. Rows carry the version of
+their last change, which survives a new base.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from personweave.operators.upsert import last_per_key
 from personweave.schemas import ATTRIBUTES, STAGED_COLUMNS
 
-KEYS = {"members": ["rec_id"], "golden": ["entity_id"]}
+KEYS = {"members": ["rec_id"], "golden": ["entity_id"], "override": ["left_id", "right_id"], "lock": ["entity_id"]}
 
 _TYPES = {"long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "int": T.IntegerType(),
           "timestamp": T.TimestampType(), "string": T.StringType()}
@@ -29,20 +29,52 @@ def _schema(columns: str) -> T.StructType:
 
 
 COMMITS = _schema("version:long batch_id base:boolean")
+_STATE = "_deleted:boolean updated_version:long"
 TABLES = {
-    "members": _schema(" ".join(["rec_id", *STAGED_COLUMNS, *[f"n_{a}" for a in ATTRIBUTES], "entity_id _deleted:boolean"])),
+    "members": _schema(" ".join(["rec_id", *STAGED_COLUMNS, *[f"n_{a}" for a in ATTRIBUTES], "entity_id", _STATE])),
     "golden": _schema("entity_id entity_type first_name last_name email phone company_name confidence_score:double "
-                      "source_name created_at:timestamp _deleted:boolean"),
+                      f"source_name created_at:timestamp {_STATE}"),
     "entity_event": _schema("event entity_id other_entity_id source_system source_id"),
     "results": _schema("source_system external_id entity_id is_new:boolean matched_source confidence:double").add(
         "canonical_data", _schema(" ".join(ATTRIBUTES))),
     "errors": _schema("source_system external_id error"),
     "params": _schema("field m:double u:double match_rate:double iteration:int"),
-    "override": _schema("kind left_id right_id"),
-    "lock": _schema("entity_id"),
+    "override": _schema(f"kind left_id right_id {_STATE}"),
+    "lock": _schema(f"entity_id {_STATE}"),
 }
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """The tables as of one version; reading them needs no further look at the log."""
+
+    store: "GraphStore"
+    version: int
+    base: int
+
+    def changes(self, name: str, first: int, last: int) -> DataFrame:
+        """All rows written by a range of versions, with the `version` that wrote them."""
+        schema = T.StructType(TABLES[name].fields + [T.StructField("version", T.LongType())])
+        # Constant bounds on the partition column: folders outside them are not read.
+        return (self.store.spark.read.schema(schema).parquet(f"{self.store.path}/{name}")
+                .where(F.col("version").between(first, last)))
+
+    def rows(self, name: str) -> DataFrame:
+        """The last row of every key, deleted ones included. The base has one row per key, so only later rows are grouped."""
+        keys = KEYS[name]
+        rows = self.changes(name, self.base, self.base)
+        if self.version > self.base:
+            later = last_per_key(self.changes(name, self.base + 1, self.version), keys, "version")
+            rows = rows.join(later.select(*keys), keys, "left_anti").unionByName(later)
+        return rows.drop("version")
+
+    def read(self, name: str) -> DataFrame:
+        """A table without deleted rows; `updated_version` is the version of a row's last change."""
+        if name not in KEYS:
+            return self.changes(name, 0, self.version)
+        return self.rows(name).where(~F.coalesce("_deleted", F.lit(False))).drop("_deleted")
+
+
 @dataclass(frozen=True)
 class GraphStore:
     """Tables of one identity graph below a path that all executors can reach. One writer at a time."""
@@ -59,71 +91,86 @@ class GraphStore:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
 
+    def status(self, batch_id: str | None = None, version: int | None = None) -> tuple[Snapshot, bool]:
+        """The last (or the given) version, and whether a batch is in the log; one read of the log."""
+        seen = F.col("version") <= (F.lit(version) if version is not None else F.col("version"))
+        row = self.commits().agg(
+            F.max(F.when(seen, F.col("version"))).alias("version"), F.max(F.when(seen & F.col("base"), F.col("version"))).alias("base"),
+            F.coalesce(F.max(F.col("batch_id") == F.lit(batch_id)), F.lit(False)).alias("known")).first()
+        return Snapshot(self, row["version"], row["base"]), row["known"]
+
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        return self.status(version=version)[0]
+
     def version(self) -> int:
-        return self.commits().agg(F.max("version")).first()[0]
+        return self.snapshot().version
 
     def has_batch(self, batch_id: str) -> bool:
-        return not self.commits().where(F.col("batch_id") == batch_id).isEmpty()
+        return self.status(batch_id)[1]
+
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        return self.snapshot(version).read(name)
 
     def write(self, batch_id: str, tables: dict[str, DataFrame], base: bool = False) -> int:
         """Write changed rows as the next version. A repeated batch id writes nothing.
 
         A version that was interrupted before its commit is never read, and its folder is replaced by the retry.
         """
-        if self.has_batch(batch_id):
-            return self.version()
-        version = self.version() + 1
+        now, known = self.status(batch_id)
+        if known:
+            return now.version
         for name, df in tables.items():
-            self._write(name, df, version)
-        self._commit(version, batch_id, base)
-        return version
-
-    def _base(self, version: int) -> int:
-        return self.commits().where(F.col("base") & (F.col("version") <= version)).agg(F.max("version")).first()[0]
-
-    def changes(self, name: str, first: int, last: int) -> DataFrame:
-        """All rows written by a range of versions, with the `version` that wrote them."""
-        schema = T.StructType(TABLES[name].fields + [T.StructField("version", T.LongType())])
-        # Constant bounds on the partition column: folders outside them are not read.
-        return (self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-                .where(F.col("version").between(first, last)))
-
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        """A table as of a version, without rows deleted by then; `updated_version` is the version of the last change.
-
-        The base holds one row per key, so only the later, smaller versions are grouped; the base is scanned and
-        filtered by their keys.
-        """
-        version = self.version() if version is None else version
-        if name not in KEYS:
-            return self.changes(name, 0, version)
-        keys, base = KEYS[name], self._base(version)
-        rows = self.changes(name, base, base)
-        if version > base:
-            later = last_per_key(self.changes(name, base + 1, version), keys, "version")
-            rows = rows.join(later.select(*keys), keys, "left_anti").unionByName(later)
-        return (rows.where(~F.coalesce("_deleted", F.lit(False))).drop("_deleted")
-                .withColumnRenamed("version", "updated_version"))
+            self._write(name, df, now.version + 1)
+        self._commit(now.version + 1, batch_id, base)
+        return now.version + 1
 
     def crosswalk(self, version: int | None = None) -> DataFrame:
         return self.read("members", version).select(
             "source_system", F.col("external_id").alias("source_id"), "entity_id", "updated_version")
 
     def export_since(self, name: str, version: int) -> DataFrame:
-        """Current rows of a table that changed after a version."""
-        return self.read(name).where(F.col("updated_version") > version)
+        """Rows of a keyed table that changed after a version; `removed` marks those that are gone since then."""
+        rows = self.snapshot().rows(name).where(F.col("updated_version") > version)
+        return rows.withColumnRenamed("_deleted", "removed")
+
+    def replace(self, batch_id: str, tables: dict[str, DataFrame], other: dict[str, DataFrame]) -> int:
+        """Write a new base from the complete rows of some keyed tables; `other` is appended to tables without a key.
+
+        Rows that did not change keep the version of their last change; rows that are gone are kept as deleted, so that
+        exports show them. Keyed tables that are not given stay as they are.
+        """
+        now, known = self.status(batch_id)
+        if known:
+            return now.version
+        return self.write(batch_id, {name: self._against(now, name, tables.get(name)) for name in KEYS} | other, base=True)
 
     def compact(self) -> int:
         """Write the current tables in full as a new base. Earlier versions stay readable."""
-        current = self.version()
-        tables = {name: self.read(name).drop("updated_version").withColumn("_deleted", F.lit(False)) for name in KEYS}
-        return self.write(f"compact-{current}", tables, base=True)
+        return self.replace(f"compact-{self.version()}", {}, {})
+
+    def _against(self, now: Snapshot, name: str, new: DataFrame | None) -> DataFrame:
+        """All rows of a table after a replacement, with the versions of their last changes."""
+        old, keys = now.rows(name), KEYS[name]
+        if new is None:
+            return old
+        version, data = F.lit(now.version + 1).cast("long"), [c for c in TABLES[name].fieldNames() if c not in ("_deleted", "updated_version")]
+        rest = [c for c in data if c not in keys] or keys
+        both = (old.select(*keys, F.struct(*rest, "_deleted", "updated_version").alias("_o"))
+                .join(new.select(*keys, F.struct(*rest).alias("_n")), keys, "full"))
+        same = F.col("_n").isNotNull() & F.col("_o").isNotNull() & ~F.col("_o._deleted")
+        for c in rest:
+            same = same & F.col(f"_o.{c}").eqNullSafe(F.col(f"_n.{c}"))
+        gone = F.col("_n").isNull()
+        unchanged = same | (gone & F.col("_o._deleted"))
+        row = [F.col(c) if c in keys else F.when(gone, F.col(f"_o.{c}")).otherwise(F.col(f"_n.{c}")).alias(c) for c in data]
+        return both.select(*row, gone.alias("_deleted"),
+                           F.when(unchanged, F.col("_o.updated_version")).otherwise(version).alias("updated_version"))
 
     def _write(self, name: str, df: DataFrame, version: int) -> None:
-        columns = TABLES[name].fieldNames()
-        if "_deleted" in columns and "_deleted" not in df.columns:
-            df = df.withColumn("_deleted", F.lit(False))
-        df.select(*columns).write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
+        for column, value in (("_deleted", F.lit(False)), ("updated_version", F.lit(version).cast("long"))):
+            if column in TABLES[name].fieldNames() and column not in df.columns:
+                df = df.withColumn(column, value)
+        df.select(*TABLES[name].fieldNames()).write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
 
     def _commit(self, version: int, batch_id: str, base: bool) -> None:
         row = self.spark.createDataFrame([(version, batch_id, base)], COMMITS).coalesce(1)

@@ -5,12 +5,18 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field, replace
 
+from pyspark.sql import DataFrame
+
 from personweave.functions.nicknames import NICKNAMES
 
 
+# Below this Jaro-Winkler value two texts need hardly a common character.
+LOWEST_THRESHOLD = 0.4
+
+
 @dataclass(frozen=True)
 class ScoreField:
-    """One compared attribute with its Fellegi-Sunter probabilities."""
+    """One compared attribute with its Fellegi-Sunter probabilities. Agreement never counts against a match: m >= u."""
 
     name: str
     comparator: str  # "exact" or "jaro_winkler"
@@ -20,6 +26,12 @@ class ScoreField:
     normalizer: str  # "email", "phone", "nickname", "name" or "generic"
     threshold: float = 0.88
 
+    def __post_init__(self) -> None:
+        if not 0 < self.u <= self.m < 1:
+            raise ValueError(f"{self.name}: probabilities must have 0 < u <= m < 1, not m = {self.m}, u = {self.u}")
+        if not LOWEST_THRESHOLD <= self.threshold <= 1:
+            raise ValueError(f"{self.name}: the threshold must be from {LOWEST_THRESHOLD} to 1")
+
     @property
     def column(self) -> str:
         return f"n_{self.name}"
@@ -59,7 +71,8 @@ class IdentitySpec:
     convergence: float = 0.001
     # Blocks above this many distinct profiles are refined by further evidence instead of being paired up whole.
     block_limit: int = 256
-    nicknames: dict[str, str] = field(default_factory=lambda: dict(NICKNAMES))
+    # A dictionary, or a table with `alias` and `formal` of any size.
+    nicknames: dict[str, str] | DataFrame = field(default_factory=lambda: dict(NICKNAMES))
 
     def key_name(self, parts: tuple[str, ...]) -> str:
         return "+".join(parts)
@@ -74,7 +87,8 @@ class IdentitySpec:
         return replace(self, fields=fields)
 
 
-# Declared scoring settings, they must equal the published specification.
+# Declared scoring fields, blocking keys, sources and priorities; they must equal the published
+# specification.
 SCORE_FIELDS = (
     ScoreField("email", "exact", 2.0, 0.95, 0.001, "email"),
     ScoreField("phone", "exact", 1.5, 0.85, 0.005, "phone"),

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from personweave.operators.blocking import block_keys
-from personweave.operators.cluster import connected_components, entity_id
+from personweave.operators.cluster import MANUAL, connected_components, entity_id, separated_components
 from personweave.operators.graph import entity_history
 from personweave.operators.normalize import (
-    best_possible_weight, collapse_profiles, prepare_records, presence_mask, record_id,
+    apart, best_possible_weight, collapse_profiles, prepare_records, presence_mask, record_id, with_profile_key,
 )
 from personweave.operators.pairs import scored_pairs
-from personweave.operators.score import confidence
+from personweave.operators.score import compare_pairs, confidence, score
 from personweave.operators.survive import golden_records
 from personweave.operators.upsert import cdc_inserts, last_per_key, upsert_golden
 from personweave.schemas import ATTRIBUTES, STAGED_COLUMNS
@@ -30,6 +30,7 @@ class Graph:
     members: DataFrame  # rec_id, staged and normalised columns, entity_id
     golden: DataFrame
     locks: DataFrame | None = None
+    overrides: DataFrame | None = None  # kind (merge or split), left_id, right_id: record ids
 
     def crosswalk(self) -> DataFrame:
         return self.members.select("source_system", F.col("external_id").alias("source_id"), "entity_id")
@@ -90,10 +91,12 @@ def candidates_vs_graph(profiles: DataFrame, members: DataFrame, spec: IdentityS
 
 
 def entity_candidates(pairs: DataFrame) -> DataFrame:
-    """Strongest pair per new record and entity: `left_id, entity_id, weight, matched_id`."""
+    """Strongest pair per new record and entity: `left_id, entity_id, weight, matched_id`, and the matched values."""
+    values = F.struct(*[c for c in pairs.columns if c.startswith("r_n_")]).alias("values")
+    best = F.min(F.struct((-F.col("weight")).alias("o"), "right_id", values))
     return pairs.groupBy("left_id", F.col("r_entity_id").alias("entity_id")).agg(
-        F.max("weight").alias("weight"),
-        F.min(F.struct((-F.col("weight")).alias("o"), "right_id")).getField("right_id").alias("matched_id"))
+        F.max("weight").alias("weight"), best.alias("b")).select(
+        "left_id", "entity_id", "weight", F.col("b.right_id").alias("matched_id"), F.col("b.values").alias("matched_values"))
 
 
 def link_or_new(candidates: DataFrame, spec: IdentitySpec) -> DataFrame:
@@ -102,7 +105,7 @@ def link_or_new(candidates: DataFrame, spec: IdentitySpec) -> DataFrame:
     At or above `match` the record is linked to its strongest entity (`link`); if it reaches `merge` with several
     entities, those are merged as well (`merge`); below, it becomes a new entity (`new`).
     """
-    best = F.min(F.struct((-F.col("weight")).alias("o"), "entity_id", "matched_id", "weight"))
+    best = F.min(F.struct((-F.col("weight")).alias("o"), "entity_id", "matched_id", "weight", "matched_values"))
     decided = candidates.groupBy("left_id").agg(
         best.alias("b"), F.count(F.when(F.col("weight") >= spec.merge, 1)).alias("strong"))
     weight = F.col("b.weight")
@@ -113,81 +116,159 @@ def link_or_new(candidates: DataFrame, spec: IdentitySpec) -> DataFrame:
         F.when(linked, F.col("b.entity_id")).alias("entity_id"),
         F.when(linked, F.col("b.matched_id")).alias("matched_id"),
         F.when(linked, confidence(weight, spec)).otherwise(F.lit(1.0)).alias("confidence"),
-        weight.alias("weight"))
+        weight.alias("weight"), F.col("b.matched_values").alias("matched_values"))
 
 
-def merged_entities(candidates: DataFrame, spec: IdentitySpec, locks: DataFrame | None) -> DataFrame:
+def merged_entities(candidates: DataFrame, spec: IdentitySpec, locks: DataFrame | None, splits: DataFrame | None = None
+                    ) -> DataFrame:
     """`entity_id, survivor` of entities that one record ties together above the merge threshold.
 
-    Locked entities take no part in merges. The smallest id survives.
+    Locked entities take no part in merges, and `splits` (pairs of entities) are never merged. The smallest id survives.
     """
-    strong = candidates.where(F.col("weight") >= spec.merge).select("left_id", "entity_id")
+    strong = candidates.where(F.col("weight") >= spec.merge).select("left_id", "entity_id", "weight")
     if locks is not None:
         strong = strong.join(locks.select("entity_id"), "entity_id", "left_anti")
     first = strong.groupBy("left_id").agg(F.min("entity_id").alias("first"))
     edges = (strong.join(first, "left_id").where(F.col("entity_id") != F.col("first"))
-             .select(F.col("first").alias("left_id"), F.col("entity_id").alias("right_id")).distinct())
+             .groupBy(F.col("first").alias("left_id"), F.col("entity_id").alias("right_id")).agg(F.max("weight").alias("weight")))
     edges = scratch_table(edges, "merges")
     if edges.isEmpty():
         return edges.select(F.col("left_id").alias("entity_id"), F.col("right_id").alias("survivor"))
     nodes = edges.select(F.col("left_id").alias("entity_id")).unionByName(
         edges.select(F.col("right_id").alias("entity_id"))).distinct()
-    found = connected_components(nodes, edges, "entity_id").withColumnRenamed("component", "survivor")
+    found = (connected_components(nodes, edges, "entity_id") if splits is None
+             else separated_components(nodes, edges, splits, "entity_id")).withColumnRenamed("component", "survivor")
     return found.where(F.col("entity_id") != F.col("survivor"))
 
 
-def _assign_new(records: DataFrame, profiles: DataFrame, graph: Graph, spec: IdentitySpec, profile: str
+def _manual(overrides: DataFrame, kind: str) -> DataFrame:
+    """`a`, `b`: the record pairs of one kind of override, both ways."""
+    pairs = overrides.where(F.col("kind") == kind)
+    return pairs.select(F.col("left_id").alias("a"), F.col("right_id").alias("b")).unionByName(
+        pairs.select(F.col("right_id").alias("a"), F.col("left_id").alias("b")))
+
+
+@dataclass(frozen=True)
+class _Decisions:
+    """What overrides say about a batch."""
+
+    linked: DataFrame  # candidates that a person has set: new profile and entity
+    barred: DataFrame  # left_id, entity_id: a new profile that must stay out of an entity
+    entities: DataFrame  # left_id, right_id: entities that must not merge
+    merged: DataFrame  # left_id, right_id, weight: new profiles that belong together
+    split: DataFrame  # left_id, right_id: new profiles that don't
+
+
+def _decisions(overrides: DataFrame, records: DataFrame, profiles: DataFrame, members: DataFrame, fields: list[str]) -> _Decisions:
+    vids = records.select("rec_id", "profile_key").join(profiles.select("profile_key", "vid"), "profile_key")
+    new = {c: vids.select(F.col("rec_id").alias(c), F.col("vid").alias(f"{c}_vid")) for c in "ab"}
+    old = {c: members.select(F.col("rec_id").alias(c), F.col("entity_id").alias(f"{c}_entity"), *(fields if c == "b" else []))
+           for c in "ab"}
+    merge, split = _manual(overrides, "merge"), _manual(overrides, "split")
+    values = F.struct(*[F.col(c).alias(f"r_{c}") for c in fields])
+    linked = merge.join(new["a"], "a").join(old["b"], "b").select(
+        F.col("a_vid").alias("left_id"), F.col("b_entity").alias("entity_id"), F.lit(MANUAL).alias("weight"),
+        F.col("b").alias("matched_id"), values.alias("matched_values"))
+    barred = split.join(new["a"], "a").join(old["b"], "b").select(F.col("a_vid").alias("left_id"), F.col("b_entity").alias("entity_id"))
+    entities = split.join(old["a"], "a").join(old["b"], "b").select(F.col("a_entity").alias("left_id"), F.col("b_entity").alias("right_id"))
+    both = [x.join(new["a"], "a").join(new["b"], "b").select(F.col("a_vid").alias("left_id"), F.col("b_vid").alias("right_id"))
+            for x in (merge, split)]
+    return _Decisions(linked, scratch_table(barred.distinct(), "barred"), entities.distinct(),
+                      both[0].distinct().withColumn("weight", F.lit(MANUAL)), both[1].distinct())
+
+
+def _assign_new(records: DataFrame, profiles: DataFrame, members: DataFrame, graph: Graph, spec: IdentitySpec, profile: str
                 ) -> tuple[DataFrame, DataFrame]:
-    """Entity of every record not seen before, and the merges its evidence causes."""
-    candidates = scratch_table(entity_candidates(candidates_vs_graph(profiles, graph.members, spec, profile)), "candidates")
-    merges = scratch_table(merged_entities(candidates, spec, graph.locks), "merges")
-    direct = link_or_new(candidates, spec).where(F.col("decision") != "new")
+    """Entity of every record not seen before, and the merges its evidence causes.
 
+    A record is linked by its own evidence against `members`, else through the batch records it is connected with: to the
+    entity that the strongest of them is linked to, or to the first of them. Its confidence is that of its comparison
+    with the record it is said to match.
+    """
     fields = [f.column for f in spec.fields]
-    edges = scratch_table(scored_pairs(profiles.select("vid", "n", "mask", *fields), spec, spec.match, profile=profile,
-                                       links=True).select("left_id", "right_id", "weight"), "new-pairs")
-    groups = connected_components(profiles.select("vid"), edges, "vid")
-    ends = edges.select(F.col("left_id").alias("vid"), "weight").unionByName(
-        edges.select(F.col("right_id").alias("vid"), "weight"))
-    strongest = ends.groupBy("vid").agg(F.max("weight").alias("new_weight"))
-
-    rows = (records.select("rec_id", "source_system", "external_id", "profile_key", "_seq")
-            .join(profiles.select("profile_key", "vid", "n", best_possible_weight(spec).alias("own_weight")), "profile_key")
-            .join(groups, "vid").join(strongest, "vid", "left")
-            .join(direct.withColumnRenamed("left_id", "vid"), "vid", "left"))
-    head = F.struct("_seq", "rec_id", "source_system")
-    link = F.when(F.col("entity_id").isNotNull(), F.struct((-F.col("weight")).alias("o"), "entity_id", "matched_id"))
-    of_group = rows.groupBy("component").agg(F.min(head).alias("head"), F.min(link).alias("group_link"))
+    candidates = entity_candidates(candidates_vs_graph(profiles, members, spec, profile))
+    edges = scored_pairs(profiles.select("vid", "n", "mask", *fields), spec, spec.match, profile=profile, links=True
+                         ).select("left_id", "right_id", "weight")
+    manual = None
+    if graph.overrides is not None:
+        manual = _decisions(graph.overrides, records, profiles, members, fields)
+        best = F.min(F.struct((-F.col("weight")).alias("o"), "matched_id", "matched_values"))
+        candidates = (candidates.unionByName(manual.linked).join(manual.barred, ["left_id", "entity_id"], "left_anti")
+                      .groupBy("left_id", "entity_id").agg(F.max("weight").alias("weight"), best.alias("b"))
+                      .select("left_id", "entity_id", "weight", "b.matched_id", "b.matched_values"))
+        edges = edges.unionByName(manual.merged)
+    candidates = scratch_table(candidates, "candidates")
+    merges = scratch_table(merged_entities(candidates, spec, graph.locks, manual and manual.entities), "merges")
+    direct = link_or_new(candidates, spec).where(F.col("decision") != "new").select(
+        F.col("left_id").alias("vid"), F.col("entity_id").alias("own_entity"), F.col("matched_id").alias("own_matched"),
+        F.col("confidence").alias("own_confidence"), F.col("weight").alias("own_weight"), F.col("matched_values").alias("own_values"))
+    groups = (connected_components(profiles.select("vid"), edges, "vid") if manual is None
+              else separated_components(profiles.select("vid"), edges, manual.split, "vid"))
+
+    rows = (records.select("rec_id", "source_system", "external_id", "profile_key", "_seq", *fields)
+            .join(profiles.select("profile_key", "vid"), "profile_key").join(groups, "vid").join(direct, "vid", "left"))
+    head = F.struct("_seq", "rec_id", "source_system", F.struct(*fields).alias("values"))
+    own = F.col("own_entity").isNotNull()
+    link = F.when(own, F.struct((-F.col("own_weight")).alias("o"), F.col("own_entity").alias("entity_id"),
+                                F.col("own_matched").alias("matched_id"), F.col("own_values").alias("values")))
+    of_group = rows.groupBy("component").agg(F.min(head).alias("head"), F.min(link).alias("link"))
     rows = rows.join(of_group, "component")
-    via_new = F.greatest(F.coalesce("new_weight", F.lit(0.0)), F.when(F.col("n") > 1, F.col("own_weight")).otherwise(F.lit(0.0)))
-    is_new = F.col("group_link").isNull() & (F.col("rec_id") == F.col("head.rec_id"))
-    own = F.col("entity_id").isNotNull()
+    through = F.col("link").isNotNull()
+    partner = [F.when(through, F.col(f"link.values.r_{c}")).otherwise(F.col(f"head.values.{c}")).alias(f"r_{c}") for c in fields]
+    rows = score(compare_pairs(rows.select("*", *[F.col(c).alias(f"l_{c}") for c in fields], *partner), spec), spec)
+    is_new = ~through & (F.col("rec_id") == F.col("head.rec_id"))
     assigned = rows.select(
-        "rec_id", "source_system", "external_id",
-        F.coalesce("entity_id", "group_link.entity_id", entity_id(F.col("component"))).alias("entity_id"),
+        "rec_id", "vid", "source_system", "external_id",
+        F.coalesce("own_entity", "link.entity_id", entity_id(F.col("component"))).alias("entity_id"),
         is_new.alias("is_new"),
-        F.when(own, F.split_part("matched_id", F.lit(":"), F.lit(1)))
-        .when(F.col("group_link").isNotNull(), F.split_part("group_link.matched_id", F.lit(":"), F.lit(1)))
+        F.when(own, F.split_part("own_matched", F.lit(":"), F.lit(1)))
+        .when(through, F.split_part("link.matched_id", F.lit(":"), F.lit(1)))
         .when(~is_new, F.col("head.source_system")).alias("matched_source"),
-        F.when(own, F.col("confidence")).when(is_new, F.lit(1.0))
-        .otherwise(confidence(via_new, spec)).alias("confidence"))
-    survivor = merges.select(F.col("entity_id"), "survivor")
-    assigned = (assigned.join(survivor, "entity_id", "left")
+        F.when(own, F.col("own_confidence")).when(is_new, F.lit(1.0)).otherwise(F.col("confidence")).alias("confidence"))
+    survivor = merges.select("entity_id", "survivor")
+
+    def moved(df: DataFrame) -> DataFrame:
+        return (df.join(survivor, "entity_id", "left")
                 .withColumn("entity_id", F.coalesce("survivor", "entity_id")).drop("survivor"))
-    return assigned, merges
+
+    assigned = moved(assigned)
+    if manual is not None:
+        # What other records lead to may be an entity that this record must stay out of: it then is one of its own.
+        barred = moved(manual.barred).select(F.col("left_id").alias("vid"), "entity_id", F.lit(True).alias("_barred")).distinct()
+        out = F.col("_barred").isNotNull()
+        assigned = assigned.join(barred, ["vid", "entity_id"], "left").withColumns({
+            "entity_id": F.when(out, entity_id(F.col("vid"))).otherwise(F.col("entity_id")),
+            "is_new": F.when(out, F.col("rec_id") == F.col("vid")).otherwise(F.col("is_new")),
+            "matched_source": F.when(~out, F.col("matched_source")),
+            "confidence": F.when(out, F.lit(1.0)).otherwise(F.col("confidence"))}).drop("_barred")
+    return assigned.drop("vid"), merges
+
+
+def _last_actions(changes: DataFrame) -> DataFrame:
+    """Per record its last change; of the two images of an update with one number the new one counts."""
+    order = F.struct("_seq", (F.col("_action") == "INSERT").alias("new"))
+    return last_per_key(changes.select(*STAGED_COLUMNS, "_action", "_seq"), ["source_system", "external_id"], order)
 
 
 def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: str, version: int = 0,
                   profile: str = "incremental", tombstone: bool = False) -> BatchResult:
     """Resolve a batch of change rows (staged columns, `_action`, `_seq`) against the graph.
 
-    Known records keep their entity and refresh their attributes. New records are linked by score, grouped among
-    themselves, or become new entities. Golden records of all touched entities are recomputed. Deletes are skipped
-    unless `tombstone` is set.
+    Known records keep their entity and refresh their attributes. New records are compared with the stored records as
+    they are after the batch, linked by score, grouped among themselves, or become new entities. Golden records of all
+    touched entities are recomputed. Deletes are skipped unless `tombstone` is set; then the last action of a record
+    counts. Overrides of the graph hold for the records of the batch.
     """
     valid, errors = reject_invalid(cdc_inserts(changes), spec)
-    latest = last_per_key(valid.select(*STAGED_COLUMNS, "_seq"), ["source_system", "external_id"], "_seq")
-    records = scratch_table(prepare_records(latest, spec, profile), "changes")
+    gone = None
+    if tombstone:
+        deletes = changes.where(F.col("_action") == "DELETE")
+        last = _last_actions(valid.unionByName(deletes, allowMissingColumns=True))
+        latest = last.where(F.col("_action") == "INSERT").drop("_action")
+        gone = last.where(F.col("_action") == "DELETE").select(record_id().alias("rec_id"))
+    else:
+        latest = last_per_key(valid.select(*STAGED_COLUMNS, "_seq"), ["source_system", "external_id"], "_seq")
+    records = scratch_table(apart(prepare_records(latest, spec, profile), graph.overrides), "changes")
     columns = [c for c in graph.members.columns if c != "updated_version"]
 
     # One scan of the stored members finds the known records; what follows uses this small table.
@@ -197,7 +278,11 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
         "rec_id", "source_system", "external_id", "entity_id", "is_new", "matched_source", "confidence")
     unknown = records.join(stored.select("rec_id"), "rec_id", "left_anti")
     profiles = scratch_table(collapse_profiles(unknown, spec), "new-profiles")
-    assigned, merges = _assign_new(unknown, profiles, graph, spec, profile)
+    # New records meet the known ones with the values that this batch brings.
+    refreshed = records.join(stored.select("rec_id", "entity_id"), "rec_id").select(*columns)
+    replaced = records.select("rec_id") if gone is None else records.select("rec_id").unionByName(gone)
+    present = graph.members.select(*columns).join(replaced, "rec_id", "left_anti").unionByName(refreshed)
+    assigned, merges = _assign_new(unknown, profiles, present, graph, spec, profile)
     known = (known.join(merges, "entity_id", "left").withColumn("entity_id", F.coalesce("survivor", "entity_id"))
              .drop("survivor"))
     resolved = scratch_table(known.unionByName(assigned), "resolved")
@@ -207,14 +292,13 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     before = stored.select("source_system", "source_id", "entity_id")
     if not merges.isEmpty():
         moved = scratch_table(graph.members.select(*columns).join(merges, "entity_id")
-                              .join(records.select("rec_id"), "rec_id", "left_anti"), "moved")
+                              .join(replaced, "rec_id", "left_anti"), "moved")
         changed = changed.unionByName(moved.withColumn("entity_id", F.col("survivor")).select(*columns))
         before = before.unionByName(_links(moved))
     changed = scratch_table(changed, "changed-members")
     touched, seen = changed.select("entity_id"), changed.select("rec_id")
     removed = changed.where(F.lit(False))
-    if tombstone:
-        gone = _deleted_records(changes).join(seen, "rec_id", "left_anti")
+    if gone is not None:
         removed = scratch_table(graph.members.select(*columns).join(gone, "rec_id", "left_semi"), "removed-members")
         touched, seen = touched.unionByName(removed.select("entity_id")), seen.unionByName(removed.select("rec_id"))
         before = before.unionByName(_links(removed))
@@ -223,12 +307,7 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     touched = scratch_table(touched.distinct(), "touched")
     kept = (graph.members.select(*columns).join(touched, "entity_id", "left_semi").join(seen, "rec_id", "left_anti"))
     current = scratch_table(kept.unionByName(changed), "touched-members")
-    refreshed = golden_records(current, spec, as_of)
-    previous = scratch_table(graph.golden.select(*refreshed.columns).join(touched, "entity_id", "left_semi"), "old-golden")
-    if graph.locks is not None:
-        locked = previous.select("entity_id").join(graph.locks.select("entity_id"), "entity_id", "left_semi")
-        refreshed = refreshed.join(locked, "entity_id", "left_anti")
-    golden = scratch_table(upsert_golden(previous, refreshed), "changed-golden")
+    golden, previous = _refreshed_golden(current, touched, graph, spec, as_of)
 
     canonical = golden.select("entity_id", F.struct(*ATTRIBUTES).alias("canonical_data"))
     results = resolved.join(canonical, "entity_id", "left").select(
@@ -241,15 +320,66 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     return BatchResult(results, errors, changed, golden, removed, ended, events)
 
 
-def _links(members: DataFrame) -> DataFrame:
-    return members.select("source_system", F.col("external_id").alias("source_id"), "entity_id")
+def _refreshed_golden(current: DataFrame, touched: DataFrame, graph: Graph, spec: IdentitySpec, as_of: str
+                      ) -> tuple[DataFrame, DataFrame]:
+    """Golden records of touched entities from their current members, locked ones as they were; and the stored ones."""
+    refreshed = golden_records(current, spec, as_of)
+    previous = scratch_table(graph.golden.select(*refreshed.columns).join(touched, "entity_id", "left_semi"), "old-golden")
+    if graph.locks is not None:
+        locked = previous.select("entity_id").join(graph.locks.select("entity_id"), "entity_id", "left_semi")
+        refreshed = refreshed.join(locked, "entity_id", "left_anti")
+    return scratch_table(upsert_golden(previous, refreshed), "changed-golden"), previous
+
 
+def override_entities(graph: Graph, decisions: DataFrame, spec: IdentitySpec, as_of: str, version: int,
+                      profile: str = "incremental") -> BatchResult:
+    """Apply new manual decisions to the entities that hold the named records; locked entities stay as they are.
 
-def _deleted_records(changes: DataFrame) -> DataFrame:
-    """Ids of records whose last change is a delete."""
-    last = last_per_key(changes.select("source_system", "external_id", "_action", "_seq"),
-                        ["source_system", "external_id"], "_seq")
-    return last.where(F.col("_action") == "DELETE").select(record_id().alias("rec_id"))
+    The members of an entity stay together, weakly, whatever once joined them, so that only the splits divide it. The
+    part with the smallest record keeps the entity's id; of merged entities the smallest id survives.
+    """
+    pairs = ["left_id", "right_id"]
+    overrides = decisions if graph.overrides is None else decisions.unionByName(graph.overrides.join(
+        decisions, pairs, "left_anti").select("kind", *pairs))
+    overrides = scratch_table(overrides, "all-overrides")
+    named = decisions.select(F.explode(F.array(*pairs)).alias("rec_id")).distinct()
+    touched = graph.members.join(named, "rec_id", "left_semi").select("entity_id").distinct()
+    if graph.locks is not None:
+        touched = touched.join(graph.locks.select("entity_id"), "entity_id", "left_anti")
+    touched = scratch_table(touched, "touched")
+    columns = [c for c in graph.members.columns if c != "updated_version"]
+    members = scratch_table(graph.members.select(*columns).join(touched, "entity_id", "left_semi"), "touched-members")
+
+    records = scratch_table(apart(with_profile_key(members, spec, profile), overrides), "records")
+    profiles = scratch_table(collapse_profiles(records, spec), "profiles")
+    links = scored_pairs(profiles.drop("profile_key"), spec, spec.match, profile=profile, links=True).select(*pairs, "weight")
+    own = profiles.select("profile_key", F.col("vid").alias("left_id"), best_possible_weight(spec).alias("weight"))
+    copies = records.select("profile_key", F.col("rec_id").alias("right_id")).join(own, "profile_key").select(*pairs, "weight")
+    first = members.groupBy("entity_id").agg(F.min("rec_id").alias("left_id"))
+    held = members.join(first, "entity_id").select("left_id", F.col("rec_id").alias("right_id"), F.lit(-MANUAL).alias("weight"))
+    here = {c: members.select(F.col("rec_id").alias(c)) for c in pairs}
+    merges = (overrides.where("kind = 'merge'").join(here["left_id"], "left_id", "left_semi")
+              .join(here["right_id"], "right_id", "left_semi").select(*pairs, F.lit(MANUAL).alias("weight")))
+    edges = links.unionByName(copies).unionByName(held).unionByName(merges).where(F.col("left_id") != F.col("right_id"))
+    parts = separated_components(members.select("rec_id"), edges, overrides.where("kind = 'split'").select(*pairs))
+
+    keeps = (first.withColumnRenamed("left_id", "rec_id").join(parts, "rec_id")
+             .groupBy("component").agg(F.min("entity_id").alias("kept_id")))
+    after = scratch_table(members.withColumnRenamed("entity_id", "old_id").join(parts, "rec_id").join(keeps, "component", "left")
+                          .withColumn("entity_id", F.coalesce("kept_id", entity_id(F.col("component"))))
+                          .select(*columns, "old_id"), "decided-members")
+    changed = after.where(F.col("entity_id") != F.col("old_id")).select(*columns)
+    current = after.select(*columns)
+    golden, _ = _refreshed_golden(current, touched.unionByName(current.select("entity_id")).distinct(), graph, spec, as_of)
+    golden = golden.join(current.select("entity_id").distinct(), "entity_id", "left_semi")
+    ended = touched.join(current, "entity_id", "left_anti")
+    events = entity_history(_links(members), _links(current), version)
+    nothing = changed.where(F.lit(False))
+    return BatchResult(nothing, nothing, changed, golden, nothing, ended, events)
+
+
+def _links(members: DataFrame) -> DataFrame:
+    return members.select("source_system", F.col("external_id").alias("source_id"), "entity_id")
 
 
 def resolve_summary(results: DataFrame, errors: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from personweave.schemas import CHANGES, STAGED_COLUMNS
 
+# The published seed rows and change cases.
 CRM = [
     ("C001", "bob@gmail.com", "Bob", "Smith", "5551234567", "Acme Corp"),
     ("C002", "alice@company.com", "Alice", "Johnson", None, "TechStart"),

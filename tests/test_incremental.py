@@ -24,7 +24,7 @@ def members(store):
 def test_merge_and_tombstone(spark, tmp_path):
     spec = realtime_spec(merge=10.0)
     store = GraphStore(spark, str(tmp_path / "graph")).create()
-    seed(store, reconcile(staged(spark, TWO), spec, AS_OF))
+    seed(store, reconcile(staged(spark, TWO), spec, AS_OF, trained=False))
     before = set(members(store).values())
     assert len(before) == 2
     resolve_changes(store, change_rows(spark, [BRIDGE]), spec, "bridge", AS_OF)
@@ -43,7 +43,7 @@ def test_merge_and_tombstone(spark, tmp_path):
 
 def test_locked_entities_do_not_merge_or_change(spark):
     spec = realtime_spec(merge=10.0)
-    first = reconcile(staged(spark, TWO), spec, AS_OF)
+    first = reconcile(staged(spark, TWO), spec, AS_OF, trained=False)
     locked = first.members.where("rec_id = 'crm_contacts:1'").select("entity_id")
     graph = Graph(first.members, first.golden, locked)
     result = resolve_batch(change_rows(spark, [(*BRIDGE[:4], "Annabelle", "Lee", None)]), graph, spec, AS_OF)
@@ -61,8 +61,8 @@ def test_batch_equals_incremental_without_ambiguity(spark):
     rows = [(f"{p}-{i}", ["crm_contacts", "support_users", "billing_accounts"][i], f"person{p}@x.com", f"55500{p:05d}",
              f"First{p}", f"Last{p}", None) for p in range(12) for i in range(3)]
     rng.shuffle(rows)
-    whole = {r.rec_id: r.entity_id for r in reconcile(staged(spark, rows), spec, AS_OF).members.collect()}
-    seeded = reconcile(staged(spark, rows[:18]), spec, AS_OF)
+    whole = {r.rec_id: r.entity_id for r in reconcile(staged(spark, rows), spec, AS_OF, trained=False).members.collect()}
+    seeded = reconcile(staged(spark, rows[:18]), spec, AS_OF, trained=False)
     result = resolve_batch(change_rows(spark, rows[18:]), Graph(seeded.members, seeded.golden), spec, AS_OF)
     pieces = {r.rec_id: r.entity_id for r in seeded.members.unionByName(result.members, allowMissingColumns=True).collect()}
 
@@ -76,7 +76,7 @@ def test_interrupted_write_is_never_read(spark, tmp_path):
     table = spark.createDataFrame([("e1",)], "entity_id string")
     store.write("one", {"lock": table})
     # A crash after writing the folder but before the commit: the rows stay invisible, the retry replaces them.
-    spark.createDataFrame([("half",)], TABLES["lock"]).write.parquet(f"{store.path}/lock/version=2")
+    spark.createDataFrame([("half", False, 2)], TABLES["lock"]).write.parquet(f"{store.path}/lock/version=2")
     assert [r.entity_id for r in store.read("lock").collect()] == ["e1"]
     store.write("two", {"lock": spark.createDataFrame([("e2",)], "entity_id string")})
     assert sorted(r.entity_id for r in store.read("lock").collect()) == ["e1", "e2"]

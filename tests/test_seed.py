@@ -27,7 +27,7 @@ def strict_spec():
 
 @pytest.fixture(scope="module")
 def resolution(spark):
-    return reconcile(stage_all(raw_seed(spark)), strict_spec(), AS_OF)
+    return reconcile(stage_all(raw_seed(spark)), strict_spec(), AS_OF, trained=False)
 
 
 def test_pairs(spark):

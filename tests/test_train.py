@@ -66,7 +66,7 @@ def test_random_pairs_are_repeatable_and_distinct_records(spark):
 
 def test_trained_run(spark):
     spec = batch_spec()
-    result = reconcile(staged(spark, records(80, 14)), spec, "2025-01-01", trained=True)
+    result = reconcile(staged(spark, records(80, 14)), spec, "2025-01-01")
     assert result.spec.fields[0].m != spec.fields[0].m
     assert result.members.count() == len(records(80, 14))
 
