@@ -14,8 +14,9 @@ from personweave.operators.graph import entity_history
 from personweave.operators.normalize import (
     apart, best_possible_weight, collapse_profiles, prepare_records, presence_mask, record_id, with_profile_key,
 )
-from personweave.operators.pairs import scored_pairs
+from personweave.operators.pairs import block_pairs, scored_pairs, split_by_size
 from personweave.operators.score import compare_pairs, confidence, score
+from personweave.operators.strongest import strongest_in
 from personweave.operators.survive import golden_records
 from personweave.operators.upsert import cdc_inserts, last_per_key, upsert_golden
 from personweave.schemas import ATTRIBUTES, STAGED_COLUMNS
@@ -74,20 +75,53 @@ def resolve_known(changes: DataFrame, crosswalk: DataFrame) -> DataFrame:
         "is_new": F.lit(False), "matched_source": F.col("source_system"), "confidence": F.lit(1.0)})
 
 
+def _stored_profiles(members: DataFrame, spec: IdentitySpec) -> DataFrame:
+    """Stored records by entity and values: copies within an entity count once."""
+    fields = [f.column for f in spec.fields]
+    return (members.groupBy("entity_id", *fields).agg(F.min("rec_id").alias("vid"))
+            .withColumn("mask", presence_mask(spec)))
+
+
+def _touched(profiles: DataFrame, members: DataFrame, spec: IdentitySpec, profile: str) -> DataFrame:
+    """Stored records that share a block with a new profile."""
+    fields = [f.column for f in spec.fields]
+    wanted = block_keys(profiles.select(*fields), spec, profile).select("key_type", "key_value").distinct()
+    return block_keys(members.select("rec_id", "entity_id", *fields), spec, profile).join(
+        wanted, ["key_type", "key_value"], "left_semi")
+
+
 def candidates_vs_graph(profiles: DataFrame, members: DataFrame, spec: IdentitySpec, profile: str = "incremental",
                         floor: float | None = None) -> DataFrame:
-    """Scored pairs of new profiles (left) and stored records (right) that share a blocking key.
+    """Scored pairs of new profiles (left) and stored records (right) that share a blocking key, all of them.
 
     Stored records outside the blocks of the batch are dropped by the first join; copies within an entity count once.
     """
+    stored = _stored_profiles(_touched(profiles, members, spec, profile), spec)
+    floor = spec.match if floor is None else floor
+    return scored_pairs(profiles.select("vid", "mask", *[f.column for f in spec.fields]), spec, floor, right=stored, profile=profile)
+
+
+def strongest_candidates(profiles: DataFrame, members: DataFrame, spec: IdentitySpec, profile: str = "incremental") -> DataFrame:
+    """`left_id, entity_id, weight, matched_id, matched_values`: what `link_or_new` and `merged_entities` need to know.
+
+    Pairs are listed in ordinary blocks only; in oversized ones new rows meet groups of stored rows.
+    """
     fields = [f.column for f in spec.fields]
-    wanted = block_keys(profiles.select(*fields), spec, profile).select("key_type", "key_value").distinct()
-    touched = block_keys(members.select("rec_id", "entity_id", *fields), spec, profile).join(
-        wanted, ["key_type", "key_value"], "left_semi")
-    stored = (touched.groupBy("entity_id", *fields).agg(F.min("rec_id").alias("vid"))
+    touched = _touched(profiles, members, spec, profile).select("key_type", "key_value", "rec_id", "entity_id", *fields)
+    # In a block a stored profile stands for all copies of its entity.
+    stored = (touched.groupBy("key_type", "key_value", "entity_id", *fields).agg(F.min("rec_id").alias("vid"))
               .withColumn("mask", presence_mask(spec)))
-    floor = spec.match if floor is None else floor
-    return scored_pairs(profiles.select("vid", "mask", *fields), spec, floor, right=stored, profile=profile)
+    new = block_keys(profiles.select("vid", "mask", *fields), spec, profile)
+    keyed = scratch_table(new.withColumn("side", F.lit("L")).unionByName(stored.withColumn("side", F.lit("R")), allowMissingColumns=True), "blocks")
+    ordinary, large = split_by_size(keyed, spec)
+    pairs = score(compare_pairs(block_pairs(ordinary, spec, profile), spec, spec.match), spec).where(F.col("weight") >= spec.match)
+    found = entity_candidates(pairs.withColumnsRenamed({"l_vid": "left_id", "r_vid": "right_id"}))
+    if large is None:
+        return found
+    hot = strongest_in(large, spec, profile, spec.match).select(*found.columns)
+    best = F.min(F.struct((-F.col("weight")).alias("o"), "matched_id", "matched_values"))
+    return found.unionByName(hot).groupBy("left_id", "entity_id").agg(F.max("weight").alias("weight"), best.alias("b")).select(
+        "left_id", "entity_id", "weight", "b.matched_id", "b.matched_values")
 
 
 def entity_candidates(pairs: DataFrame) -> DataFrame:
@@ -186,7 +220,7 @@ def _assign_new(records: DataFrame, profiles: DataFrame, members: DataFrame, gra
     with the record it is said to match.
     """
     fields = [f.column for f in spec.fields]
-    candidates = entity_candidates(candidates_vs_graph(profiles, members, spec, profile))
+    candidates = strongest_candidates(profiles, members, spec, profile)
     edges = scored_pairs(profiles.select("vid", "n", "mask", *fields), spec, spec.match, profile=profile, links=True
                          ).select("left_id", "right_id", "weight")
     manual = None

@@ -5,9 +5,10 @@ from personweave.session import configured
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (configured(SparkSession.builder).master("local[8]").appName("tests")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "8g")
                # Inputs are tiny: compiling a plan would take longer than running it.
                .config("spark.sql.codegen.wholeStage", "false"))

@@ -22,10 +22,15 @@ def loaded(spark, rows, spec=None):
     return reconcile(staged(spark, rows), spec or realtime_spec(), AS_OF, trained=False)
 
 
+@pytest.fixture(scope="module")
+def first(spark):
+    return loaded(spark, [ANN, BEA])
+
+
 @pytest.fixture
-def store(spark, tmp_path):
+def store(spark, tmp_path, first):
     found = GraphStore(spark, str(tmp_path / "graph")).create()
-    seed(found, loaded(spark, [ANN, BEA]))
+    seed(found, first)
     return found
 
 
