@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_FRAGMENTS = 200_000  # of each of two generations
+KNOWN_FRAGMENTS = 300_000  # of each of two generations
 ENCODE_AT_ONCE = 2 << 20  # bytes of text
 WORDS_AT_ONCE = 500
 DECODE_AT_ONCE = 1 << 18
