@@ -24,6 +24,14 @@ FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 # English month names.
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November",
           "December")
+# IBAN lengths of the registry's countries.
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 "
+    "SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+# Values further apart than this do not change how each other is read.
+NEAR = 64
 
 
 class Feistel:
@@ -121,7 +129,7 @@ class Pseudonyms:
 
     def _card(self, value: str) -> str | None:
         digits = re.sub(r"\D", "", value)
-        if not 13 <= len(digits) <= 19 or digits[0] == "0" or luhn_digit(digits[:-1]) != digits[-1]:
+        if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1]:
             return None
         body = digits[0] + self._letters("card" + digits[0], digits[1:-1])
         return _refill(value, body + luhn_digit(body))
@@ -144,11 +152,20 @@ class Pseudonyms:
         return f"{area + 1 + (area >= 665):03d}{value[3]}{group + 1:02d}{value[6]}{serial + 1:04d}"
 
     def _phone(self, value: str) -> str | None:
-        """North American numbers: area and exchange start with 2 to 9, the reserved exchange 555 stays."""
+        """North American numbers: area and exchange start with 2 to 9, the reserved exchange 555 stays. With the country
+        code any digits count; those that no area or exchange begins with are permuted among themselves."""
         digits = re.sub(r"\D", "", value)
         lead, digits = digits[:-10], digits[-10:]
-        if lead not in ("", "1") or digits[0] in "01" or digits[3] in "01":
+        if lead not in ("", "1"):
             return None
+        if digits[0] in "01" or digits[3] in "01":
+            if not lead:
+                return None
+            if digits[3:6] == "555":
+                area, line = divmod(self._moved("phone555low", int(digits[:3] + digits[6:]), 200 * 10_000), 10_000)
+                return _refill(value, f"{lead}{area:03d}555{line:04d}")
+            return _refill(value, lead + self._letters(
+                "phonelow", digits, lambda x: (x[0] in "01" or x[3] in "01") and x[3:6] != "555"))
         area, exchange, line = int(digits[:3]) - 200, int(digits[3:6]) - 200, int(digits[6:])
         if exchange == 355:
             area, line = divmod(self._moved("phone555", area * 10_000 + line, 800 * 10_000), 10_000)
@@ -225,44 +242,103 @@ class Pseudonyms:
 
     def _secret(self, value: str) -> str:
         """Keys and passwords: hexadecimal values stay hexadecimal, others don't become so."""
-        if re.fullmatch(r"[0-9a-f]+", value):
-            return f"{self._moved('hex', int(value, 16), 16 ** len(value)):0{len(value)}x}"
         chars = re.sub(r"[^A-Za-z0-9]", "", value)
+        if re.fullmatch(r"[0-9a-f]+", chars):
+            return _refill(value, f"{self._moved('hex', int(chars, 16), 16 ** len(chars)):0{len(chars)}x}")
         return _refill(value, self._letters("secret", chars, lambda x: not re.fullmatch("[0-9a-f]+", x))) if chars else value
 
+    def _spans(self, kind: str, start: int, end: int, text: str) -> Iterator[tuple[int, int]]:
+        """Places of the value in a match, best first. Digits or words may follow a card or an IBAN, so they may end early:
+        cards by a group that is long enough alone, IBAN by the length of the country, then both by the longest."""
+        if kind not in ("card", "iban"):
+            yield start, end
+            return
+        ends = [m.end() for m in (CARD_END if kind == "card" else IBAN_END).finditer(text, start, end) if ENDS.match(text, m.end())]
+        size = {x: sum(c.isalnum() for c in text[start:x]) for x in ends}
+        usual = IBAN_LENGTHS.get(text[start:start + 2]) if kind == "iban" else None
+        for x in sorted(ends, key=lambda x: (not (size[x] == usual if usual else text[start:x].isdigit()), -x)):
+            if size[x] >= 13:
+                yield start, x
+
+    def _found(self, text: str) -> list[tuple[str, int, int]]:
+        """Kind, start and end of the values of a text, in order. What fails its validation hides nothing that begins there
+        or in it."""
+        out, at = [], 0
+        while m := VALUES.search(text, at):
+            at = m.start() + 1
+            for kind, pattern in PATTERNS[ORDER[m.lastgroup]:]:
+                if other := pattern.match(text, m.start()):
+                    span = next((x for x in self._spans(kind, *other.span(kind), text) if self.known(kind, text[slice(*x)]) is not None), None)
+                    if span:
+                        out.append((kind, *span))
+                        at = span[1]
+                        break
+        return out
+
+    def _settled(self, kind: str, value: str, before: str, after: str) -> str:
+        """The next pseudonym that leaves the reading of its surroundings as it is, so that the values are found again."""
+        def reading(value: str) -> list[tuple[str, int, int]]:
+            own = len(before) + len(value)
+            return [(k, a - (len(value) if a >= own else 0), b - (len(value) if b >= own else 0))
+                    for k, a, b in self._found(before + value + after)]
+
+        new = self.known(kind, value)
+        if kind not in ("card", "iban") and not DIGIT.search(before) and not DIGIT.search(after):
+            return new
+        want = reading(value)
+        while new != value and reading(new) != want:
+            new = self.known(kind, new)
+        return new
+
     def __call__(self, text: str | None) -> tuple[str | None, dict[str, int]]:
         """The text with pseudonyms, and how many values of each kind were replaced."""
         counts: dict[str, int] = {}
         if not text or not SIGNS.search(text):
             return text, counts
-
-        def replaced(m: re.Match) -> str:
-            kind = m.lastgroup
-            new = self.known(kind, m.group(kind))
-            if new is None:
-                return m.group()
+        found = self._found(text)
+        for kind, _, _ in found:
             counts[kind] = counts.get(kind, 0) + 1
-            start = m.start(kind) - m.start()
-            return m.group()[:start] + new + m.group()[start + len(m.group(kind)):]
-
-        return VALUES.sub(replaced, text), counts
+        # Values are hidden from the last to the first and restored from the first to the last: the surroundings of each
+        # are then the same both times.
+        out: list[str] = []
+        if self.by > 0:
+            after, end = "", len(text)
+            for kind, a, b in reversed(found):
+                after = (text[b:min(end, b + NEAR)] + after)[:NEAR]
+                new = self._settled(kind, text[a:b], text[max(0, a - NEAR):a], after)
+                out += [text[b:end], new]
+                after, end = (new + after)[:NEAR], a
+            return text[:end] + "".join(reversed(out)), counts
+        before, start = "", 0
+        for kind, a, b in found:
+            before = (before + text[max(start, a - NEAR):a])[-NEAR:]
+            new = self._settled(kind, text[a:b], before, text[b:b + NEAR])
+            out += [text[start:a], new]
+            before, start = (before + new)[-NEAR:], b
+        return "".join(out) + text[start:], counts
 
 
 SIGNS = re.compile(r"[0-9@=:]|AKIA", re.ASCII)
 _MONTH = "(?:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + ")"
-VALUES = re.compile(
-    r"(?:\b(?:token|password|passwd|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<secret>(?=[^\s\"']*[0-9])[A-Za-z0-9+/_\-]{8,})"
-    r"|(?<![A-Za-z0-9])AKIA(?P<aws>[A-Z0-9]{16})(?![A-Za-z0-9])"
-    r"|(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])"
-    r"|(?<![\w.])(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\w)"
-    r"|(?<![\w/.-])(?P<iso>\d{4}([-/.])\d\d\6\d\d)(?![\w/-]|\.\d)"
-    r"|(?<![\w/.-])(?P<numeric>\d{1,2}([./-])\d{1,2}\8\d{4})(?![\w/-]|\.\d)"
-    rf"|(?<!\w)(?P<written>\d{{1,2}}(?:st|nd|rd|th)?\s{_MONTH}\.?,?\s\d{{4}}|{_MONTH}\.?\s\d{{1,2}}(?:st|nd|rd|th)?,?\s\d{{4}})(?!\w)"
-    r"|(?<![\w-])(?P<ssn>\d{3}[- ]\d\d[- ]\d{4})(?![\w-])"
-    r"|(?<![\w+.-])(?P<phone>(?:\+?1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1\d{10})(?![\w-])"
-    r"|(?<![\w.-])(?P<world>\+(?!1\D)\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6})(?![\w-])"
-    r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)"
-    r"|(?<![\w.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w-]|\.\d))", re.ASCII)
+_PATTERNS = [
+    r"\b(?:token|password|passwd|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<secret>(?=[^\s\"']*[0-9])[A-Za-z0-9+/_\-]{8,})",
+    r"(?<![A-Za-z0-9])AKIA(?P<aws>[A-Z0-9]{16})(?![A-Za-z0-9])",
+    r"(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])",
+    r"(?<![\w.])(?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\.?\w)",
+    r"(?<![\w/.-])(?P<iso>\d{4}(?:-\d\d-|/\d\d/|\.\d\d\.)\d\d)(?!(?![Tt]\d\d)[\w/-]|\.\d)",
+    r"(?<![\w/.-])(?P<numeric>\d{1,2}(?:\.\d{1,2}\.|/\d{1,2}/|-\d{1,2}-)\d{4})(?![\w/-]|\.\d)",
+    rf"(?<!\w)(?P<written>\d{{1,2}}(?:st|nd|rd|th)?\s{_MONTH}\.?,?\s\d{{4}}|{_MONTH}\.?\s\d{{1,2}}(?:st|nd|rd|th)?,?\s\d{{4}})(?!\w)",
+    r"(?<![\w-])(?P<ssn>\d{3}[- ]\d\d[- ]\d{4})(?![\w-])",
+    r"(?<![\w+.-])(?P<phone>(?:\+?1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1\d{10})(?![\w-])",
+    r"(?<![\w.-])(?P<world>\+(?!1\D)\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6})(?![\w-])",
+    r"(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)",
+    r"(?<![\w.-])(?P<card>\d(?:[ -]?\d){12,18})(?!\w|\.\d|-(?!\d))"]
+PATTERNS = [(re.search(r"\(\?P<(\w+)>", p)[1], re.compile(p, re.ASCII)) for p in _PATTERNS]
+ORDER = {kind: i for i, (kind, _) in enumerate(PATTERNS)}
+VALUES = re.compile("|".join(_PATTERNS), re.ASCII)
+DIGIT = re.compile(r"[0-9]")
+# Groups of a card or an IBAN, and what may not follow a value that ends early.
+CARD_END, IBAN_END, ENDS = re.compile(r"[0-9]+"), re.compile(r"[A-Z0-9]+"), re.compile(r"(?!\w|\.\d|-(?!\d))", re.ASCII)
 Pseudonyms._aws = Pseudonyms._secret
 KINDS = {"iso": "date", "numeric": "date", "written": "date", "world": "phone", "aws": "secret"}
 
@@ -287,7 +363,8 @@ def pseudonymise(docs: DataFrame, key: bytes, restore: bool = False, id_col: str
 
     Replaced: payment cards (Luhn), IBAN (modulo 97), US social security numbers, North American and international phone
     numbers, IPv4 addresses, dates from 1900 to 2099, e-mail local parts, values assigned to password-like names and
-    AKIA keys. What fails its validation stays as it is. Everything else of the text stays, byte by byte.
+    AKIA keys. What fails its validation stays as it is, as do phone numbers without the country code 1 whose area or
+    exchange begins with 0 or 1. Everything else of the text stays, byte by byte.
 
     A null text stays null and an empty one empty, with no values. Equal values get equal pseudonyms, in repeated rows,
     too. An empty table gives an empty result. One pass without a shuffle; whole texts, however long.

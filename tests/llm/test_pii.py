@@ -125,3 +125,49 @@ def test_empty_table(spark):
 
 def test_pattern_has_a_name_for_every_kind():
     assert set(VALUES_OF) == set(VALUES.groupindex)
+
+
+def planted_cards():
+    return ["4565410125667261", "4565 4101 2566 7261", "0" + "12345678901234" + luhn_digit("012345678901234")]
+
+
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (143) 555-3824", "+10172343824", "+1 743-134-3824"])
+def test_phone_numbers_of_any_digits(value):
+    hidden, counts = HIDE(f"call {value}.")
+    assert counts == {"phone": 1} and value not in hidden and shape(hidden) == shape(f"call {value}.")
+    assert SHOW(hidden) == (f"call {value}.", {"phone": 1})
+
+
+@pytest.mark.parametrize("card", planted_cards())
+@pytest.mark.parametrize("before,after", [("", " 12/26"), ("", " 123"), ("", " 12/26 123"), ("", "-123"), ("12 ", ""), ("2024 ", " 01/02/2020")])
+def test_cards_among_other_digits(card, before, after):
+    hidden, counts = HIDE(before + card + after)
+    assert counts["card"] == 1 and card not in hidden
+    assert SHOW(hidden)[0] == before + card + after
+
+
+@pytest.mark.parametrize("after", [" NEXT", " NEXT WORDS", " 12", ", NEXT"])
+def test_iban_before_words(after):
+    hidden, counts = HIDE("BE68539007547034" + after)
+    assert counts == {"iban": 1} and hidden.endswith(after) and iban_check("BE", hidden[4:16]) == hidden[2:4]
+    assert SHOW(hidden)[0] == "BE68539007547034" + after
+
+
+def test_date_of_a_timestamp():
+    hidden, counts = HIDE("at 2021-03-04T10:00:00Z")
+    assert counts == {"iso": 1} and hidden.endswith("T10:00:00Z") and "2021-03-04" not in hidden
+    assert SHOW(hidden)[0] == "at 2021-03-04T10:00:00Z"
+
+
+def test_another_kind_where_one_fails():
+    text = "900 12 3456 " + "4565410125667261"
+    hidden, counts = HIDE(text)
+    assert counts == {"card": 1} and hidden.startswith("900 12 3456 4") and SHOW(hidden)[0] == text
+
+
+def test_neighbours_come_back():
+    rng = random.Random(8)
+    values = [v for vs in VALUES_OF.values() for v in vs] + ["BE68539007547034", "+1 (017) 555-7713", "123", "12/26", "2024", "NEXT", "12"]
+    for _ in range(1500):
+        text = rng.choice([" ", " ", "-", ", "]).join(rng.choice(values) for _ in range(rng.randrange(1, 6)))
+        assert SHOW(HIDE(text)[0])[0] == text
