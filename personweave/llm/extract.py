@@ -29,6 +29,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select textarea option datalist".split())
+RAW = frozenset("script style textarea title iframe".split())
 ASIDE = frozenset("nav header footer aside form button fieldset menu dialog".split())
 ENDS_PARAGRAPH = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                            "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -116,6 +117,13 @@ class _Blocks(HTMLParser):
                 del self.open[at:]
                 return
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment without an end runs to the end of the page; what looks like one in raw text opens none."""
+        if self.open and self.open[-1][0] in RAW:
+            return i + 4
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 else end
+
     def handle_data(self, data: str) -> None:
         if not self._state()[0]:
             self.text.append(data)
@@ -123,9 +131,6 @@ class _Blocks(HTMLParser):
 
 def blocks(html: str) -> list[tuple[str, bool, bool]]:
     """(text, boilerplate by markup, inside an article) of each block; a page that breaks off ends there."""
-    comment = html.rfind("<!--")
-    if comment >= 0 and html.find("-->", comment) < 0:
-        html = html[:comment]
     tag = html.rfind("<")
     if html.find(">", tag) < 0 <= tag and re.match(r"</?[A-Za-z!]", html[tag:tag + 3]):
         html = html[:tag]

@@ -104,3 +104,15 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert texts(spark, []) == {}
+
+
+@pytest.mark.parametrize("head", [
+    "<script>if(a.indexOf(\"<!--\")>0)x();</script>", "<script><!-- x();</script>", "<style><!-- p{}</style>", "<textarea><!-- </textarea>",
+    "<a title='<!--'></a>", "<textarea><!--</textarea><!-- c -->"])
+def test_comment_marks_that_open_no_comment(head):
+    assert [t for t, _, _ in blocks(head + "<article><p>Main text</p></article>")] == ["Main text"]
+
+
+def test_unclosed_comment_ends_the_page():
+    assert [t for t, _, _ in blocks("<p>a</p><!-- b <p>c</p>")] == ["a"]
+    assert [t for t, _, _ in blocks("<p>a</p><!-- b --><p>c</p><!-- d")] == ["a", "c"]
