@@ -42,11 +42,23 @@ NAMED_ASIDE = frozenset("ad ads adbox adslot advert adverts advertisement advert
                         "notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social "
                         "related recommended comment comments reply replies disqus pagination pager widget toolbar skip".split())
 NAMED_ARTICLE = frozenset("article articlebody content entry post story maincontent".split())
+# Words that say something about a wrapper's state, and nouns that may follow a name of boilerplate.
+STATE = frozenset("with without no not has have is hide show".split())
+PARTS = frozenset("area bar block box container form heading inner item items link links list section title top bottom left right "
+                  "wrap wrapper".split())
 
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
 
+def _names_aside(token: str) -> bool:
+    """Whether a whole class or id names boilerplate: its words are such names, perhaps with parts, or its last word is."""
+    words = _NAME.findall(token)
+    if not words or STATE & set(words):
+        return False
+    return words[-1] in NAMED_ASIDE or (words[0] in NAMED_ASIDE and all(w in NAMED_ASIDE or w in PARTS for w in words))
+
+
 class _Blocks(HTMLParser):
     """Blocks in page order as [text, aside, article]."""
 
@@ -54,7 +66,7 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, bool, bool]] = []
         self.text: list[str] = []
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, silent, aside, article, article by name
+        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, silent, aside, article, article by element
 
     def _state(self) -> tuple[bool, bool, bool]:
         return self.open[-1][1:4] if self.open else (False, False, False)
@@ -89,15 +101,20 @@ class _Blocks(HTMLParser):
             return
         silent, aside, article = self._state()
         values = {k: (v or "").lower() for k, v in attrs}
-        names = set(_NAME.findall(f"{values.get('class', '')} {values.get('id', '')}"))
+        tokens = f"{values.get('class', '')} {values.get('id', '')}".split()
+        names = {w for t in tokens for w in _NAME.findall(t)}
+        named = any(_names_aside(t) for t in tokens)
         role = values.get("role", "")
         hidden = "hidden" in values or values.get("aria-hidden") == "true"
         # A header of an article holds its title.
         own = role in ROLES or (tag in ASIDE and not (tag == "header" and article)) or bool(
-            names & NAMED_ASIDE and tag not in ("body", "html", "article", "main") and not (article and names & {"header"}))
-        main = tag in ("article", "main") or role in ("main", "article") or values.get("itemprop") == "articlebody" or (
-            tag in ("div", "section") and bool(names & NAMED_ARTICLE))
-        self.open.append((tag, silent or tag in SILENT or hidden, aside or own, article or main, main))
+            named and tag not in ("body", "html", "article", "main") and not (article and names & {"header"}))
+        # An article that opens in a wrapper outside any article ends the wrapper's say, unless it is named boilerplate itself.
+        starts = tag in ("article", "main") or role in ("main", "article") or values.get("itemprop") == "articlebody"
+        if starts and not (tag == "article" and named) and not any(x[4] for x in self.open):
+            aside = False
+        main = starts or (tag in ("div", "section") and not own and bool(names & NAMED_ARTICLE))
+        self.open.append((tag, silent or tag in SILENT or hidden, aside or own, article or main, starts))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)

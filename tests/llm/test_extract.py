@@ -116,3 +116,28 @@ def test_comment_marks_that_open_no_comment(head):
 def test_unclosed_comment_ends_the_page():
     assert [t for t, _, _ in blocks("<p>a</p><!-- b <p>c</p>")] == ["a"]
     assert [t for t, _, _ in blocks("<p>a</p><!-- b --><p>c</p><!-- d")] == ["a", "c"]
+
+
+@pytest.mark.parametrize("wrapper", [
+    "form id='aspnetForm'", "div class='layout with-sidebar'", "div class='no-sidebar'", "div class='has-comments'", "div class='menu-open'",
+    "div class='content-widget'", "div class='overlay'", "aside", "section class='sidebar'"])
+@pytest.mark.parametrize("inner", ["article", "main", "div role=main"])
+def test_articles_in_wrappers_stay(wrapper, inner):
+    tag = wrapper.split()[0]
+    found = blocks(page(f"<{wrapper}><nav>Menu</nav><{inner}><p>Main text</p><div class=ad>Buy</div></{inner.split()[0]}><p>Out</p></{tag}>"))
+    assert [t for t, aside, article in found if article and not aside] == ["Main text"]
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "no-sidebar", "has-comments", "menu-open"])
+def test_names_of_states_are_no_boilerplate(name):
+    assert blocks(f"<div class='{name}'><p>Text</p></div>") == [("Text", False, False)]
+
+
+@pytest.mark.parametrize("name", ["site-footer", "left-sidebar", "comment-list", "related-links", "ad-300", "cookie_notice", "nav2"])
+def test_compound_names_of_boilerplate(name):
+    assert [b[1] for b in blocks(f"<div class='{name}'><p>Text</p></div>")] == [True]
+
+
+def test_boilerplate_in_articles_and_comments_stays_out():
+    html = "<article><p>Main</p><aside><article>Teaser</article></aside></article><div class=comments><article class=comment>First!</article></div>"
+    assert [t for t, aside, _ in blocks(html) if not aside] == ["Main"]
