@@ -1,13 +1,14 @@
 """Main text of web pages: markup roles, and a suffix array of each host for boilerplate that repeats across its pages.
 
 A page becomes blocks of text, each with what its markup says: boilerplate (menus, footers, forms ...), article, or
-nothing. The tokens outside articles are the streams of a host's pages. Its suffix array, cut at the depth of the least
-length that counts, brings suffixes together that agree on their first tokens: neighbours from distinct pages mark a
-long repeated substring, and overlapping marks add up to maximal ones. Blocks that these cover are boilerplate.
-
-The array is never built in one place: suffixes meet by their first tokens, with the host in the key, after the suffixes
-of a page that agree were collapsed. A host with a third of all pages is spread like any other, and what repeats there is
-one aggregated row per task.
+nothing. The tokens outside articles and those inside are the streams of a host's pages. Its suffix array, cut at the depth
+of the least length that counts, brings suffixes together that agree on their first tokens: suffixes from distinct contents
+mark a long repeated substring, and overlapping marks add up to maximal ones. The tokens that these cover are boilerplate.
+
+The array is never built in one place: suffixes meet by their first tokens, with the host in the key. Every page takes part.
+A suffix is looked up by a sample of its first tokens that equal suffixes share and neighbours have in common, about a third
+of the rows; those whose sample repeats meet whole. A host with a third of all pages is spread like any other, and what
+repeats there is one aggregated row per task.
 """
 
 from __future__ import annotations
@@ -49,6 +50,9 @@ PARTS = frozenset("area bar block box container form heading inner item items li
 
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+# Tokens of the short runs that stand for a suffix.
+SAMPLED = 4
 
 
 def _names_aside(token: str) -> bool:
@@ -164,59 +168,129 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def parsed(pages: DataFrame, depth: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """`page_id`, `url`, `host`, `suffixes` (for each token outside articles a hash of the `depth` tokens that begin there),
-    and `text` of pages that markup alone decides; for the others their blocks: `texts`, `aside`, `article`."""
+def _grams(words: list[str], size: int) -> np.ndarray:
+    """Hashes of the runs of `size` words, one for each place."""
+    if len(words) < size:
+        return np.empty(0, np.uint64)
+    known = {x: xxhash.xxh64_intdigest(x) for x in set(words)}
+    w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    n = len(words) - size + 1
+    out = np.zeros(n, np.uint64)
+    for i in range(size):
+        out = (out ^ w[i:i + n]) * _ODD
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _streams(texts: list[str], aside: list[bool], article: list[bool]) -> list[list[str]]:
+    """Tokens outside articles, and those of the articles."""
+    return [[w for text, _, inside in zip(texts, aside, article) if not inside for w in text.lower().split()],
+            [w for text, out, inside in zip(texts, aside, article) if inside and not out for w in text.lower().split()]]
+
+
+def _samples(words: list[str], host: str, depth: int) -> np.ndarray:
+    """For each suffix the least hash of the short runs in its first `depth` tokens, with the host in it. Equal suffixes
+    have equal samples, and neighbours mostly share one."""
+    size = min(SAMPLED, depth)
+    grams = _grams(words, size)
+    if len(words) < depth:
+        return np.empty(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(grams, depth - size + 1).min(axis=1)
+    return ((least ^ np.uint64(xxhash.xxh64_intdigest(host))) * _ODD).view(np.int64)
+
+
+def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """`page_id`, `url`, `host` and the blocks of each page: `texts`, `aside`, `article`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for url, html in zip(batch["url"].to_pylist(), batch["html"]):
-                found = blocks(html.as_py())
-                words = [w for text, _, article in found if not article for w in text.lower().split()]
-                suffixes = [xxhash.xxh64_intdigest(" ".join(words[i:i + depth])) - (1 << 63) for i in range(len(words) - depth + 1)]
-                if all(aside or article for _, aside, article in found):
-                    row = (None, None, None, "\n\n".join(text for text, aside, _ in found if not aside))
-                else:
-                    row = ([b[0] for b in found], [b[1] for b in found], [b[2] for b in found], None)
-                for to, value in zip(out, (host_of(url), suffixes, *row)):
-                    to.append(value)
-            kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.string())
-            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(out, kinds))],
-                                             ["page_id", "url", "host", "suffixes", "texts", "aside", "article", "text"])
+            found = [blocks(html.as_py()) for html in batch["html"]]
+            columns = [pa.array([host_of(url) for url in batch["url"].to_pylist()], pa.string())]
+            columns += [pa.array([[b[i] for b in page] for page in found], pa.list_(kind))
+                        for i, kind in enumerate((pa.string(), pa.bool_(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], *columns],
+                                             ["page_id", "url", "host", "texts", "aside", "article"])
     return (pages.select(pages[f"`{id_col}`"].cast("long").alias("page_id"), pages[f"`{url_col}`"].cast("string").alias("url"),
                          F.coalesce(pages[f"`{html_col}`"].cast("string"), F.lit("")).alias("html"))
-            .mapInArrow(run, "page_id long, url string, host string, suffixes array<long>, texts array<string>, "
-                             "aside array<boolean>, article array<boolean>, text string"))
+            .mapInArrow(run, "page_id long, url string, host string, texts array<string>, aside array<boolean>, article array<boolean>"))
+
+
+def _sampled(depth: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["row", "host", "texts", "aside", "article"]).to_pylist()
+            keys = [np.unique(np.concatenate([_samples(words, r["host"], depth) for words in _streams(r["texts"], r["aside"], r["article"])]))
+                    for r in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array([r["row"] for r in rows], np.int64), [len(k) for k in keys])),
+                 pa.array(np.concatenate([np.empty(0, np.int64), *keys]))], ["row", "sample"])
+    return run
+
+
+def _suffixes(depth: int):
+    """`row`, `content` and `suffix` of the suffixes whose samples repeat; `content` stands for the stream's tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                for words in _streams(r["texts"], r["aside"], r["article"]):
+                    at = np.isin(_samples(words, r["host"], depth), np.array(r["samples"], np.int64))
+                    found = np.unique(_grams(words, depth)[at].view(np.int64))
+                    content = xxhash.xxh64_intdigest(" ".join(words)) - (1 << 63)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r["row"]] * len(found), pa.int64()), pa.array([r["host"]] * len(found), pa.string()),
+                         pa.array([content] * len(found), pa.int64()), pa.array(found)], ["row", "host", "content", "suffix"])
+    return run
+
+
+def repeated_suffixes(streams: DataFrame, depth: int, least_pages: int) -> DataFrame:
+    """`row`, `repeated`: for each page its suffixes that start in at least `least_pages` distinct contents of its host.
+
+    Samples are counted first; few repeat, and only suffixes with these are compared whole."""
+    samples = streams.mapInArrow(_sampled(depth), "row long, sample long")
+    # A page counts once for each sample, so a count before the shuffle is a count of pages.
+    often = scratch_table(samples.groupBy("sample").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
+                          .select("sample"), "page_samples")
+    near = samples.join(often, "sample").groupBy("row").agg(F.collect_list("sample").alias("samples"))
+    suffixes = scratch_table(streams.join(near, "row").select("row", "host", "texts", "aside", "article", "samples").mapInArrow(
+        _suffixes(depth), "row long, host string, content long, suffix long"), "page_suffixes", "zstd")
+    # Copies of one content count once.
+    repeated = (suffixes.groupBy("host", "suffix", "content").agg(F.lit(1).alias("one"))
+                .groupBy("host", "suffix").agg(F.count("*").alias("contents")).where(F.col("contents") >= least_pages)
+                .select("host", "suffix"))
+    return (suffixes.join(repeated, ["host", "suffix"]).groupBy("row").agg(F.collect_set("suffix").alias("repeated")))
 
 
-def repeated_suffixes(streams: DataFrame, least_pages: int) -> DataFrame:
-    """`host`, `suffix` of the suffixes that start in at least `least_pages` pages of a host."""
-    # A page counts once for each suffix, so a count before the shuffle is a count of pages.
-    return (streams.select("host", F.explode(F.array_distinct("suffixes")).alias("suffix"))
-            .groupBy("host", "suffix").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-            .select("host", "suffix"))
+def _covered(words: list[str], repeated: np.ndarray, depth: int) -> np.ndarray:
+    marks = np.flatnonzero(np.isin(_grams(words, depth).view(np.int64), repeated))
+    starts = np.zeros(len(words) + 1, np.int64)
+    np.add.at(starts, marks, 1)
+    np.add.at(starts, marks + depth, -1)
+    return np.cumsum(starts)[:-1] > 0
 
 
-def _kept_text(depth: int, cover: float):
+def _kept_text(depth: int, cover: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for row in batch.select(["texts", "aside", "article", "suffixes", "repeated"]).to_pylist():
-                marks = np.isin(np.array(row["suffixes"], np.int64), np.array(row["repeated"] or [], np.int64))
-                starts = np.zeros(len(marks) + depth, np.int64)
-                at = np.flatnonzero(marks)
-                np.add.at(starts, at, 1)
-                np.add.at(starts, at + depth, -1)
-                covered, place, kept = np.cumsum(starts) > 0, 0, []
+            for row in batch.select(["texts", "aside", "article", "repeated"]).to_pylist():
+                if row["repeated"]:
+                    repeated = np.array(row["repeated"], np.int64)
+                    covered = [_covered(words, repeated, depth) for words in _streams(row["texts"], row["aside"], row["article"])]
+                    if 2 * covered[1].sum() > len(covered[1]):
+                        covered[1][:] = False  # a copy of other articles
+                place, kept = [0, 0], []
                 for text, aside, article in zip(row["texts"], row["aside"], row["article"]):
-                    if article:
-                        if not aside:
-                            kept.append(text)
+                    if article and aside:
                         continue
-                    n = len(text.split())
-                    if not aside and covered[place:place + n].sum() < cover * n:
+                    if row["repeated"]:
+                        words = text.split()
+                        own = covered[article][place[article]:place[article] + len(words)]
+                        place[article] += len(words)
+                        if not article and cover is not None:
+                            text = "" if own.sum() >= cover * len(words) else text
+                        elif own.any():
+                            text = " ".join(w for w, out in zip(words, own) if not out)
+                    if text and not aside:
                         kept.append(text)
-                    place += n
                 texts.append("\n\n".join(kept))
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -224,26 +298,19 @@ def _kept_text(depth: int, cover: float):
     return run
 
 
-def main_text(pages: DataFrame, depth: int = 8, least_pages: int = 3, cover: float = 0.8, id_col: str = "page_id",
+def main_text(pages: DataFrame, depth: int = 8, least_pages: int = 3, cover: float | None = 0.8, id_col: str = "page_id",
               url_col: str = "url", html_col: str = "html") -> DataFrame:
     """`page_id`, `url`, `text`, `n_chars` of every row of `pages`: the blocks of the main text, joined by empty lines.
 
     A block goes if its markup makes it boilerplate, or if it stands outside articles and at least `cover` of its tokens
-    lie in substrings of `depth` tokens or more that `least_pages` pages of the host share. Text inside an article stays
-    even if it is shared: mirrored articles are main text.
+    lie in substrings of `depth` tokens or more that `least_pages` distinct contents of the host share. With a `cover` of
+    None these tokens go and the others of the block stay. Tokens of such substrings go inside articles, too, unless they
+    are more than half of the page's article text: copied and mirrored articles are main text.
 
     Null html counts as empty and gives an empty text, as does a page without main text. A url without a host counts with
-    all such urls as one host. Repeated rows count as distinct pages and get equal results. An empty table gives an empty
-    result; other columns are ignored. Whole pages, whatever their length.
+    all such urls as one host. Rows with the same text outside articles, or the same article text, count once for it; each
+    row gets its result. An empty table gives an empty result; other columns are ignored. Whole pages, whatever their length.
     """
-    streams = scratch_table(parsed(pages, depth, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "page_blocks")
-    decided = streams.where(F.col("text").isNotNull()).select(
-        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
-    # Only pages with blocks that markup leaves open look their suffixes up.
-    undecided = streams.where(F.col("text").isNull()).drop("text")
-    hits = (undecided.select("row", "host", F.explode(F.array_distinct("suffixes")).alias("suffix"))
-            .join(repeated_suffixes(streams, least_pages), ["host", "suffix"]).groupBy("row")
-            .agg(F.collect_list("suffix").alias("repeated")))
-    judged = undecided.join(hits, "row", "left").drop("row", "host").mapInArrow(
+    streams = scratch_table(parsed(pages, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "page_blocks", "zstd")
+    return streams.join(repeated_suffixes(streams, depth, least_pages), "row", "left").drop("row", "host").mapInArrow(
         _kept_text(depth, cover), "page_id long, url string, text string, n_chars long")
-    return decided.unionByName(judged)

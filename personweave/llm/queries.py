@@ -42,7 +42,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.main_text(_read(spark, sf_dir, "pages"))
+    return extract.main_text(_read(spark, sf_dir, "pages"), cover=None)
 
 
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

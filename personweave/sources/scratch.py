@@ -24,9 +24,9 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
+def scratch_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` once and read it back, so later steps neither recompute it nor depend on a live executor."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

@@ -141,3 +141,25 @@ def test_compound_names_of_boilerplate(name):
 def test_boilerplate_in_articles_and_comments_stays_out():
     html = "<article><p>Main</p><aside><article>Teaser</article></aside></article><div class=comments><article class=comment>First!</article></div>"
     assert [t for t, aside, _ in blocks(html) if not aside] == ["Main"]
+
+
+NOTE = "subscribe to our weekly letter to read all that is new on this site"
+
+
+def test_lines_repeated_in_articles_go(spark):
+    bodies = [" ".join(f"word{i}x{k}" for k in range(40)) for i in range(4)]
+    pages = [(i, "http://h.example/", page(f"<article><p>{b}</p><p>{NOTE}</p></article>")) for i, b in enumerate(bodies)]
+    assert texts(spark, pages, cover=None) == dict(enumerate(bodies))
+
+
+def test_copies_count_once_and_near_copies_stay(spark):
+    body = " ".join(f"word{k}" for k in range(40))
+    copies = [(i, "http://h.example/", f"<div><p>{body} {NOTE}</p></div>") for i in range(5)]
+    near = [(10 + i, "http://h.example/", f"<article><p>{body} changed{i} {body[::-1]}</p></article>") for i in range(4)]
+    assert texts(spark, copies, cover=None) == {i: f"{body} {NOTE}" for i in range(5)}
+    assert texts(spark, near, cover=None) == {10 + i: f"{body} changed{i} {body[::-1]}" for i in range(4)}
+
+
+def test_unique_runs_of_covered_blocks_stay(spark):
+    pages = [(i, "http://h.example/", f"<div><p>{NOTE} only{i} here{i}</p></div><p>{' '.join(f'u{i}x{k}' for k in range(30))} {NOTE}</p>") for i in range(4)]
+    assert texts(spark, pages, cover=None) == {i: f"only{i} here{i}\n\n" + " ".join(f"u{i}x{k}" for k in range(30)) for i in range(4)}
