@@ -4,8 +4,9 @@ Two models give the likelihood of a word, one learned from toxic and one from or
 Kneser-Ney models of `order` characters within a word. The highest order counts occurrences per class, lower ones count
 the distinct characters before an n-gram per class, and the lowest `shared` orders count those over all documents,
 labelled or not: what is rare in both classes then gets the same probability from both. A document's evidence is the
-greatest length-normalised log-likelihood ratio of its passages, so one toxic sentence counts as much in a long text as
-in a short one. Logistic calibration on labelled rows that were not counted turns the evidence into a score.
+length-normalised sum of its words' log-likelihood ratios as far as they exceed a margin, and the mean of its strongest
+words, so that a toxic sentence counts in a long text, too. Logistic calibration on labelled rows that were not counted
+turns the evidence into a score.
 
 Counts grow with the corpus and are never held in one place:
 
@@ -43,12 +44,16 @@ TRAIN, CALIBRATE = 0, 2  # added to the label: what a labelled row is used for
 
 @dataclass(frozen=True)
 class Settings:
-    """`passage` is in words; one in `calibrate_one_in` labelled rows calibrates, the others are counted."""
+    """Log-ratios count beyond `margin`; with a `length_power` of 1 their sum becomes a mean, with less a few strong words
+    of a long text weigh more. `strongest` words make the second part of the evidence. One in `calibrate_one_in` labelled
+    rows calibrates, the others are counted; `bins` is the grid of either part that calibration gathers."""
     order: int = 6
-    shared: int = 2
-    passage: int = 8
+    shared: int = 3
+    margin: float = 2.0
+    length_power: float = 0.75
+    strongest: int = 3
     calibrate_one_in: int = 5
-    bins: int = 2_000
+    bins: int = 100
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -142,12 +147,12 @@ def _counted(order: int):
     return run
 
 
-def _scored(order: int, passage: int):
-    """`doc_id`, `evidence` and `use` of every row of the blocks."""
+def _scored(settings: Settings):
+    """`doc_id`, both parts of the evidence and `use` of every row of the blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, row in enumerate(batch.drop_columns(["ratios"]).to_pylist()):
-                grams, which, _, starts = _grams(row["words"], order)
+                grams, which, _, starts = _grams(row["words"], settings.order)
                 ratio = np.zeros(len(grams))
                 answer = batch["ratios"][at].values
                 if answer is not None:
@@ -155,19 +160,22 @@ def _scored(order: int, passage: int):
                 of_word = np.add.reduceat(ratio[which], starts) if len(starts) else np.empty(0)
                 values = of_word[np.frombuffer(row["codes"], "<u4")]
                 sizes = np.array(row["sizes"], np.int64)
-                found = [evidence(v, passage) for v in np.split(values, np.cumsum(sizes)[:-1])]
+                parts = np.array([evidence(v, settings) for v in np.split(values, np.cumsum(sizes)[:-1])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(found, pa.float64()), pa.array(_uses(row["uses"], len(sizes)))],
-                    ["doc_id", "evidence", "use"])
+                    [pa.array(row["doc_ids"], pa.int64()), pa.array(parts[:, 0].copy()), pa.array(parts[:, 1].copy()),
+                     pa.array(_uses(row["uses"], len(sizes)))], ["doc_id", "excess", "strongest", "use"])
     return run
 
 
-def evidence(ratios: np.ndarray, passage: int) -> float:
-    """The greatest mean of the log-ratios of `passage` words in a row; the mean of all if there are fewer; 0 of none."""
-    if len(ratios) <= passage:
-        return float(ratios.mean()) if len(ratios) else 0.0
-    sums = np.concatenate(([0.0], np.cumsum(ratios)))
-    return float((sums[passage:] - sums[:-passage]).max() / passage)
+def evidence(ratios: np.ndarray, settings: Settings) -> tuple[float, float]:
+    """Of the log-ratios of a text's words: the logs of 1 + the normalised sum beyond the margin, and of 1 + the mean of the
+    strongest. 0 and 0 without words."""
+    if not len(ratios):
+        return 0.0, 0.0
+    excess = np.maximum(ratios - settings.margin, 0).sum() / (len(ratios) + 8) ** settings.length_power
+    k = min(settings.strongest, len(ratios))
+    strongest = np.partition(ratios, len(ratios) - k)[-k:].mean()
+    return float(np.log1p(8 * excess)), float(np.log1p(max(strongest, 0.0)))
 
 
 def _levels(grams: DataFrame, order: int) -> list[DataFrame]:
@@ -224,29 +232,29 @@ def log_ratios(grams: DataFrame, settings: Settings) -> DataFrame:
     return lower.select("gram", (F.log("p_toxic") - F.log("p_ordinary")).alias("ratio"))
 
 
-def calibration(bins: list[tuple[float, int, int]], prior: float) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve through (evidence, rows, toxic rows), drawn a little towards slope 1 and
-    the prior odds, so that it exists for any rows."""
-    x, n, y = (np.array(c, float) for c in zip(*bins)) if bins else (np.zeros(0),) * 3
+def calibration(cells: list[tuple[float, float, int, int]], prior: float) -> np.ndarray:
+    """Two slopes and an intercept of a logistic model of (excess, strongest, rows, toxic rows), drawn a little towards
+    slopes of 1 and the prior odds, so that it exists for any rows."""
+    a, b, n, y = np.array(cells, float).T if cells else np.zeros((4, 0))
     prior = min(max(prior, 1e-3), 1 - 1e-3)
-    start = np.array([1.0, np.log(prior / (1 - prior))])
-    design, w = np.stack([x, np.ones(len(x))], axis=1), start.copy()
+    start = np.array([1.0, 1.0, np.log(prior / (1 - prior))])
+    design, w, pull = np.stack([a, b, np.ones(len(a))], axis=1), start, 0.01
 
     def loss(w: np.ndarray) -> float:
         z = design @ w
-        return float((n * np.logaddexp(0, z) - y * z).sum() + ((w - start) ** 2).sum() / 200)
+        return float((n * np.logaddexp(0, z) - y * z).sum() + pull * ((w - start) ** 2).sum() / 2)
 
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -500, 500)))
-        gradient = design.T @ (n * p - y) + (w - start) / 100
-        step = np.linalg.solve(design.T @ (design * (n * p * (1 - p))[:, None]) + np.eye(2) / 100, gradient)
+        gradient = design.T @ (n * p - y) + pull * (w - start)
+        step = np.linalg.solve(design.T @ (design * (n * p * (1 - p))[:, None]) + pull * np.eye(3), gradient)
         size = 1.0
         while size > 1e-6 and loss(w - size * step) > loss(w):
             size /= 2
         w = w - size * step
         if np.abs(size * step).max() < 1e-9:
             break
-    return float(w[0]), float(w[1])
+    return w
 
 
 def _stored(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -265,7 +273,7 @@ def _stored(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def toxicity_evidence(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
                       text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """`doc_id`, `evidence`, `use` of every row of `docs`; `use` is 0 or 1 for rows that were counted (label 0 or 1), 2 or 3
+    """`doc_id`, `excess`, `strongest`, `use` of every row of `docs`; `use` is 0 or 1 for rows that were counted (label 0 or 1), 2 or 3
     for those kept for calibration, -1 for others."""
     blocks = _stored(docs, id_col, text_col)
     doc_id = F.col("doc_id")
@@ -285,26 +293,33 @@ def toxicity_evidence(docs: DataFrame, labels: DataFrame, settings: Settings = S
                .groupBy("block").agg(F.collect_list(F.struct("slot", "ratio")).alias("ratios")))
     met = used.join(answers.hint("shuffle_hash"), "block", "left")
     return met.select("doc_ids", "sizes", "words", "codes", "uses", "ratios").mapInArrow(
-        _scored(settings.order, settings.passage), "doc_id long, evidence double, use long")
+        _scored(settings), "doc_id long, excess double, strongest double, use long")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, settings: Settings = Settings(),
                     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """`doc_id`, `held_out`, `score`, `predicted`, `evidence` for every row of `docs`.
+    """`doc_id`, `held_out`, `score`, `predicted`, `excess`, `strongest` for every row of `docs`.
 
     Held-out rows (crc32 of the id modulo 5 is 0, or no id) are never learned from; all other labelled rows are. Scores
-    depend on the text alone. Null texts count as empty; texts without a word have evidence 0. Of several labels of one
-    id the highest counts; labels other than 0 and 1 are ignored. Without any usable label every score is that of the
-    least prior, 0.001 at evidence 0. Repeated rows get equal scores, an empty table gives an empty result, other columns
+    depend on the text alone. Null texts count as empty; texts without a word have no evidence. Of several labels of one
+    id the highest counts; labels other than 0 and 1 are ignored. Without any usable label the score of a
+    text without evidence is 0.001. Repeated rows get equal scores, an empty table gives an empty result, other columns
     are ignored. Texts are read whole, whatever their length.
     """
     found = scratch_table(toxicity_evidence(docs, labels, settings, id_col, text_col, label_col), "toxicity")
-    shares = found.where("use >= 0").agg(F.avg(F.col("use") % 2).alias("prior"), F.min("evidence").alias("low"), F.max("evidence").alias("high")).first()
-    low, width = shares["low"] or 0.0, max(((shares["high"] or 0.0) - (shares["low"] or 0.0)) / settings.bins, 1e-9)
-    rows = (found.where(F.col("use") >= CALIBRATE).groupBy(F.floor((F.col("evidence") - low) / width).alias("bin"))
-            .agg(F.avg("evidence").alias("x"), F.count("*").alias("n"), F.sum(F.col("use") % 2).alias("y")).orderBy("bin").collect())
-    slope, intercept = calibration([(r["x"], r["n"], r["y"]) for r in rows], shares["prior"] or 0.0)
-    score = 1 / (1 + F.exp(-(F.col("evidence") * slope + intercept)))
-    return (found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), "evidence")
+    parts = ("excess", "strongest")
+    facts = found.where("use >= 0").agg(F.avg(F.col("use") % 2).alias("prior"), *[f(c).alias(f"{f.__name__}_{c}") for c in parts
+                                                                              for f in (F.min, F.max)]).first()
+    bin_of = []
+    for c in parts:
+        low, high = facts[f"min_{c}"] or 0.0, facts[f"max_{c}"] or 0.0
+        bin_of.append(F.floor((F.col(c) - low) / max((high - low) / settings.bins, 1e-9)).alias(f"bin_{c}"))
+    # At most (bins + 1) ** 2 rows, whatever the corpus.
+    cells = (found.where(F.col("use") >= CALIBRATE).groupBy(*bin_of)
+             .agg(F.avg("excess").alias("a"), F.avg("strongest").alias("b"), F.count("*").alias("n"), F.sum(F.col("use") % 2).alias("y"))
+             .orderBy("bin_excess", "bin_strongest").collect())
+    first, second, intercept = calibration([(r["a"], r["b"], r["n"], r["y"]) for r in cells], facts["prior"] or 0.0).tolist()
+    score = 1 / (1 + F.exp(-(F.col("excess") * first + F.col("strongest") * second + intercept)))
+    return (found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), *parts)
             .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
-            .select("doc_id", "held_out", "score", "predicted", "evidence"))
+            .select("doc_id", "held_out", "score", "predicted", *parts))
