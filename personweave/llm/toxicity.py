@@ -47,7 +47,7 @@ class Settings:
     """Log-ratios count beyond `margin`; with a `length_power` of 1 their sum becomes a mean, with less a few strong words
     of a long text weigh more. `strongest` words make the second part of the evidence. One in `calibrate_one_in` labelled
     rows calibrates, the others are counted; `bins` is the grid of either part that calibration gathers."""
-    order: int = 6
+    order: int = 5
     shared: int = 3
     margin: float = 2.0
     length_power: float = 0.75
@@ -153,11 +153,9 @@ def _scored(settings: Settings):
         for batch in batches:
             for at, row in enumerate(batch.drop_columns(["ratios"]).to_pylist()):
                 grams, which, _, starts = _grams(row["words"], settings.order)
-                ratio = np.zeros(len(grams))
                 answer = batch["ratios"][at].values
-                if answer is not None:
-                    ratio[answer.field("slot").to_numpy()] = answer.field("ratio").to_numpy()
-                of_word = np.add.reduceat(ratio[which], starts) if len(starts) else np.empty(0)
+                of_word = np.add.reduceat(answer.to_numpy().astype(float)[which], starts) if len(starts) else np.empty(0)
+                assert answer is None or len(answer) == len(grams)  # every n-gram of the block has its ratio
                 values = of_word[np.frombuffer(row["codes"], "<u4")]
                 sizes = np.array(row["sizes"], np.int64)
                 parts = np.array([evidence(v, settings) for v in np.split(values, np.cumsum(sizes)[:-1])])
@@ -289,8 +287,10 @@ def toxicity_evidence(docs: DataFrame, labels: DataFrame, settings: Settings = S
         _counted(settings.order), "block long, slot int, gram string, toxic long, ordinary long"), "toxicity_grams", "zstd")
     grams = scratch_table(sent.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "grams")
     ratios = log_ratios(grams, settings)
-    answers = (sent.select("block", "slot", "gram").join(ratios, "gram")
-               .groupBy("block").agg(F.collect_list(F.struct("slot", "ratio")).alias("ratios")))
+    # Ratios by slot. Stored first, so that they are dealt into the buckets of the blocks and not the blocks anew.
+    answers = scratch_table(sent.select("block", "slot", "gram").join(ratios, "gram")
+                            .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("slot", F.col("ratio").cast("float").alias("ratio")))).alias("pairs"))
+                            .select("block", F.col("pairs.ratio").alias("ratios")), "toxicity_ratios", "zstd")
     met = used.join(answers.hint("shuffle_hash"), "block", "left")
     return met.select("doc_ids", "sizes", "words", "codes", "uses", "ratios").mapInArrow(
         _scored(settings), "doc_id long, excess double, strongest double, use long")
