@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from personweave.llm.quality import held_out
 from personweave.sources.scratch import scratch_root, scratch_table
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 MAX_BUCKETS = 50_000
 BLOCK = "block long, doc_ids array<long>, sizes array<long>, words binary, codes binary"
 START, END = "\x02", "\x03"  # around a word; control characters are no part of words
@@ -73,7 +73,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def block() -> pa.RecordBatch:
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-        row = [number, ids, sizes, b" ".join(known), np.concatenate(codes).astype("<u4").tobytes()]
+        row = [number, ids, sizes, b" ".join(known), b"".join(codes)]
         return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, kinds)],
                                           ["block", "doc_ids", "sizes", "words", "codes"])
 
@@ -83,7 +83,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = words_of(text)
             ids.append(doc_id)
             sizes.append(len(words))
-            codes.append(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+            codes.append(np.fromiter(map(known.__getitem__, words), "<u4", len(words)).tobytes())
             size += len(text or "") + 16
             if size >= BLOCK_BYTES:
                 yield block()
@@ -116,7 +116,7 @@ def _grams(words: bytes, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def _uses(pairs: list[dict] | None, rows: int) -> np.ndarray:
     """What each row of a block is used for, -1 for none."""
-    out = np.full(rows, -1, np.int64)
+    out = np.full(rows, -1, np.int8)
     for pair in pairs or ():
         out[pair["slot"]] = pair["use"]
     return out
@@ -161,7 +161,7 @@ def _scored(settings: Settings):
                 parts = np.array([evidence(v, settings) for v in np.split(values, np.cumsum(sizes)[:-1])])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], pa.int64()), pa.array(parts[:, 0].copy()), pa.array(parts[:, 1].copy()),
-                     pa.array(_uses(row["uses"], len(sizes)))], ["doc_id", "excess", "strongest", "use"])
+                     pa.array(_uses(row["uses"], len(sizes)).astype(np.int64))], ["doc_id", "excess", "strongest", "use"])
     return run
 
 
