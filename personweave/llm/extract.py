@@ -1,14 +1,17 @@
 """Main text of web pages: markup roles, and a suffix array of each host for boilerplate that repeats across its pages.
 
 A page becomes blocks of text, each with what its markup says: boilerplate (menus, footers, forms ...), article, or
-nothing. The tokens outside articles and those inside are the streams of a host's pages. Its suffix array, cut at the depth
-of the least length that counts, brings suffixes together that agree on their first tokens: suffixes from distinct contents
-mark a long repeated substring, and overlapping marks add up to maximal ones. The tokens that these cover are boilerplate.
+nothing. What an article holds is main text unless markup names it otherwise. The blocks outside articles, one after the
+other, are the page's token stream. The host's suffix array over these streams, cut at the depth of the least length that
+counts, brings suffixes together that agree on their first tokens: suffixes from distinct pages mark a long repeated
+substring, and overlapping marks add up to maximal ones. A block outside articles that repeated substrings cover from end
+to end goes, wherever they begin; of other such blocks go the tokens of repeated substrings that lie within the block.
+Unique runs stay.
 
 The array is never built in one place: suffixes meet by their first tokens, with the host in the key. Every page takes part.
 A suffix is looked up by a sample of its first tokens that equal suffixes share and neighbours have in common, about a third
 of the rows; those whose sample repeats meet whole. A host with a third of all pages is spread like any other, and what
-repeats there is one aggregated row per task.
+repeats there is one aggregated row per task. Texts of articles are never shuffled, nor are pages that markup decides.
 """
 
 from __future__ import annotations
@@ -182,12 +185,6 @@ def _grams(words: list[str], size: int) -> np.ndarray:
     return out
 
 
-def _streams(texts: list[str], aside: list[bool], article: list[bool]) -> list[list[str]]:
-    """Tokens outside articles, and those of the articles."""
-    return [[w for text, _, inside in zip(texts, aside, article) if not inside for w in text.lower().split()],
-            [w for text, out, inside in zip(texts, aside, article) if inside and not out for w in text.lower().split()]]
-
-
 def _samples(words: list[str], host: str, depth: int) -> np.ndarray:
     """For each suffix the least hash of the short runs in its first `depth` tokens, with the host in it. Equal suffixes
     have equal samples, and neighbours mostly share one."""
@@ -200,26 +197,32 @@ def _samples(words: list[str], host: str, depth: int) -> np.ndarray:
 
 
 def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """`page_id`, `url`, `host` and the blocks of each page: `texts`, `aside`, `article`."""
+    """`page_id`, `url`, `host`, `content` (a hash of the page's text) and the blocks of each page: `texts`, `aside`,
+    `article`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [blocks(html.as_py()) for html in batch["html"]]
-            columns = [pa.array([host_of(url) for url in batch["url"].to_pylist()], pa.string())]
+            content = [xxhash.xxh64_intdigest("\n".join(b[0] for b in page)) - (1 << 63) for page in found]
+            columns = [pa.array([host_of(url) for url in batch["url"].to_pylist()], pa.string()), pa.array(content, pa.int64())]
             columns += [pa.array([[b[i] for b in page] for page in found], pa.list_(kind))
                         for i, kind in enumerate((pa.string(), pa.bool_(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], *columns],
-                                             ["page_id", "url", "host", "texts", "aside", "article"])
+                                             ["page_id", "url", "host", "content", "texts", "aside", "article"])
     return (pages.select(pages[f"`{id_col}`"].cast("long").alias("page_id"), pages[f"`{url_col}`"].cast("string").alias("url"),
                          F.coalesce(pages[f"`{html_col}`"].cast("string"), F.lit("")).alias("html"))
-            .mapInArrow(run, "page_id long, url string, host string, texts array<string>, aside array<boolean>, article array<boolean>"))
+            .mapInArrow(run, "page_id long, url string, host string, content long, texts array<string>, aside array<boolean>, "
+                             "article array<boolean>"))
+
+
+def _words(outside: list[str]) -> list[str]:
+    return [w for text in outside for w in text.lower().split()]
 
 
 def _sampled(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.select(["row", "host", "texts", "aside", "article"]).to_pylist()
-            keys = [np.unique(np.concatenate([_samples(words, r["host"], depth) for words in _streams(r["texts"], r["aside"], r["article"])]))
-                    for r in rows]
+            rows = batch.select(["row", "host", "outside"]).to_pylist()
+            keys = [np.unique(_samples(_words(r["outside"]), r["host"], depth)) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.array([r["row"] for r in rows], np.int64), [len(k) for k in keys])),
                  pa.array(np.concatenate([np.empty(0, np.int64), *keys]))], ["row", "sample"])
@@ -227,44 +230,52 @@ def _sampled(depth: int):
 
 
 def _suffixes(depth: int):
-    """`row`, `content` and `suffix` of the suffixes whose samples repeat; `content` stands for the stream's tokens."""
+    """`row`, `host`, `content` and `suffix` of the suffixes whose samples repeat."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                for words in _streams(r["texts"], r["aside"], r["article"]):
-                    at = np.isin(_samples(words, r["host"], depth), np.array(r["samples"], np.int64))
-                    found = np.unique(_grams(words, depth)[at].view(np.int64))
-                    content = xxhash.xxh64_intdigest(" ".join(words)) - (1 << 63)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["row"]] * len(found), pa.int64()), pa.array([r["host"]] * len(found), pa.string()),
-                         pa.array([content] * len(found), pa.int64()), pa.array(found)], ["row", "host", "content", "suffix"])
+                words = _words(r["outside"])
+                at = np.isin(_samples(words, r["host"], depth), np.array(r["samples"], np.int64))
+                found = np.unique(_grams(words, depth)[at].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["row"]] * len(found), pa.int64()), pa.array([r["host"]] * len(found), pa.string()),
+                     pa.array([r["content"]] * len(found), pa.int64()), pa.array(found)], ["row", "host", "content", "suffix"])
     return run
 
 
 def repeated_suffixes(streams: DataFrame, depth: int, least_pages: int) -> DataFrame:
-    """`row`, `repeated`: for each page its suffixes that start in at least `least_pages` distinct contents of its host.
+    """`row`, `repeated`: for each undecided page its suffixes that start in at least `least_pages` distinct pages of its host.
 
-    Samples are counted first; few repeat, and only suffixes with these are compared whole."""
+    `streams` has `row`, `host`, `content`, `undecided` and `outside`, the blocks outside articles. Samples are counted
+    first; only suffixes whose samples repeat are compared whole."""
+    streams = streams.where(F.size("outside") > 0)
     samples = streams.mapInArrow(_sampled(depth), "row long, sample long")
     # A page counts once for each sample, so a count before the shuffle is a count of pages.
     often = scratch_table(samples.groupBy("sample").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
                           .select("sample"), "page_samples")
     near = samples.join(often, "sample").groupBy("row").agg(F.collect_list("sample").alias("samples"))
-    suffixes = scratch_table(streams.join(near, "row").select("row", "host", "texts", "aside", "article", "samples").mapInArrow(
+    suffixes = scratch_table(streams.join(near, "row").select("row", "host", "content", "outside", "samples").mapInArrow(
         _suffixes(depth), "row long, host string, content long, suffix long"), "page_suffixes", "zstd")
-    # Copies of one content count once.
+    # Copies of one page count once.
     repeated = (suffixes.groupBy("host", "suffix", "content").agg(F.lit(1).alias("one"))
                 .groupBy("host", "suffix").agg(F.count("*").alias("contents")).where(F.col("contents") >= least_pages)
                 .select("host", "suffix"))
-    return (suffixes.join(repeated, ["host", "suffix"]).groupBy("row").agg(F.collect_set("suffix").alias("repeated")))
+    asked = suffixes.join(streams.where("undecided").select("row"), "row", "left_semi")
+    return asked.join(repeated, ["host", "suffix"]).groupBy("row").agg(F.collect_set("suffix").alias("repeated"))
 
 
-def _covered(words: list[str], repeated: np.ndarray, depth: int) -> np.ndarray:
+def _covered(words: list[str], repeated: np.ndarray, depth: int, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words lie in repeated substrings of the stream, and in such that lie within one block."""
     marks = np.flatnonzero(np.isin(_grams(words, depth).view(np.int64), repeated))
-    starts = np.zeros(len(words) + 1, np.int64)
-    np.add.at(starts, marks, 1)
-    np.add.at(starts, marks + depth, -1)
-    return np.cumsum(starts)[:-1] > 0
+    block = np.searchsorted(edges, np.arange(len(words)), side="right")
+
+    def spread(marks: np.ndarray) -> np.ndarray:
+        starts = np.zeros(len(words) + 1, np.int64)
+        np.add.at(starts, marks, 1)
+        np.add.at(starts, marks + depth, -1)
+        return np.cumsum(starts)[:-1] > 0
+
+    return spread(marks), spread(marks[block[marks] == block[marks + depth - 1]])
 
 
 def _kept_text(depth: int, cover: float | None):
@@ -272,24 +283,25 @@ def _kept_text(depth: int, cover: float | None):
         for batch in batches:
             texts = []
             for row in batch.select(["texts", "aside", "article", "repeated"]).to_pylist():
+                outside = [text.split() for text, inside in zip(row["texts"], row["article"]) if not inside]
+                edges = np.cumsum([len(words) for words in outside])
                 if row["repeated"]:
-                    repeated = np.array(row["repeated"], np.int64)
-                    covered = [_covered(words, repeated, depth) for words in _streams(row["texts"], row["aside"], row["article"])]
-                    if 2 * covered[1].sum() > len(covered[1]):
-                        covered[1][:] = False  # a copy of other articles
-                place, kept = [0, 0], []
+                    anywhere, within = _covered([w.lower() for words in outside for w in words], np.array(row["repeated"], np.int64), depth, edges)
+                kept, at = [], 0
                 for text, aside, article in zip(row["texts"], row["aside"], row["article"]):
-                    if article and aside:
-                        continue
-                    if row["repeated"]:
-                        words = text.split()
-                        own = covered[article][place[article]:place[article] + len(words)]
-                        place[article] += len(words)
-                        if not article and cover is not None:
-                            text = "" if own.sum() >= cover * len(words) else text
-                        elif own.any():
-                            text = " ".join(w for w, out in zip(words, own) if not out)
-                    if text and not aside:
+                    if not article:
+                        words = outside[at]
+                        part = slice(edges[at] - len(words), edges[at])
+                        at += 1
+                        if aside or (row["repeated"] and anywhere[part].all()):
+                            continue
+                        if row["repeated"] and within[part].any():
+                            own = within[part]
+                            if cover is None:
+                                text = " ".join(w for w, out in zip(words, own) if not out)
+                            elif own.sum() >= cover * len(words):
+                                continue
+                    if not aside:
                         kept.append(text)
                 texts.append("\n\n".join(kept))
             yield pa.RecordBatch.from_arrays(
@@ -298,19 +310,26 @@ def _kept_text(depth: int, cover: float | None):
     return run
 
 
-def main_text(pages: DataFrame, depth: int = 8, least_pages: int = 3, cover: float | None = 0.8, id_col: str = "page_id",
+def main_text(pages: DataFrame, depth: int = 8, least_pages: int = 3, cover: float | None = None, id_col: str = "page_id",
               url_col: str = "url", html_col: str = "html") -> DataFrame:
     """`page_id`, `url`, `text`, `n_chars` of every row of `pages`: the blocks of the main text, joined by empty lines.
 
-    A block goes if its markup makes it boilerplate, or if it stands outside articles and at least `cover` of its tokens
-    lie in substrings of `depth` tokens or more that `least_pages` distinct contents of the host share. With a `cover` of
-    None these tokens go and the others of the block stay. Tokens of such substrings go inside articles, too, unless they
-    are more than half of the page's article text: copied and mirrored articles are main text.
+    A block goes if its markup makes it boilerplate. Blocks inside articles stay otherwise, headings included. A block
+    outside articles also goes if substrings of `depth` tokens or more that `least_pages` distinct pages of the host share
+    cover it whole; of other such blocks the tokens go that lie in shared substrings within the block. With a `cover`
+    these blocks stay or go whole, by the share of such tokens.
 
     Null html counts as empty and gives an empty text, as does a page without main text. A url without a host counts with
-    all such urls as one host. Rows with the same text outside articles, or the same article text, count once for it; each
-    row gets its result. An empty table gives an empty result; other columns are ignored. Whole pages, whatever their length.
+    all such urls as one host. Rows of equal text count as one page; each row gets its result. An empty table gives an
+    empty result; other columns are ignored. Whole pages, whatever their length.
     """
-    streams = scratch_table(parsed(pages, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "page_blocks", "zstd")
-    return streams.join(repeated_suffixes(streams, depth, least_pages), "row", "left").drop("row", "host").mapInArrow(
-        _kept_text(depth, cover), "page_id long, url string, text string, n_chars long")
+    found = scratch_table(parsed(pages, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "page_blocks", "zstd")
+    whole = F.arrays_zip("texts", "aside", "article")
+    found = found.withColumn("undecided", F.exists(whole, lambda b: ~b.aside & ~b.article))
+    streams = found.select("row", "host", "content", "undecided",
+                           F.transform(F.filter(whole, lambda b: ~b.article), lambda b: b.texts).alias("outside"))
+    columns = ["page_id", "url", "texts", "aside", "article"]
+    decided = found.where(~F.col("undecided")).select(*columns, F.lit(None).cast("array<long>").alias("repeated"))
+    others = found.where("undecided").join(repeated_suffixes(streams, depth, least_pages), "row", "left").select(*columns, "repeated")
+    schema = "page_id long, url string, text string, n_chars long"
+    return decided.mapInArrow(_kept_text(depth, cover), schema).unionByName(others.mapInArrow(_kept_text(depth, cover), schema))

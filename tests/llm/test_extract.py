@@ -5,9 +5,10 @@ import random
 import pytest
 
 from personweave.llm.extract import blocks, host_of, main_text
-from tests.llm.common import clashing, groups
+from tests.llm.common import clashing
 
 SCHEMA = "page_id long, url string, html string"
+NOTE = "subscribe to our weekly letter to read all that is new on this site"
 
 
 def texts(spark, pages, **settings):
@@ -64,34 +65,65 @@ def test_mirrored_articles_stay(spark):
     assert all(out.startswith("the very same") for out in texts(spark, pages).values())
 
 
-def test_repeats_against_brute_force(spark):
+def brute_force(pages, depth, least, cover):
+    """Main text by comparing every run of tokens with every other."""
+    found = {i: (host_of(u), blocks(h)) for i, u, h in pages}
+    stream = {i: [w for t, _, article in b if not article for w in t.lower().split()] for i, (_, b) in found.items()}
+    seen = {}
+    for i, (host, b) in found.items():
+        for k in range(len(stream[i]) - depth + 1):
+            seen.setdefault((host, tuple(stream[i][k:k + depth])), set()).add("\n".join(t for t, _, _ in b))
+    out = {}
+    for i, (host, b) in found.items():
+        runs = [k for k in range(len(stream[i]) - depth + 1) if len(seen[host, tuple(stream[i][k:k + depth])]) >= least]
+        anywhere, place, kept = {x for k in runs for x in range(k, k + depth)}, 0, []
+        for text, aside, article in b:
+            if article:
+                kept += [] if aside else [text]
+                continue
+            words, start = text.split(), place
+            place += len(words)
+            own = {x for k in runs if start <= k and k + depth <= place for x in range(k, k + depth)}
+            if aside or anywhere >= set(range(start, place)):
+                continue
+            if cover is None and own:
+                text = " ".join(w for x, w in enumerate(words, start) if x not in own)
+            elif own and len(own) >= cover * len(words):
+                continue
+            kept.append(text)
+        out[i] = "\n\n".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("cover", [None, 0.8])
+def test_repeats_against_brute_force(spark, cover):
     rng = random.Random(4)
     runs = [[rng.choice("abcdefgh") for _ in range(rng.randrange(3, 12))] for _ in range(8)]
-    pages, parts = [], {}
+
+    def part(n):
+        return " ".join(" ".join(rng.choice(runs) if rng.random() < 0.6 else [rng.choice("abcdefgh") for _ in range(n)]) for _ in range(rng.randrange(1, 5)))
+    shapes = ["<p>{}</p>", "<article><h2>{}</h2><p>{}</p></article>", "<nav>{}</nav>", "<ul><li>{}<li>{}</ul>", "<article><p>{}</p><div class=ad>{}</div></article>"]
+    pages = []
+    for i in range(60):
+        chosen = [rng.choice(shapes) for _ in range(4)]
+        pages.append((i, f"http://h{i % 3}.example/", "".join(x.format(part(9), part(2)) for x in chosen)))
+    pages += [(100 + i, *pages[i][1:]) for i in range(5)]
+    assert texts(spark, pages, depth=5, least_pages=3, cover=cover) == brute_force(pages, 5, 3, cover)
+
+
+def test_registered_setting_against_brute_force(spark):
+    rng = random.Random(8)
+    menu = "".join(f"<li>{w}</li>" for w in "Home News Sports Arts Travel Weather Contact About Shop".split())
+    pages = []
     for i in range(40):
-        parts[i] = [" ".join(rng.choice(runs) if rng.random() < 0.6 else [rng.choice("abcdefgh") for _ in range(9)]) for _ in range(4)]
-        pages.append((i, f"http://h{i % 3}.example/", "".join(f"<p>{p}</p>" for p in parts[i])))
-    depth, least = 5, 3
-    words = {i: [w for p in parts[i] for w in p.split()] for i in parts}
-    seen = groups({(i % 3, tuple(words[i][k:k + depth])): None for i in words for k in ()}.items())
-    seen = {}
-    for i, w in words.items():
-        for gram in {tuple(w[k:k + depth]) for k in range(len(w) - depth + 1)}:
-            seen.setdefault((i % 3, gram), set()).add(i)
-    want = {}
-    for i, w in words.items():
-        covered = set()
-        for k in range(len(w) - depth + 1):
-            if len(seen[i % 3, tuple(w[k:k + depth])]) >= least:
-                covered.update(range(k, k + depth))
-        place, kept = 0, []
-        for p in parts[i]:
-            n = len(p.split())
-            if sum(x in covered for x in range(place, place + n)) < 0.8 * n:
-                kept.append(p)
-            place += n
-        want[i] = "\n\n".join(kept)
-    assert texts(spark, pages, depth=depth, least_pages=least) == want
+        own = " ".join(rng.choice(["stone", "river", "cloud", "harbour", "winter", "north"]) for _ in range(60))
+        note = f"<div>{NOTE}</div>" if i % 2 else f"<div>{NOTE} and so on {i}</div>"
+        body = f"<article><h1>Weekly report on the state of the northern harbour works</h1><p>The harbour {own}</p><p>{NOTE}</p></article>"
+        pages.append((i, f"http://h{i % 2}.example/{i}", f"<ul>{menu}</ul>{body if i % 4 else f'<p>{own}</p>'}{note}"))
+    found = texts(spark, pages)
+    assert found == brute_force(pages, 8, 3, None)
+    assert all(found[i].startswith("Weekly report on the state of the northern harbour works\n\nThe harbour") for i in range(40) if i % 4)
+    assert not any("Sports" in t for t in found.values())
 
 
 def test_odd_rows(spark):
@@ -143,13 +175,28 @@ def test_boilerplate_in_articles_and_comments_stays_out():
     assert [t for t, aside, _ in blocks(html) if not aside] == ["Main"]
 
 
-NOTE = "subscribe to our weekly letter to read all that is new on this site"
 
 
-def test_lines_repeated_in_articles_go(spark):
+def test_articles_stay_whole(spark):
+    """Headings and lines that many articles share stay; the same line outside articles goes."""
     bodies = [" ".join(f"word{i}x{k}" for k in range(40)) for i in range(4)]
-    pages = [(i, "http://h.example/", page(f"<article><p>{b}</p><p>{NOTE}</p></article>")) for i, b in enumerate(bodies)]
-    assert texts(spark, pages, cover=None) == dict(enumerate(bodies))
+    head = "Weekly report on the state of the northern harbour works"
+    pages = [(i, "http://h.example/", page(f"<article><h1>{head}</h1><p>The harbour {b}</p><p>{NOTE}</p></article><div>{NOTE}</div>")) for i, b in enumerate(bodies)]
+    assert texts(spark, pages) == {i: f"{head}\n\nThe harbour {b}\n\n{NOTE}" for i, b in enumerate(bodies)}
+
+
+def test_marks_end_at_block_edges(spark):
+    """A repeated heading and the equal first words of unique blocks make a long run, but the unique blocks keep them."""
+    pages = [(i, "http://h.example/", f"<p>{NOTE}</p><p>The harbour {' '.join(f'u{i}x{k}' for k in range(9))}</p>") for i in range(5)]
+    assert texts(spark, pages) == {i: f"The harbour {' '.join(f'u{i}x{k}' for k in range(9))}" for i in range(5)}
+
+
+def test_given_articles_are_main_text(spark):
+    """Nothing is lost of what markup puts into articles and does not name boilerplate."""
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r.page_id: r.text for r in main_text(table).collect()}
+    want = {r.page_id: "\n\n".join(t for t, aside, article in blocks(r.html or "") if article and not aside) for r in table.collect()}
+    assert found == want
 
 
 def test_copies_count_once_and_near_copies_stay(spark):
