@@ -23,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KNOWN_FRAGMENTS = 150_000  # of each of two generations
+FRAGMENTS_AT_ONCE = 1 << 19
 ENCODE_AT_ONCE = 2 << 20  # bytes of text
 WORDS_AT_ONCE = 500
 DECODE_AT_ONCE = 1 << 18
 # Unicode white space beyond ASCII, as the last (up to three) bytes in UTF-8.
 WIDE_SPACE = np.array([0xC285, 0xC2A0, 0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
+_LAST = np.isin(np.arange(256), WIDE_SPACE & 0xFF)
+_BUT_LAST = np.isin(np.arange(256), WIDE_SPACE >> 8 & 0xFF)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -66,27 +69,30 @@ class Codec:
         first, second = np.arange(256)[:, None], np.arange(256)[None, :]
         unsafe = (first <= 0x20) | (second == ord("'")) | ((second >= 0x80) & (second < 0xC0))
         self.cut = ~(joined | unsafe)
-        self.may_end_space = np.isin(np.arange(256), WIDE_SPACE & 0xFF)
         self.starts_word = np.array([t[:1] == b" " for t in table])
         # Words that may be encoded side by side: one space, no other white space, a certain cut before the next space.
-        ends = "".join(re.escape(chr(i)) for i in range(256) if self.cut[i, 0x20] and not self.may_end_space[i])
+        ends = "".join(re.escape(chr(i)) for i in range(256) if self.cut[i, 0x20] and not _LAST[i])
         self.is_word = re.compile(f" [^\\s\x1c-\x20]*[{ends}]".encode("latin-1"), re.DOTALL).fullmatch
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         if array("I", [1]).tobytes() != np.array([1], "<u4").tobytes():
             raise RuntimeError("ids are kept as little-endian 32-bit integers")
 
-    def fragments(self, data: bytes) -> list[bytes]:
-        """The pieces of `data` between certain cuts."""
-        b = np.frombuffer(data, np.uint8)
+    def cuts(self, b: np.ndarray) -> np.ndarray:
+        """The places of certain cuts in UTF-8."""
         at = np.flatnonzero(self.cut[b[:-1], b[1:]]) + 1
-        if len(wide := np.flatnonzero(self.may_end_space[b[at - 1]])):
+        wide = np.flatnonzero(_LAST[b[at - 1]] & _BUT_LAST[b[np.maximum(at - 2, 0)]])
+        if len(wide):
             place = at[wide]
             two = (b[place - 2].astype(np.int64) << 8) | b[place - 1]
             three = (b[np.maximum(place - 3, 0)].astype(np.int64) << 16) | two
             at = np.delete(at, wide[np.isin(two, WIDE_SPACE) | np.isin(three, WIDE_SPACE)])
-        # 0xFF is no byte of UTF-8: as a separator it lets the split run in one call.
-        return np.insert(b, at, 0xFF).tobytes().split(b"\xff")
+        return at
+
+    def fragments(self, data: bytes) -> list[bytes]:
+        """The pieces of `data` between certain cuts."""
+        at = self.cuts(np.frombuffer(data, np.uint8)).tolist()
+        return [data[a:b] for a, b in zip([0, *at], [*at, len(data)])]
 
     def _ids(self, fragments: list[bytes]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast([p.decode() for p in fragments], add_special_tokens=False)
@@ -105,27 +111,53 @@ class Codec:
             else:  # a special token spelled out among them
                 self._learn(run)
 
-    def _encode(self, parts: list[list[bytes]]) -> Iterator[bytes]:
-        wanted = set().union(*parts)
+    def _of(self, distinct: list[bytes]) -> list[bytes]:
+        """The ids of distinct fragments, from the library for those not seen lately."""
         if len(self.known) > KNOWN_FRAGMENTS:  # distinct fragments grow with the data: keep what was used lately
             self.known, self.older = {}, self.known
-        new = wanted.difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in again)
-        new -= again
-        words = [p for p in new if self.is_word(p)]
-        self._learn_words(words)
-        self._learn(list(new.difference(words)))
-        for part in parts:
-            yield b"".join(map(self.known.__getitem__, part))
+        new = []
+        for part in distinct:
+            if part not in self.known:
+                if part in self.older:
+                    self.known[part] = self.older[part]
+                else:
+                    new.append(part)
+        self._learn_words([p for p in new if self.is_word(p)])
+        self._learn([p for p in new if p not in self.known])
+        return [self.known[p] for p in distinct]
+
+    def _encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Texts end to end: fragments are slices of one buffer, numbered by Arrow, and their ids are gathered."""
+        data = b"".join(texts)
+        ends = np.cumsum([len(t) for t in texts])
+        # A text ends in any case; what a cut next to it looks back at is a whole character of the text before.
+        cut = np.zeros(len(data) + 1, bool)
+        cut[self.cuts(np.frombuffer(data, np.uint8))] = cut[ends] = cut[0] = True
+        edges = np.flatnonzero(cut).astype("<i8")
+        parts, sizes = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for first in range(0, len(edges) - 1, FRAGMENTS_AT_ONCE):
+            own = edges[first:first + FRAGMENTS_AT_ONCE + 1]
+            numbered = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(own) - 1, [None, pa.py_buffer(own.tobytes()), pa.py_buffer(data)]).dictionary_encode()
+            codes = self._of(numbered.dictionary.to_pylist())
+            which = numbered.indices.to_numpy()
+            length = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+            count = length[which]
+            shift = np.repeat((np.cumsum(length) - length)[which] - (np.cumsum(count) - count), count)
+            parts.append(np.frombuffer(b"".join(codes), "<u4")[shift + np.arange(len(shift))])
+            sizes.append(count)
+        ids = np.concatenate(parts)
+        before = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+        stop = before[np.searchsorted(edges, ends)].tolist()
+        for a, b in zip([0, *stop], stop):
+            yield ids[a:b].tobytes()
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         held, size = [], 0
         for text in texts:
-            data = text.encode()
-            held.append(self.fragments(data) if data else [])
-            size += len(data)
+            held.append(text.encode())
+            size += len(held[-1])
             if size >= ENCODE_AT_ONCE:
                 yield from self._encode(held)
                 held, size = [], 0
