@@ -2,6 +2,9 @@
 
 Part of the `personweave.llm` subpackage. Every stage reads the documents that the one before kept and returns the columns
 of `documents`; the last one returns the packed pieces.
+
+In all stages null texts count as empty, texts are taken whole, an empty table gives an empty result, rows without an id
+or with a repeated one are rows like others, and further columns of whatever name stay with their rows.
 """
 
 from __future__ import annotations
@@ -16,33 +19,32 @@ from personweave.llm.pii import pseudonymise
 from personweave.llm.quality import quality_scores
 from personweave.llm.queries import CAPACITY, END_ID, KEY, TOKENIZER
 from personweave.llm.session import small_batches
-from personweave.llm.simhash_dedup import near_duplicates
+from personweave.llm.simhash_dedup import one_of_each_component
 from personweave.sources.scratch import scratch_table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the quality classifier rejects."""
+    """Drop the rows that the quality classifier rejects. Equal texts share their fate, and all stay if no label is usable."""
     labels = small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return quality_scores(docs, labels, carry=True).where("predicted = 1").select("record.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of equal texts."""
+    """Keep one row of each group of equal texts: the longest original, then the smallest id, then any. All empty and null
+    texts are equal."""
     small_batches(spark)
     return exact_dedup(docs, carry=True).where("kept").select("record.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of near-duplicates; rows without an id stay."""
+    """Keep one row of each component of near-duplicates: the one with the smallest id, of equal or missing ids any one.
+    What goes is a row, not an id: another text under the same id stays. Texts without a word are near each other."""
     small_batches(spark)
-    found = near_duplicates(docs)
-    # The list of dropped ids is written first: its size is then known, and a short one is sent to the texts.
-    dropped = scratch_table(found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["doc_id"], "left_anti")
+    return one_of_each_component(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with pseudonyms; `n_chars` follows the text."""
+    """Texts with pseudonyms; `n_chars` follows a text that changed. No row goes; null texts stay null."""
     small_batches(spark)
     out = pseudonymise(docs, KEY, carry=True)
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_values") > 0, F.char_length("text").cast("long"))
@@ -51,7 +53,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of every document, packed into sequences."""
+    """The tokens of every row, packed into sequences; a null text is its end mark alone. Repeated rows are packed as often."""
     small_batches(spark)
     return pack_documents(docs, public_tokenizers.path(TOKENIZER), CAPACITY, END_ID)
 

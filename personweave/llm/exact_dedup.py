@@ -30,6 +30,7 @@ FINGERPRINT_BITS = 60  # 15 hex digits of the digest, a non-negative long
 SENDER_ROWS = 1 << 17
 SENDER_BYTES = 32 << 20
 MAX_BUCKETS = 50_000
+OWNER_ROWS = 1 << 21
 
 
 def normalised(text: Column) -> Column:
@@ -81,8 +82,10 @@ def _answers(group: pa.Table) -> pa.Table:
 def _exchange(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The stored rows, and for each sender one bitmap over all owners."""
     spark = rows.sparkSession
+    # Enough owners to keep all tasks busy, and as many more as keep an owner's fingerprints few, however many the rows.
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shift = FINGERPRINT_BITS - max(4, (4 * partitions - 1).bit_length())
+    owners = max(16, 4 * partitions, rows.count() // OWNER_ROWS)
+    shift = FINGERPRINT_BITS - (owners - 1).bit_length()
     stored = T.StructType([
         *(T.StructField(name, rows.schema[name].dataType) for name in ("doc_id", "record", "n_chars", "text_sha256")),
         *(T.StructField(name, T.LongType()) for name in ("sender", "seq", "slot")), T.StructField("repeated", T.BooleanType()),
@@ -93,6 +96,7 @@ def _exchange(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     (sent.write.bucketBy(min(MAX_BUCKETS, max(1, rows.rdd.getNumPartitions())), "sender")
      .option("path", path).saveAsTable(name))
     table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalog forgets it, the files stay for the plans below
     answers = (table.where(F.col("owner").isNotNull()).select("sender", "owner", "code")
                .groupBy("owner").applyInArrow(_answers, "sender long, owner long, bitmap binary"))
     bitmaps = answers.groupBy("sender").agg(F.expr("listagg(bitmap) WITHIN GROUP (ORDER BY owner)").alias("bitmap"))

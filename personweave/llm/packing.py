@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from personweave.llm.bpe import codec
 from personweave.sources.scratch import scratch_table
 
-SHARDS = 64  # a length that a third of all pieces has is counted and ranked in this many parts
+SHARD_ROWS = 1 << 18  # pieces of one length are counted and ranked in parts of about this many rows
 
 
 def fullest(counts: dict[int, int], space: int) -> list[tuple[int, int]]:
@@ -125,17 +125,19 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     often as they occur. Rows without an id come first. The order of rows of one rank group never matters: they are equal.
     """
     pieces = scratch_table(pieces, "pieces")
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SHARDS)))
-    sizes = scratch_table(pieces.groupBy("length", "shard").count(), "piece_counts")
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    if any(not 1 <= x <= capacity for x in counts):
+    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
+    if any(x is None or not 1 <= x <= capacity for x in counts):
         raise ValueError(f"pieces must have 1 to {capacity} tokens")
     rules, _ = plan(counts, capacity)
+    # As many parts as a length needs, so that no task's rows grow with the corpus.
+    parts = F.array(*[F.lit(-(-counts.get(x, 1) // SHARD_ROWS)) for x in range(1, capacity + 1)])
+    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.element_at(parts, F.col("length").cast("int"))))
+    sizes = scratch_table(pieces.groupBy("length", "shard").count(), "piece_counts")
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("length", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     own = Window.partitionBy("length", "shard").orderBy("doc_id", "piece", "ids_crc32")
-    # At most capacity * SHARDS rows are broadcast, whatever the corpus.
-    ranked = (pieces.withColumn("rank", F.row_number().over(own) - 1).join(F.broadcast(starts), ["length", "shard"])
+    # Both sides are dealt by length and part; equal rows of one piece are the only ones that a part cannot be smaller than.
+    ranked = (pieces.withColumn("rank", F.row_number().over(own) - 1).join(starts, ["length", "shard"])
               .withColumn("rank", F.col("rank") + F.col("before")).drop("shard", "before"))
     names = [*(c for c in pieces.columns if c != "shard"), "sequence_id", "offset"]
     types = dict(pieces.dtypes) | {"sequence_id": "bigint", "offset": "bigint"}

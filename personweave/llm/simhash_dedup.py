@@ -30,6 +30,7 @@ SMALL_LIST = 24
 CELL_ROWS = 4096
 SAMPLE_ROWS = 200_000
 MIN_SAMPLED = 64
+_LOW = np.uint64(0x7F7F7F7F7F7F7F7F)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -62,6 +63,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .mapInArrow(run, "doc_id long, fp long"))
 
 
+def fingerprint_column(text: Column, shingle: int = 3) -> Column:
+    @F.arrow_udf("long")
+    def mark(texts: pa.Array) -> pa.Array:
+        return pa.array(np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
+    return mark(text.cast("string"))
+
+
 def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
@@ -100,12 +108,14 @@ def _cells(postings: DataFrame, sample: DataFrame, share: float) -> DataFrame:
 
 
 def _linked(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
-    """Count filter, then verification."""
+    """Count filter, then verification: pairs that share fewer equal bytes than linked ones must are out before their
+    bits are counted."""
     differ = a ^ b
-    out = np.bitwise_count(differ) <= distance
+    # The high bit of each byte that differs.
+    unequal = (((differ & _LOW) + _LOW) | differ) & ~_LOW
+    out = np.bitwise_count(unequal) <= distance  # at least 8 - distance equal bytes
     at = np.flatnonzero(out)
-    tally = (np.ascontiguousarray(np.broadcast_to(differ, out.shape)[at]).view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-    out[at] = tally >= 8 - distance
+    out[at] = np.bitwise_count(differ[at]) <= distance
     return out
 
 
@@ -173,6 +183,22 @@ def _link_lists(distance: int):
     return run
 
 
+def _components(fps: DataFrame, distance: int, bytes_per_key: int | None) -> DataFrame:
+    """`fp`, `component`, `component_id` of the distinct fingerprints `fp` with their smallest id `rep`."""
+    if not 0 <= distance <= 6:
+        raise ValueError("distance must be from 0 to 6")
+    total = fps.count()
+    size = bytes_per_key or _bytes_per_key(total, distance)
+    share = min(1.0, SAMPLE_ROWS / max(total, 1))
+    sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else fps
+    lists = _cells(_postings(fps.select("fp"), distance, size), _postings(sample.select("fp"), distance, size), share)
+    links = (lists.repartition("key", "cell").sortWithinPartitions("key", "cell")
+             .mapInArrow(_link_lists(distance), "left_id long, right_id long"))
+    parts = scratch_table(connected_components(fps.select("fp"), links, "fp"), "components")
+    least = parts.join(fps, "fp").groupBy("component").agg(F.min("rep").alias("component_id"))
+    return parts.join(least, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     distance: int = 3, bytes_per_key: int | None = None) -> DataFrame:
     """`doc_id`, `fingerprint`, `component_id` for every row of `docs`.
@@ -183,18 +209,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts have fingerprint zero and link like any other. Fewer words than `shingle` make one shingle.
     Repeated rows give repeated results. An empty table gives an empty result; other columns are ignored.
     """
-    if not 0 <= distance <= 6:
-        raise ValueError("distance must be from 0 to 6")
     rows = scratch_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     fps = scratch_table(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct_fingerprints")
-    total = fps.count()
-    size = bytes_per_key or _bytes_per_key(total, distance)
-    share = min(1.0, SAMPLE_ROWS / max(total, 1))
-    sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else fps
-    lists = _cells(_postings(fps.select("fp"), distance, size), _postings(sample.select("fp"), distance, size), share)
-    links = (lists.repartition("key", "cell").sortWithinPartitions("key", "cell")
-             .mapInArrow(_link_lists(distance), "left_id long, right_id long"))
-    parts = scratch_table(connected_components(fps.select("fp"), links, "fp"), "components")
-    least = parts.join(fps, "fp").groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = parts.join(least, "component").select("fp", "component_id")
+    named = _components(fps, distance, bytes_per_key)
     return rows.join(named, "fp").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def one_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                          distance: int = 3, bytes_per_key: int | None = None) -> DataFrame:
+    """The rows of `docs` that remain if one row of each component of `near_duplicates` stays: that with the smallest id,
+    of rows with equal ids or none any one. Rows are told apart by themselves, not by their ids. All columns are kept."""
+    record = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record")
+    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), record,
+                       fingerprint_column(docs[f"`{text_col}`"], shingle).alias("fp"))
+    rows = scratch_table(rows.withColumn("row", F.monotonically_increasing_id()), "marked_rows", "zstd")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("first")
+    fps = scratch_table(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), first), "distinct_fingerprints")
+    named = _components(fps.select("fp", "rep"), distance, bytes_per_key)
+    stays = fps.join(named, "fp").groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    # The list of dropped rows is written first: its size is then known, and a short one is sent to the texts.
+    dropped = scratch_table(rows.select("row").join(stays, "row", "left_anti"), "dropped")
+    return rows.join(dropped, "row", "left_anti").select("record.*")

@@ -164,9 +164,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     response that it names. Only revisits and the responses they need take part in the join."""
     originals = (records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id"))
                  .agg(F.min("page_id").alias("refers_to"), F.min("payload_bytes").alias("original_bytes")))
-    return (records.join(originals, "refers_to_id", "left")
-            .select("page_id", F.coalesce("payload_bytes", "original_bytes").alias("payload_bytes"), "payload_digest",
-                    "record_type", "refers_to"))
+    repeat = F.col("record_type") == "revisit"
+    wanted = records.where(repeat).select("refers_to_id").distinct()
+    resolved = (records.where(repeat).join(originals.join(wanted, "refers_to_id", "left_semi"), "refers_to_id", "left")
+                .select("page_id", F.coalesce("payload_bytes", "original_bytes").alias("payload_bytes"), "payload_digest",
+                        "record_type", "refers_to"))
+    return resolved.unionByName(records.where(~repeat).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                              F.lit(None).cast("long").alias("refers_to")))
 
 
 def archive_pages(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from personweave.llm.packing import fullest, pack, pack_documents, plan
-from tests.llm.common import clashing, documents
+from tests.llm.common import groups, clashing, documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -124,3 +124,29 @@ def test_very_long_text(spark):
     out = pack_documents(documents(spark, ["word " * 100_000]), PATH).collect()
     assert sum(r.length for r in out) == out[0].length + 1024 * (len(out) - 1) or max(r.length for r in out) == 1024
     assert sorted(r.piece for r in out) == list(range(len(out)))
+
+
+def test_one_length_in_nearly_all_pieces(spark, monkeypatch):
+    """Parts of a frequent length are as small as those of a rare one."""
+    from personweave.llm import packing
+    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+    rows = [(i, 0, 0, 16 if i % 100 else 1 + i % 15, i * 7919) for i in range(4000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = packing.pack(pieces, 16).collect()
+    assert len(out) == 4000
+    for bin_ in groups((r.sequence_id, (r.offset, r.length)) for r in out).values():
+        at = 0
+        for offset, length in sorted(bin_):
+            assert offset == at
+            at += length
+        assert at <= 16
+    written = packing.scratch_table
+
+    def parts(df, name):
+        table = written(df, name)
+        if name == "piece_counts":
+            sizes = [r["count"] for r in table.where("length = 16").collect()]
+            assert len(sizes) > 60 and max(sizes) < 120
+        return table
+    monkeypatch.setattr(packing, "scratch_table", parts)
+    packing.pack(pieces, 16).count()

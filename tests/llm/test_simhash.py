@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 from personweave.llm import simhash_dedup as module
-from personweave.llm.simhash_dedup import _links_of, fingerprint, near_duplicates
+from personweave.llm.simhash_dedup import _linked, _links_of, fingerprint, near_duplicates
 from tests.llm.common import clashing, components, documents
 
 
@@ -106,3 +106,16 @@ def test_empty_table(spark):
 def test_distance_is_checked(spark):
     with pytest.raises(ValueError):
         near_duplicates(documents(spark, ["a"]), distance=7)
+
+
+def test_count_filter_and_bits():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 64, 4000, dtype=np.uint64)
+    b = a.copy()
+    for i in range(4000):
+        for bit in rng.integers(0, 64, i % 7):
+            b[i] ^= np.uint64(1) << np.uint64(bit)
+    for distance in range(7):
+        want = [bin(int(x ^ y)).count("1") <= distance for x, y in zip(a, b)]
+        assert _linked(a, b, distance).tolist() == want
+    assert _linked(a[0], a, 3).tolist() == [bin(int(a[0] ^ y)).count("1") <= 3 for y in a]
