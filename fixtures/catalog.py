@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property, reduce
@@ -20,9 +21,10 @@ from personweave.operators.values import similar_values, similarity_pairs
 from personweave.plans import batch, marts
 from personweave.schemas import ATTRIBUTES, STAGED_COLUMNS
 from personweave.sources.files import map_attributes, read_source
-from personweave.sources.scratch import scratch_table
+from personweave.sources.scratch import scratch_root, scratch_table
 from personweave.spec import batch_spec
 from personweave.streaming import incremental
+from personweave.streaming.keyed import KeyedGraph
 
 AS_OF = "2025-01-01"
 N_COLUMNS = tuple(f"n_{a}" for a in ATTRIBUTES)
@@ -124,6 +126,13 @@ class Run:
         graph1 = incremental.Graph(self.resolution1.members, self.resolution1.golden)
         return incremental.resolve_batch(self.changes, graph1, self.spec, AS_OF, version=2)
 
+    @cached_property
+    def keyed(self) -> tuple[KeyedGraph, incremental.BatchResult]:
+        """The first state in bucketed tables, and the batch of changes resolved against it and applied."""
+        path = f"{scratch_root(self.spark)}/{self.spark.sparkContext.applicationId}/keyed-{uuid.uuid4().hex}"
+        stored = KeyedGraph.create(self.spark, path, self.spec, self.resolution1.members, self.resolution1.golden, buckets=32)
+        return stored, stored.resolve(self.changes, "changes", AS_OF)
+
 
 _RUNS: dict[tuple[str, str, int | None], Run] = {}
 
@@ -729,6 +738,34 @@ def _details(r: Run) -> DataFrame:
 register("resolve_batch_details", DETAILS, **RESOLVED)(_details)
 
 
+@register("resolve_batch_keyed", DETAILS, **RESOLVED)
+def _(r: Run) -> DataFrame:
+    """The same batch against tables bucketed by key."""
+    return r.keyed[1].results.select("source_system", "external_id", "entity_id", "is_new", "matched_source",
+                                     F.round("confidence", 6).alias("confidence"))
+
+
+@register("crosswalk_keyed", """select source_system, external_id as source_id, coalesce(survivor, o.entity_id) as entity_id
+  from outcome o left join survivors on survivors.entity_id = o.entity_id
+  union all select x.source_system, x.source_id, coalesce(survivor, x.entity_id) from crosswalk1 x
+  left join survivors on survivors.entity_id = x.entity_id
+  where not exists (select 1 from outcome o where o.source_system = x.source_system and o.external_id = x.source_id)""", **RESOLVED)
+def _(r: Run) -> DataFrame:
+    """The crosswalk after the batch rewrote the buckets it touched."""
+    return r.keyed[0].crosswalk()
+
+
+@register("key_index", """select 'email' as key_type, n_email as key_value, count(*) as records from members1 where n_email is not null group by 2
+  union all select 'phone', n_phone, count(*) from members1 where n_phone is not null group by 2
+  union all select 'name3', substr(n_first_name, 1, 3) || n_last_name, count(*) from members1
+  where n_first_name is not null and n_last_name is not null group by 2""")
+def _(r: Run) -> DataFrame:
+    """The stored key index, before any batch."""
+    path = f"{scratch_root(r.spark)}/{r.spark.sparkContext.applicationId}/keyed-{uuid.uuid4().hex}"
+    stored = KeyedGraph.create(r.spark, path, r.spec, r.resolution1.members, r.resolution1.golden, buckets=32)
+    return stored.tables["keys"].read().groupBy("key_type", "key_value").agg(F.count("*").alias("records"))
+
+
 @register("resolve_batch_attributes")
 def _(r: Run) -> DataFrame:
     return r.batch_result.results.select("source_system", "external_id", "canonical_data.*")
