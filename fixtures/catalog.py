@@ -17,6 +17,7 @@ from personweave.functions import text
 from personweave.operators import cluster, graph, normalize, quality, score, staging, survive, train, upsert
 from personweave.operators.blocking import block_keys, block_stats, rule_exact_match
 from personweave.operators.pairs import scored_pairs, shared_keys
+from personweave.operators.search import SearchIndex
 from personweave.operators.values import similar_values, similarity_pairs
 from personweave.plans import batch, marts
 from personweave.schemas import ATTRIBUTES, STAGED_COLUMNS
@@ -528,6 +529,31 @@ def _(r: Run) -> DataFrame:
     return graph.search_entities(r.resolution.golden, "Smith").select("entity_id", "email", "first_name", "last_name")
 
 
+@register("search_many", """select q, entity_id from asked join golden on email = q
+    or contains(lower(concat_ws(' ', first_name, last_name, email, phone, company_name)), q) where q <> ''""",
+          asked="select distinct lower(trim(coalesce(last_name, phone, email))) as q from golden")
+def _(r: Run) -> DataFrame:
+    """One search for the name, phone or email of every golden record, as one join with the postings."""
+    path = f"{scratch_root(r.spark)}/{r.spark.sparkContext.applicationId}/search-{uuid.uuid4().hex}"
+    golden = r.resolution.golden
+    index = SearchIndex.create(r.spark, path, golden, buckets=32)
+    return index.search(golden.select(F.lower(F.trim(F.coalesce("last_name", "phone", "email"))).alias("q")))
+
+
+@register("entities_at", """select r.source_system, r.external_id as source_id, v.version,
+  case v.version when 1 then x1.entity_id when 2 then x2.entity_id end as entity_id
+  from raw r cross join (select unnest([cast(0 as bigint), 1, 2]) as version) v
+  left join crosswalk1 x1 on x1.source_system = r.source_system and x1.source_id = r.external_id
+  left join crosswalk x2 on x2.source_system = r.source_system and x2.source_id = r.external_id""")
+def _(r: Run) -> DataFrame:
+    """The entity of every record before and after both states, in one as-of join."""
+    first, second = r.resolution1.crosswalk, r.resolution.crosswalk
+    events = graph.entity_history(first.where(F.lit(False)), first, 1).unionByName(graph.entity_history(first, second, 2))
+    versions = F.explode(F.array(*[F.lit(v).cast("long") for v in range(3)])).alias("version")
+    asked = r.raw.select("source_system", F.col("external_id").alias("source_id"), versions)
+    return graph.entities_at(asked, graph.validity(events))
+
+
 @register("entity_history", """select cast(2 as bigint) as version, event, entity_id, other_entity_id, source_system, source_id
   from history""", **HISTORY)
 def _(r: Run) -> DataFrame:
@@ -591,6 +617,19 @@ def _(r: Run) -> DataFrame:
     return upsert.export_since(upsert.upsert_crosswalk(old, new), 1)
 
 
+@register("export_between", """select coalesce(n.entity_id, o.entity_id) as entity_id,
+  case when n.entity_id is null then o.email else n.email end as email, case when n.entity_id is null then o.phone else n.phone end as phone,
+  case when n.entity_id is null then o.first_name else n.first_name end as first_name,
+  case when n.entity_id is null then o.last_name else n.last_name end as last_name, n.entity_id is null as removed
+  from golden1 o full join golden n on o.entity_id = n.entity_id
+  where n.entity_id is null or o.entity_id is null or o.email is distinct from n.email or o.phone is distinct from n.phone
+    or o.first_name is distinct from n.first_name or o.last_name is distinct from n.last_name""")
+def _(r: Run) -> DataFrame:
+    """New, changed, removed and absorbed entities between two states of the graph."""
+    columns = ["entity_id", "email", "phone", "first_name", "last_name"]
+    return upsert.export_between(r.resolution1.golden.select(*columns), r.resolution.golden.select(*columns), ["entity_id"])
+
+
 _SAME = " and ".join(f"o.{a} is not distinct from n.{a}" for a in ATTRIBUTES)
 _KEY = "o.source_system = n.source_system and o.external_id = n.external_id"
 CHANGED = f"""select {', '.join('o.' + c for c in STAGED_COLUMNS)}, 'DELETE' as _action, n.external_id is not null as _is_update

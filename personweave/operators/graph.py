@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from personweave.operators.upsert import upsert_golden
@@ -72,6 +72,25 @@ def crosswalk_as_of(events: DataFrame, version: int) -> DataFrame:
     return latest.where(F.col("last.event") != "unlinked").select(*RECORD, F.col("last.entity_id").alias("entity_id"))
 
 
+def validity(events: DataFrame) -> DataFrame:
+    """`source_system`, `source_id`, `entity_id`, `first`, `last`: the versions during which a record was in an entity; `last`
+    is null where it still is. Of several events of a record in one version the largest entity counts."""
+    states = (events.where(F.col("event").isin("linked", "moved", "unlinked"))
+              .groupBy(*RECORD, "version").agg(F.max(F.struct(F.when(F.col("event") != "unlinked", F.col("entity_id")).alias("entity_id"))).alias("s")))
+    following = F.lead("version").over(Window.partitionBy(*RECORD).orderBy("version"))  # the events of one record
+    return (states.select(*RECORD, F.col("s.entity_id").alias("entity_id"), F.col("version").alias("first"), (following - 1).alias("last"))
+            .where(F.col("entity_id").isNotNull()))
+
+
+def entities_at(asked: DataFrame, intervals: DataFrame) -> DataFrame:
+    """The rows of `asked` (with `source_system`, `source_id`, `version`) and the `entity_id` of the record as of that
+    version; null where it was in none. Any number of versions at once, from the intervals of `validity`."""
+    valid = intervals.withColumnsRenamed({c: f"_{c}" for c in (*RECORD, "entity_id", "first", "last")})
+    same = (F.col("source_system") == F.col("_source_system")) & (F.col("source_id") == F.col("_source_id"))
+    within = (F.col("version") >= F.col("_first")) & (F.col("_last").isNull() | (F.col("version") <= F.col("_last")))
+    return asked.join(valid, same & within, "left").select(*[asked[c] for c in asked.columns], F.col("_entity_id").alias("entity_id"))
+
+
 def revert(events: DataFrame, current: DataFrame, version: int, new_version: int) -> tuple[DataFrame, DataFrame]:
     """Go back to an earlier version: the restored crosswalk and the events that record the step."""
     restored = crosswalk_as_of(events, version)

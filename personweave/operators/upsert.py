@@ -71,3 +71,13 @@ def cdc_inserts(changes: DataFrame) -> DataFrame:
 def export_since(table: DataFrame, version: int) -> DataFrame:
     """Rows written after a version."""
     return table.where(F.col("updated_version") > version)
+
+
+def export_between(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """What a receiver of the state `before` needs to get to `after`: rows of `after` that are new or changed, and the last
+    rows of keys that are gone, marked `removed`. Rows that stayed the same are left out."""
+    rest = [c for c in before.columns if c not in keys]
+    both = (before.select(*keys, F.struct(*rest).alias("_b")).join(after.select(*keys, F.struct(*rest).alias("_a")), keys, "full"))
+    gone = F.col("_a").isNull()
+    return (both.where(gone | F.col("_b").isNull() | ~F.col("_a").eqNullSafe(F.col("_b")))
+            .select(*[F.col(c) if c in keys else F.coalesce("_a", "_b").getField(c).alias(c) for c in before.columns], gone.alias("removed")))
