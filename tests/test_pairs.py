@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from personweave.functions.similarity import jaro_winkler
+from personweave.operators import values as vocabulary
 from personweave.operators.cluster import connected_components
 from personweave.operators.normalize import collapse_profiles, prepare_records
 from personweave.operators.pairs import scored_pairs
@@ -160,6 +161,31 @@ def test_similar_values_equal_brute_force(spark):
         assert found == {p: round(s, 9) for p, s in zip(pairs, scores) if s >= threshold}
 
 
+def test_a_frequent_signature_is_cut_into_cells(spark, monkeypatch):
+    """Half of all values share their rare letters: groups stay small, and no pair is lost."""
+    monkeypatch.setattr(vocabulary, "CELL_ROWS", 10)
+    rng = random.Random(3)
+    words = {"jqx" + "".join(rng.choice("aeio") for _ in range(3)) for _ in range(150)} | {
+        "".join(rng.choice("abcdef") for _ in range(5)) for _ in range(60)} | {"\U0001f600ab", "\U0001f600ac", "a" * 300, "a" * 299 + "b"}
+    table = spark.createDataFrame([("x", w) for w in words] + [("x", ""), ("x", None), ("y", "jqxaaa")], "field string, value string")
+    keyed = vocabulary.signatures(table.where("value != ''").distinct(), 0.88, sorted({len(w) for w in words})).cache()
+    most = keyed.groupBy("field", "signature").count().agg({"count": "max"}).first()[0]
+    assert most > 50
+    groups = vocabulary.signature_cells(keyed).groupBy("field", "signature", "first", "second").count().agg({"count": "max"}).first()[0]
+    assert groups < most and groups <= 4 * 10
+    found = {(r.v, r.w) for r in vocabulary.similar_values(table, 0.88).collect()}
+    pairs = list(combinations(sorted(words), 2))
+    scores = jaro_winkler(np.array([a for a, _ in pairs], object), np.array([b for _, b in pairs], object))
+    assert found == {p for p, s in zip(pairs, scores) if s >= 0.88}
+    assert similar_values(table.limit(0), 0.88).count() == 0
+
+
+def test_signatures_are_made_without_python(spark):
+    table = spark.createDataFrame([("x", "abc")], "field string, value string")
+    plan = vocabulary.signature_cells(vocabulary.signatures(table, 0.88, [3]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "CartesianProduct" not in plan
+
+
 def test_jaro_winkler_equals_duckdb():
     duckdb = pytest.importorskip("duckdb")
     rng = random.Random(9)
