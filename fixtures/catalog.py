@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from fixtures import oracle as sql
 from fixtures.derived import app_events, companies, invoices, raw_records, sources_of
 from personweave.functions import text
-from personweave.operators import cluster, graph, normalize, quality, score, staging, survive, train, upsert
+from personweave.operators import cluster, graph, normalize, quality, review, score, staging, survive, train, upsert
 from personweave.operators.blocking import block_keys, block_stats, rule_exact_match
 from personweave.operators.pairs import scored_pairs, shared_keys
 from personweave.operators.search import SearchIndex
@@ -298,6 +298,28 @@ def _(r: Run) -> DataFrame:
     return score.review_queue(r.pairs).select("left_id", "right_id", F.round("confidence", 6).alias("confidence"))
 
 
+REVIEW_GROUPS = f"""select vid, {', '.join(GAMMAS)}, round(weight, 6) as weight, round(confidence, 6) as confidence, count(*) as partners
+  from (select left_id as vid, * from decided union all select right_id, * from decided) where decision = 'review' group by all"""
+
+
+def _review_groups(r: Run) -> DataFrame:
+    """What is to be reviewed, counted per profile and comparison vector, without listing pairs of large blocks."""
+    return review.review_groups(r.profiles, r.spec).withColumns({c: F.round(c, 6) for c in ("weight", "confidence")})
+
+
+register("review_groups", REVIEW_GROUPS)(_review_groups)
+
+
+@register("review_pairs_of", f"""select left_id, right_id, {', '.join(GAMMAS)}, round(confidence, 6) as confidence from
+  (select left_id, right_id, confidence, decision, {', '.join(GAMMAS)} from decided
+    union all select right_id, left_id, confidence, decision, {', '.join(GAMMAS)} from decided)
+  where decision = 'review' and left_id in (select vid from prof where n > 1)""")
+def _(r: Run) -> DataFrame:
+    """The pairs to review of every profile that stands for several records."""
+    found = review.review_pairs_of(r.profiles.where(F.col("n") > 1).select("vid"), r.profiles, r.spec)
+    return found.drop("weight").withColumn("confidence", F.round("confidence", 6))
+
+
 @register("best_candidate", """select left_id, right_id, round(weight, 6) as weight from (select *,
   row_number() over (partition by left_id order by weight desc, right_id) as rn from scored) where rn = 1""")
 def _(r: Run) -> DataFrame:
@@ -902,6 +924,7 @@ def _(r: Run) -> DataFrame:
     return train.gamma_patterns(r.profiles, r.spec)
 
 
+register("review_groups_hot", REVIEW_GROUPS, limit=HOT)(_review_groups)
 register("resolve_batch_hot", DETAILS, limit=HOT, **RESOLVED)(_details)
 
 

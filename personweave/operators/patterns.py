@@ -40,15 +40,20 @@ def _requirements(spec: IdentitySpec, parts: tuple[str, ...]) -> list[tuple[str,
     return list(product(*choices))
 
 
-def _grouped(rows: DataFrame, spec: IdentitySpec) -> DataFrame:
-    """Sizes per block, requirement, required values and presence mask."""
+def _spread(rows: DataFrame, spec: IdentitySpec) -> DataFrame:
+    """Every row once per requirement that its present fields allow, with the required values only."""
     table = [(spec.key_name(parts), ",".join(required), sum(1 << i for i, r in enumerate(required) if r != "any"))
              for parts in spec.blocking for required in _requirements(spec, parts)]
     # A fixed table: at most 3^fields requirements per key type.
     requirements = rows.sparkSession.createDataFrame(table, "key_type string, required string, needed int")
     spread = rows.join(F.broadcast(requirements), "key_type").where(F.col("mask").bitwiseAND(F.col("needed")) == F.col("needed"))
     values = {f.column: F.when(F.col("needed").bitwiseAND(1 << i) != 0, F.col(f.column)) for i, f in enumerate(spec.fields)}
-    return spread.withColumns(values).groupBy("key_type", "key_value", "mask", "required", *values).agg(
+    return spread.withColumns(values)
+
+
+def _grouped(rows: DataFrame, spec: IdentitySpec) -> DataFrame:
+    """Sizes per block, requirement, required values and presence mask."""
+    return _spread(rows, spec).groupBy("key_type", "key_value", "mask", "required", *[f.column for f in spec.fields]).agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("self"))
 
 
@@ -94,8 +99,25 @@ def block_patterns(large: DataFrame, spec: IdentitySpec) -> DataFrame:
     return _states(counts, spec)
 
 
-def _states(counts: DataFrame, spec: IdentitySpec) -> DataFrame:
-    """From counts per requirement to counts per comparison vector."""
+def partner_patterns(large: DataFrame, spec: IdentitySpec) -> DataFrame:
+    """`vid`, `gamma_<field>`, `partners`: how many other profiles of the given blocks a profile has per comparison vector.
+
+    A profile meets the sizes of the groups that fulfil a requirement with it, at most one per presence mask.
+    """
+    rows = scratch_table(large.withColumn("n", F.lit(1).cast("long")), "large-rows")
+    same = ["key_type", "key_value", "required", "_key"]
+    sizes = (_with_similar(_grouped(rows, spec), similar_in(rows, spec), spec).withColumn("_key", _key(spec))
+             .groupBy(*same, F.col("mask").alias("other")).agg(F.sum("n").alias("n")))
+    asking = _spread(rows, spec).select("vid", "mask", "key_type", "key_value", "required", _key(spec).alias("_key"))
+    met = asking.join(sizes, same).select("vid", "key_type", "required", F.col("mask").bitwiseAND(F.col("other")).alias("present"), "n")
+    # A profile is in each of its own groups once.
+    own = asking.select("vid", "key_type", "required", F.col("mask").alias("present"), F.lit(-1).cast("long").alias("n"))
+    counts = met.unionByName(own).groupBy("vid", "key_type", "required", "present").agg(F.sum("n").alias("pairs"))
+    return _states(counts, spec, ("vid",)).withColumnRenamed("pairs", "partners")
+
+
+def _states(counts: DataFrame, spec: IdentitySpec, by: tuple[str, ...] = ()) -> DataFrame:
+    """From counts per requirement to counts per comparison vector, and per `by` if given."""
     out = counts.withColumn("pairs", F.col("pairs").cast("decimal(38,0)"))
     for i, f in enumerate(spec.fields):
         rules = out.sparkSession.createDataFrame(_CONTRIBUTIONS[f.comparator], "_case string, state string, sign int")
@@ -115,5 +137,5 @@ def _states(counts: DataFrame, spec: IdentitySpec) -> DataFrame:
     gammas = [F.when(F.col(f"s_{f.name}") == "missing", F.lit(MISSING))
               .when(F.col(f"s_{f.name}") == "disagree", F.lit(DISAGREE)).otherwise(F.lit(AGREE)).alias(f"gamma_{f.name}")
               for f in spec.fields]
-    return (out.where(~earlier).groupBy(*gammas).agg(F.sum("pairs").cast("double").alias("pairs"))
+    return (out.where(~earlier).groupBy(*by, *gammas).agg(F.sum("pairs").cast("double").alias("pairs"))
             .where(F.col("pairs") > 0))
