@@ -799,6 +799,23 @@ def _details(r: Run) -> DataFrame:
 register("resolve_batch_details", DETAILS, **RESOLVED)(_details)
 
 
+@register("batch_events", """select cast(2 as bigint) as version, event, entity_id, other_entity_id, source_system, source_id, cause, round(weight, 6) as weight
+  from (select 'linked' as event, coalesce(survivor, a.entity_id) as entity_id, cast(null as varchar) as other_entity_id, source_system, source_id,
+      case when weight is null then 'change' else 'scored' end as cause, weight from arrivals a left join survivors s on s.entity_id = a.entity_id
+    union all select distinct 'created', entity_id, null, null, null, 'change', null from arrivals where entity_id not in (select entity_id from crosswalk1)
+    union all select 'moved', survivor, x.entity_id, source_system, source_id, 'scored', weight from crosswalk1 x join lost on lost.entity_id = x.entity_id
+    union all select 'merged', survivor, entity_id, null, null, 'scored', weight from lost)""", **RESOLVED,
+          arrivals="""select p.source_system, p.external_id as source_id, coalesce(own_id, group_id, sha256(p.component)) as entity_id,
+            case when own_id is not null then p.weight when group_id is not null or pos > 1 then t.weight end as weight
+            from placed p left join through_weight t on t.rec_id = p.rec_id""",
+          tied="select * from per_entity where weight >= 12 and left_id in (select left_id from strong group by left_id having count(*) > 1)",
+          lost="""select s.entity_id, survivor, max(t.weight) as weight from survivors s join tied t on t.entity_id = s.entity_id
+            where s.entity_id <> survivor group by all""")
+def _(r: Run) -> DataFrame:
+    """What the batch did to records and entities, why, and by which weight."""
+    return r.batch_result.events.withColumn("weight", F.round("weight", 6))
+
+
 @register("resolve_batch_keyed", DETAILS, **RESOLVED)
 def _(r: Run) -> DataFrame:
     """The same batch against tables bucketed by key."""

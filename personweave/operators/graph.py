@@ -65,6 +65,28 @@ def entity_history(before: DataFrame, after: DataFrame, version: int) -> DataFra
     return events.select(F.lit(version).cast("long").alias("version"), "event", "entity_id", "other_entity_id", *RECORD)
 
 
+def with_cause(events: DataFrame, cause: str, records: DataFrame | None = None, absorbed_by: DataFrame | None = None) -> DataFrame:
+    """Events with `cause` and `weight`: why something happened, and how strong the evidence was.
+
+    `records` (`source_system`, `source_id`, `cause`, `weight`) explains records that were linked, `absorbed_by` (`entity_id`,
+    `cause`, `weight`) the entities that went into others, for their own event and for the records that moved with them.
+    Whatever neither explains has the given cause and no weight.
+    """
+    unexplained = [F.lit(None).cast("string").alias("_c"), F.lit(None).cast("double").alias("_w")]
+    linked, absorption = F.col("event") == "linked", F.col("event").isin("moved", "merged")
+    rest = events.where(~(linked | absorption)).select("*", *unexplained)
+    parts = [rest]
+    for condition, keys, evidence in ((linked, list(RECORD), records), (absorption, ["other_entity_id"], absorbed_by)):
+        some = events.where(condition)
+        if evidence is None:
+            parts.append(some.select("*", *unexplained))
+            continue
+        named = evidence.withColumnRenamed("entity_id", "other_entity_id").select(*keys, F.col("cause").alias("_c"), F.col("weight").alias("_w"))
+        parts.append(some.join(named, keys, "left").select(*events.columns, "_c", "_w"))
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return together.select(*events.columns, F.coalesce("_c", F.lit(cause)).alias("cause"), F.col("_w").alias("weight"))
+
+
 def crosswalk_as_of(events: DataFrame, version: int) -> DataFrame:
     """Crosswalk after the given version, rebuilt from the record events."""
     latest = (events.where((F.col("version") <= version) & F.col("event").isin("linked", "moved", "unlinked"))

@@ -34,7 +34,7 @@ TABLES = {
     "members": _schema(" ".join(["rec_id", *STAGED_COLUMNS, *[f"n_{a}" for a in ATTRIBUTES], "entity_id", _STATE])),
     "golden": _schema("entity_id entity_type first_name last_name email phone company_name confidence_score:double "
                       f"source_name created_at:timestamp {_STATE}"),
-    "entity_event": _schema("event entity_id other_entity_id source_system source_id"),
+    "entity_event": _schema("event entity_id other_entity_id source_system source_id cause weight:double"),
     "results": _schema("source_system external_id entity_id is_new:boolean matched_source confidence:double").add(
         "canonical_data", _schema(" ".join(ATTRIBUTES))),
     "errors": _schema("source_system external_id error"),

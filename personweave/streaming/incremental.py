@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from personweave.operators.blocking import block_keys
 from personweave.operators.cluster import MANUAL, connected_components, entity_id, separated_components
-from personweave.operators.graph import entity_history
+from personweave.operators.graph import entity_history, with_cause
 from personweave.operators.normalize import (
     apart, best_possible_weight, collapse_profiles, prepare_records, presence_mask, record_id, with_profile_key,
 )
@@ -47,7 +47,7 @@ class BatchResult:
     golden: DataFrame
     removed: DataFrame  # member rows deleted by tombstones
     ended: DataFrame  # entity ids merged into another one or left without members
-    events: DataFrame
+    events: DataFrame  # what happened to records and entities, with cause and weight
 
 
 def problem(spec: IdentitySpec | None = None) -> Column:
@@ -155,24 +155,33 @@ def link_or_new(candidates: DataFrame, spec: IdentitySpec) -> DataFrame:
 
 def merged_entities(candidates: DataFrame, spec: IdentitySpec, locks: DataFrame | None, splits: DataFrame | None = None
                     ) -> DataFrame:
-    """`entity_id, survivor` of entities that one record ties together above the merge threshold.
+    """`entity_id, survivor, weight` of entities that one record ties together above the merge threshold; `weight` is the
+    strongest with which such a record matches the entity that goes.
 
     Locked entities take no part in merges, and `splits` (pairs of entities) are never merged. The smallest id survives.
     """
     strong = candidates.where(F.col("weight") >= spec.merge).select("left_id", "entity_id", "weight")
     if locks is not None:
         strong = strong.join(locks.select("entity_id"), "entity_id", "left_anti")
-    first = strong.groupBy("left_id").agg(F.min("entity_id").alias("first"))
-    edges = (strong.join(first, "left_id").where(F.col("entity_id") != F.col("first"))
+    first = strong.groupBy("left_id").agg(F.min("entity_id").alias("first"), F.max("entity_id").alias("last"))
+    tied = scratch_table(strong.join(first.where(F.col("first") != F.col("last")).drop("last"), "left_id"), "tied")
+    edges = (tied.where(F.col("entity_id") != F.col("first"))
              .groupBy(F.col("first").alias("left_id"), F.col("entity_id").alias("right_id")).agg(F.max("weight").alias("weight")))
     edges = scratch_table(edges, "merges")
     if edges.isEmpty():
-        return edges.select(F.col("left_id").alias("entity_id"), F.col("right_id").alias("survivor"))
+        return edges.select(F.col("left_id").alias("entity_id"), F.col("right_id").alias("survivor"), "weight")
     nodes = edges.select(F.col("left_id").alias("entity_id")).unionByName(
         edges.select(F.col("right_id").alias("entity_id"))).distinct()
     found = (connected_components(nodes, edges, "entity_id") if splits is None
              else separated_components(nodes, edges, splits, "entity_id")).withColumnRenamed("component", "survivor")
-    return found.where(F.col("entity_id") != F.col("survivor"))
+    evidence = tied.groupBy("entity_id").agg(F.max("weight").alias("weight"))
+    return found.where(F.col("entity_id") != F.col("survivor")).join(evidence, "entity_id").select("entity_id", "survivor", "weight")
+
+
+def _caused(weight: Column) -> list[Column]:
+    """`cause` and `weight` of what happened by a weight: that of a manual decision is no evidence."""
+    manual = weight >= MANUAL
+    return [F.when(manual, "override").otherwise("scored").alias("cause"), F.when(~manual, weight).alias("weight")]
 
 
 def _manual(overrides: DataFrame, kind: str) -> DataFrame:
@@ -258,7 +267,8 @@ def _assign_new(records: DataFrame, profiles: DataFrame, members: DataFrame, gra
         F.when(own, F.split_part("own_matched", F.lit(":"), F.lit(1)))
         .when(through, F.split_part("link.matched_id", F.lit(":"), F.lit(1)))
         .when(~is_new, F.col("head.source_system")).alias("matched_source"),
-        F.when(own, F.col("own_confidence")).when(is_new, F.lit(1.0)).otherwise(F.col("confidence")).alias("confidence"))
+        F.when(own, F.col("own_confidence")).when(is_new, F.lit(1.0)).otherwise(F.col("confidence")).alias("confidence"),
+        F.when(own, F.col("own_weight")).when(~is_new, F.col("weight")).alias("weight"))
     survivor = merges.select("entity_id", "survivor")
 
     def moved(df: DataFrame) -> DataFrame:
@@ -274,7 +284,8 @@ def _assign_new(records: DataFrame, profiles: DataFrame, members: DataFrame, gra
             "entity_id": F.when(out, entity_id(F.col("vid"))).otherwise(F.col("entity_id")),
             "is_new": F.when(out, F.col("rec_id") == F.col("vid")).otherwise(F.col("is_new")),
             "matched_source": F.when(~out, F.col("matched_source")),
-            "confidence": F.when(out, F.lit(1.0)).otherwise(F.col("confidence"))}).drop("_barred")
+            "confidence": F.when(out, F.lit(1.0)).otherwise(F.col("confidence")),
+            "weight": F.when(out & ~F.col("is_new"), F.lit(MANUAL)).when(~out, F.col("weight"))}).drop("_barred")
     return assigned.drop("vid"), merges
 
 
@@ -290,7 +301,9 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
 
     Known records keep their entity and refresh their attributes. New records are compared with the stored records as
     they are after the batch, linked by score, grouped among themselves, or become new entities. Golden records of all
-    touched entities are recomputed. Deletes are skipped unless `tombstone` is set; then the last action of a record
+    touched entities are recomputed. Events name their cause: `scored` with the weight of the comparison that linked a
+    record or of the record that ties two entities together, `override`, or `change` where the change itself is the cause
+    (a first record, a deletion). Deletes are skipped unless `tombstone` is set; then the last action of a record
     counts. Overrides of the graph hold for the records of the batch.
     """
     valid, errors = reject_invalid(cdc_inserts(changes), spec)
@@ -309,7 +322,8 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     stored = scratch_table(graph.members.select("rec_id", "source_system", F.col("external_id").alias("source_id"), "entity_id")
                            .join(records.select("rec_id"), "rec_id", "left_semi"), "known")
     known = resolve_known(records, stored).select(
-        "rec_id", "source_system", "external_id", "entity_id", "is_new", "matched_source", "confidence")
+        "rec_id", "source_system", "external_id", "entity_id", "is_new", "matched_source", "confidence",
+        F.lit(None).cast("double").alias("weight"))
     unknown = records.join(stored.select("rec_id"), "rec_id", "left_anti")
     profiles = scratch_table(collapse_profiles(unknown, spec), "new-profiles")
     # New records meet the known ones with the values that this batch brings.
@@ -317,7 +331,7 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     replaced = records.select("rec_id") if gone is None else records.select("rec_id").unionByName(gone)
     present = graph.members.select(*columns).join(replaced, "rec_id", "left_anti").unionByName(refreshed)
     assigned, merges = _assign_new(unknown, profiles, present, graph, spec, profile)
-    known = (known.join(merges, "entity_id", "left").withColumn("entity_id", F.coalesce("survivor", "entity_id"))
+    known = (known.join(merges.drop("weight"), "entity_id", "left").withColumn("entity_id", F.coalesce("survivor", "entity_id"))
              .drop("survivor"))
     resolved = scratch_table(known.unionByName(assigned), "resolved")
 
@@ -349,6 +363,9 @@ def resolve_batch(changes: DataFrame, graph: Graph, spec: IdentitySpec, as_of: s
     # Compared on the changed records only, an entity looks new when none of them was in it: keep the truly new ones.
     existing = previous.select("entity_id", F.lit("created").alias("event"))
     events = entity_history(before, _links(changed), version).join(existing, ["entity_id", "event"], "left_anti")
+    evidence = resolved.where(F.col("weight").isNotNull()).select(
+        "source_system", F.col("external_id").alias("source_id"), *_caused(F.col("weight")))
+    events = with_cause(events, "change", evidence, merges.select("entity_id", *_caused(F.col("weight"))))
     emptied = removed.select("entity_id").distinct().join(current, "entity_id", "left_anti")
     ended = merges.select("entity_id").unionByName(emptied)
     return BatchResult(results, errors, changed, golden, removed, ended, events)
@@ -407,7 +424,7 @@ def override_entities(graph: Graph, decisions: DataFrame, spec: IdentitySpec, as
     golden, _ = _refreshed_golden(current, touched.unionByName(current.select("entity_id")).distinct(), graph, spec, as_of)
     golden = golden.join(current.select("entity_id").distinct(), "entity_id", "left_semi")
     ended = touched.join(current, "entity_id", "left_anti")
-    events = entity_history(_links(members), _links(current), version)
+    events = with_cause(entity_history(_links(members), _links(current), version), "override")
     nothing = changed.where(F.lit(False))
     return BatchResult(nothing, nothing, changed, golden, nothing, ended, events)
 

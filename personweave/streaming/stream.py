@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from personweave.operators.graph import entity_history
+from personweave.operators.graph import entity_history, with_cause
 from personweave.operators.upsert import last_per_key
 from personweave.plans.batch import Resolution
 from personweave.sources.scratch import scratch_table
@@ -33,7 +33,7 @@ def seed(store: GraphStore, resolution: Resolution, run_id: str | None = None) -
     A run id that was stored before writes nothing. The events are the difference to what was stored.
     """
     batch_id, now = f"seed-{run_id or uuid.uuid4().hex}", store.snapshot()
-    events = entity_history(_links(now.read("members")), _links(resolution.members), now.version + 1)
+    events = with_cause(entity_history(_links(now.read("members")), _links(resolution.members), now.version + 1), "replace")
     parameters = store.spark.createDataFrame(
         [(f.name, f.m, f.u, None, None) for f in resolution.spec.fields], TABLES["params"])
     return store.replace(batch_id, {"members": resolution.members, "golden": resolution.golden},
@@ -44,7 +44,7 @@ def revert(store: GraphStore, version: int) -> int:
     """Bring the members and golden records of an earlier version back as a new one; the step is in the history."""
     now, then = store.snapshot(), store.snapshot(version)
     members, golden = then.read("members"), then.read("golden")
-    events = entity_history(_links(now.read("members")), _links(members), now.version + 1)
+    events = with_cause(entity_history(_links(now.read("members")), _links(members), now.version + 1), "revert")
     return store.replace(f"revert-{version}-{uuid.uuid4().hex}", {"members": members, "golden": golden}, {"entity_event": events})
 
 
