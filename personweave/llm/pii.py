@@ -153,13 +153,14 @@ class Pseudonyms:
 
     def _phone(self, value: str) -> str | None:
         """North American numbers: area and exchange start with 2 to 9, the reserved exchange 555 stays. With the country
-        code any digits count; those that no area or exchange begins with are permuted among themselves."""
+        code, parentheses, hyphens or dots any digits count; those that no area or exchange begins with are permuted among
+        themselves. Groups of digits that are parted by spaces alone must be a valid number."""
         digits = re.sub(r"\D", "", value)
         lead, digits = digits[:-10], digits[-10:]
         if lead not in ("", "1"):
             return None
         if digits[0] in "01" or digits[3] in "01":
-            if not lead:
+            if not lead and not re.search(r"[(.-]", value):
                 return None
             if digits[3:6] == "555":
                 area, line = divmod(self._moved("phone555low", int(digits[:3] + digits[6:]), 200 * 10_000), 10_000)
@@ -363,8 +364,8 @@ def pseudonymise(docs: DataFrame, key: bytes, restore: bool = False, id_col: str
 
     Replaced: payment cards (Luhn), IBAN (modulo 97), US social security numbers, North American and international phone
     numbers, IPv4 addresses, dates from 1900 to 2099, e-mail local parts, values assigned to password-like names and
-    AKIA keys. What fails its validation stays as it is, as do phone numbers without the country code 1 whose area or
-    exchange begins with 0 or 1. Everything else of the text stays, byte by byte.
+    AKIA keys. What fails its validation stays as it is, as do digits in groups of three, three and four that only spaces
+    part, if the area or exchange begins with 0 or 1. Everything else of the text stays, byte by byte.
 
     A null text stays null and an empty one empty, with no values. Equal values get equal pseudonyms, in repeated rows,
     too. An empty table gives an empty result. One pass without a shuffle; whole texts, however long.

@@ -2,14 +2,14 @@
 
 import random
 import re
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from personweave.llm.pii import VALUES, Feistel, Pseudonyms, iban_check, luhn_digit, pseudonymise
+from personweave.llm.pii import FIRST_DAY, LAST_DAY, VALUES, Feistel, Pseudonyms, iban_check, luhn_digit, pseudonymise
 from tests.llm.common import clashing, documents
 
 KEY = b"test key"
@@ -80,7 +80,7 @@ def test_iban_stays_valid():
 
 @pytest.mark.parametrize("text", [
     "", "plain words only", "4565410125667262", "1234567890123456789012", "666-12-3456", "000-12-3456", "300.1.1.1", "0.1.2.3", "1.2.3.4.5",
-    "version 1.2.3", "2021-13-01", "2021-02-30", "31.11.2020", "(143) 555-3824", "GB83 WEST 1234 5698 7654 32", "12:30", "x = 5; y = 7", "a@b",
+    "version 1.2.3", "2021-13-01", "2021-02-30", "31.11.2020", "143 555 3824", "GB83 WEST 1234 5698 7654 32", "12:30", "x = 5; y = 7", "a@b",
     "3 Marchers 2020", "5551234"])
 def test_clean_texts_stay(text):
     assert HIDE(text) == (text, {})
@@ -131,7 +131,8 @@ def planted_cards():
     return ["4565410125667261", "4565 4101 2566 7261", "0" + "12345678901234" + luhn_digit("012345678901234")]
 
 
-@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (143) 555-3824", "+10172343824", "+1 743-134-3824"])
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "+1 (143) 555-3824", "+10172343824", "+1 743-134-3824", "(143) 555-3824", "(043) 234-3824",
+                                   "143-555-3824", "743.134.3824", "(143)555 3824"])
 def test_phone_numbers_of_any_digits(value):
     hidden, counts = HIDE(f"call {value}.")
     assert counts == {"phone": 1} and value not in hidden and shape(hidden) == shape(f"call {value}.")
@@ -171,3 +172,18 @@ def test_neighbours_come_back():
     for _ in range(1500):
         text = rng.choice([" ", " ", "-", ", "]).join(rng.choice(values) for _ in range(rng.randrange(1, 6)))
         assert SHOW(HIDE(text)[0])[0] == text
+
+
+def test_all_values_of_a_small_format_are_permuted():
+    """Every date of the range: the pseudonyms are the same dates in another order."""
+    days = [FIRST_DAY + timedelta(days=i) for i in range((LAST_DAY - FIRST_DAY).days + 1)]
+    names = [HIDE(d.isoformat())[0] for d in days]
+    assert sorted(names) == [d.isoformat() for d in days]
+
+
+def test_low_phone_numbers_are_permuted_among_themselves():
+    """All lines of one number: no two share a pseudonym, whichever way they are written."""
+    values = [f"(143) 134-{line:04d}" for line in range(0, 10_000, 10)]
+    hidden = [HIDE(v)[0] for v in values]
+    assert len(set(hidden)) == len(values)
+    assert [re.sub(r"\D", "", HIDE(v.replace("(", "+1 ").replace(") ", "-"))[0])[1:] for v in values] == [re.sub(r"\D", "", h) for h in hidden]
