@@ -20,8 +20,9 @@ from personweave.operators.pairs import scored_pairs, shared_keys
 from personweave.operators.search import SearchIndex
 from personweave.operators.values import similar_values, similarity_pairs
 from personweave.plans import batch, marts
-from personweave.schemas import ATTRIBUTES, STAGED_COLUMNS
-from personweave.sources.files import map_attributes, read_source
+from personweave.plans.report import reported
+from personweave.schemas import ATTRIBUTES, CHANGES, STAGED_COLUMNS
+from personweave.sources.files import map_attributes, read_changes, read_source
 from personweave.sources.scratch import scratch_root, scratch_table
 from personweave.spec import batch_spec
 from personweave.streaming import incremental
@@ -823,16 +824,60 @@ def _(r: Run) -> DataFrame:
                                      F.round("confidence", 6).alias("confidence"))
 
 
-@register("crosswalk_keyed", """select source_system, external_id as source_id, coalesce(survivor, o.entity_id) as entity_id
+CROSSWALK_AFTER = """select source_system, external_id as source_id, coalesce(survivor, o.entity_id) as entity_id
   from outcome o left join survivors on survivors.entity_id = o.entity_id
   union all select x.source_system, x.source_id, coalesce(survivor, x.entity_id) from crosswalk1 x
   left join survivors on survivors.entity_id = x.entity_id
-  where not exists (select 1 from outcome o where o.source_system = x.source_system and o.external_id = x.source_id)""", **RESOLVED)
+  where not exists (select 1 from outcome o where o.source_system = x.source_system and o.external_id = x.source_id)"""
+
+
+@register("crosswalk_keyed", CROSSWALK_AFTER, **RESOLVED)
 def _(r: Run) -> DataFrame:
     """The crosswalk after the batch rewrote the buckets it touched."""
     return r.keyed[0].crosswalk()
 
 
+@register("crosswalk_resubmitted", CROSSWALK_AFTER, **RESOLVED)
+def _(r: Run) -> DataFrame:
+    """The crosswalk after the same batch came once more, under its own name and under a new one, and after one without changes."""
+    stored, _ = r.keyed
+    unchanged = upsert.cdc_diff(r.staged_of(r.raw2), r.staged_of(r.raw2), ["source_system", "external_id"])
+    for batch_id, changes in {"changes": r.changes, "again": r.changes, "nothing": unchanged.withColumn("_seq", F.lit(0).cast("long"))}.items():
+        stored.resolve(changes, batch_id, AS_OF)
+    return stored.crosswalk()
+
+
+@register("no_changes", "select * from changed_again", changed_again=CHANGED.replace("unified1", "unified2"))
+def _(r: Run) -> DataFrame:
+    """A load equal to the one before brings no change."""
+    return upsert.cdc_diff(r.staged_of(r.raw2), r.staged_of(r.raw2), ["source_system", "external_id"])
+
+
+@register("change_stream", "select * from changed", changed=CHANGED)
+def _(r: Run) -> DataFrame:
+    """All changes through a stream in two runs of one query: the second run starts where the first one ended."""
+    folder = f"{scratch_root(r.spark)}/{r.spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
+    for action in ("DELETE", "INSERT"):
+        r.changes.where(F.col("_action") == action).select(*CHANGES.fieldNames()).write.mode("append").parquet(f"{folder}/in")
+        query = (read_changes(r.spark, f"{folder}/in", max_files=4).writeStream.option("checkpointLocation", f"{folder}/offsets")
+                 .trigger(availableNow=True).format("parquet").start(f"{folder}/out"))
+        query.awaitTermination()
+    return r.spark.read.schema(CHANGES).parquet(f"{folder}/out").drop("_seq")
+
+
+@register("full_replace", """select g.entity_id, g.email, g.phone, x.source_system, x.source_id from golden g
+  left join crosswalk x on x.entity_id = g.entity_id""")
+def _(r: Run) -> DataFrame:
+    """Golden records and crosswalk of the first state, replaced by those of the second in the same tables."""
+    folder = f"{scratch_root(r.spark)}/{r.spark.sparkContext.applicationId}/replace-{uuid.uuid4().hex}"
+    for state in (r.resolution1, r.resolution):
+        state.golden.write.mode("overwrite").parquet(f"{folder}/golden")
+        state.crosswalk.write.mode("overwrite").parquet(f"{folder}/crosswalk")
+    golden, crosswalk = (r.spark.read.parquet(f"{folder}/{t}") for t in ("golden", "crosswalk"))
+    return golden.select("entity_id", "email", "phone").join(
+        crosswalk.select("entity_id", "source_system", "source_id"), "entity_id", "left")
+
+
 @register("key_index", """select 'email' as key_type, n_email as key_value, count(*) as records from members1 where n_email is not null group by 2
   union all select 'phone', n_phone, count(*) from members1 where n_phone is not null group by 2
   union all select 'name3', substr(n_first_name, 1, 3) || n_last_name, count(*) from members1
@@ -908,6 +953,16 @@ def _(r: Run) -> DataFrame:
     return quality.run_summary(r.staged, r.resolution.golden, failures)
 
 
+@register("run_report", """select 'completed' as status, 'healthy' as health, (select count(*) from unified) as input_entities,
+  (select count(*) from golden) as canonicals,
+  round(1 - (select count(*) from golden) / (select count(*) from unified), 6) as merge_rate, true as timed, cast(null as varchar) as error""")
+def _(r: Run) -> DataFrame:
+    """The summary of a full run, counted by Spark as the run writes its tables."""
+    run = reported(r.spark, lambda watch: batch.reconcile(r.staged, r.spec, AS_OF, trained=False, watch=watch))
+    timed = (F.col("ended") > F.col("started")) & (F.col("seconds") > 0)
+    return run.summary.select("status", "health", "input_entities", "canonicals", "merge_rate", timed.alias("timed"), "error")
+
+
 PAIR_QUALITY = """select true_positives, predicted, actual, round(true_positives / predicted, 6) as precision,
   round(true_positives / actual, 6) as recall, round(2 * true_positives / (predicted + actual), 6) as f1 from (select
   (select cast(sum(n * (n - 1) // 2) as bigint) from (select count(*) as n from labelled group by entity_id, p)) as true_positives,

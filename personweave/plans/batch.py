@@ -12,6 +12,7 @@ from personweave.operators.normalize import apart, best_possible_weight, collaps
 from personweave.operators.pairs import scored_pairs
 from personweave.operators.survive import build_crosswalk, golden_records
 from personweave.operators.train import train
+from personweave.plans.report import Watch, nulls
 from personweave.sources.scratch import scratch_table
 from personweave.spec import IdentitySpec
 
@@ -61,12 +62,13 @@ def resolve_links(records: DataFrame, profiles: DataFrame, spec: IdentitySpec,
 
 
 def reconcile(staged: DataFrame, spec: IdentitySpec, as_of: str, trained: bool = True,
-              overrides: DataFrame | None = None) -> Resolution:
+              overrides: DataFrame | None = None, watch: Watch | None = None) -> Resolution:
     """Resolve all staged records. Unless `trained` is off, m and u are first estimated from the data.
 
     `overrides` has `kind` (`merge` or `split`) and two record ids; records named by a split are compared on their own.
+    A `watch` counts staged records, golden records and the crosswalk while they are written.
     """
-    records, profiles = prepared(staged, spec)
+    records, profiles = prepared(staged if watch is None else watch("input", staged), spec)
     if trained:
         spec = spec.with_parameters(train(profiles, spec))
     if trained or overrides is not None:
@@ -74,6 +76,9 @@ def reconcile(staged: DataFrame, spec: IdentitySpec, as_of: str, trained: bool =
         records = scratch_table(apart(with_profile_key(records, spec), overrides), "records")
         profiles = scratch_table(collapse_profiles(records, spec), "profiles")
     members = scratch_table(resolve_links(records, profiles, spec, overrides), "members")
-    golden = scratch_table(golden_records(members, spec, as_of), "golden")
+    golden = golden_records(members, spec, as_of)
+    golden = scratch_table(golden if watch is None else watch("golden", golden), "golden")
     crosswalk = build_crosswalk(golden, members)
+    if watch is not None:
+        crosswalk = watch("crosswalk", crosswalk, broken=nulls("source_id", "entity_id"))
     return Resolution(members, golden, scratch_table(crosswalk, "crosswalk"), spec)

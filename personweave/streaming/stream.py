@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from personweave.operators.graph import entity_history, with_cause
 from personweave.operators.upsert import last_per_key
 from personweave.plans.batch import Resolution
+from personweave.plans.report import Watch
 from personweave.sources.scratch import scratch_table
 from personweave.sources.state import TABLES, GraphStore, Snapshot
 from personweave.spec import IdentitySpec
@@ -54,27 +55,30 @@ def stored_spec(store: GraphStore, spec: IdentitySpec) -> IdentitySpec:
     return spec.with_parameters({r["field"]: (r["m"], r["u"]) for r in last.collect()})
 
 
-def save(store: GraphStore, batch_id: str, result: BatchResult, now: Snapshot | None = None) -> int:
-    """Write one batch's changed rows as a new version."""
+def save(store: GraphStore, batch_id: str, result: BatchResult, now: Snapshot | None = None, watch: Watch | None = None) -> int:
+    """Write one batch's changed rows as a new version; a `watch` counts results and errors as they are written."""
     def marked(df: DataFrame, deleted: bool) -> DataFrame:
         return df.withColumn("_deleted", F.lit(deleted))
 
     ended = (now or store.snapshot()).read("golden").join(result.ended, "entity_id", "left_semi").drop("updated_version")
     golden = result.golden.join(result.ended, "entity_id", "left_anti")
+    results, errors = result.results, result.errors
+    if watch is not None:
+        results, errors = watch("results", results, new=F.count(F.when(F.col("is_new"), 1))), watch("errors", errors)
     return store.write(batch_id, {
         "members": marked(result.members, False).unionByName(marked(result.removed, True)),
         "golden": marked(golden, False).unionByName(marked(ended, True)),
-        "entity_event": result.events, "results": result.results, "errors": result.errors})
+        "entity_event": result.events, "results": results, "errors": errors})
 
 
 def resolve_changes(store: GraphStore, changes: DataFrame, spec: IdentitySpec, batch_id: str, as_of: str,
-                    tombstone: bool = False) -> int:
-    """Resolve one batch and store it. Nothing happens for an empty batch or one that is already stored."""
+                    tombstone: bool = False, watch: Watch | None = None) -> int:
+    """Resolve one batch and store it. Nothing happens, and nothing is counted, for an empty batch or one that is already stored."""
     now, known = store.status(batch_id)
     if known or changes.isEmpty():
         return now.version
     result = resolve_batch(changes, load_graph(store, now), spec, as_of, now.version + 1, tombstone=tombstone)
-    return save(store, batch_id, result, now)
+    return save(store, batch_id, result, now, watch)
 
 
 def set_locks(store: GraphStore, entity_ids: DataFrame, batch_id: str, locked: bool = True) -> int:
