@@ -1,8 +1,7 @@
-"""The stored identity graph: Parquet tables, one `version=` folder per change, and a log of the finished ones.
+"""The stored identity graph: Parquet tables, partitioned by the version of the batch that wrote a row.
 
-A batch writes only its changed rows and then one row of the log, so an interrupted one is never read. A base is a
-version that holds all rows of the keyed tables, deleted ones included; readers start there. Rows carry the version of
-their last change, which survives a new base.
+A batch appends only its changed rows and then one row to the table of batches; versions that are not in it are never
+read. A table is the last row per key, without those that are marked as deleted.
 """
 
 from __future__ import annotations
@@ -28,51 +27,38 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType([T.StructField(w[0], _TYPES[w[1] if len(w) > 1 else "string"]) for w in words])
 
 
-COMMITS = _schema("version:long batch_id base:boolean")
-_STATE = "_deleted:boolean updated_version:long"
+BATCHES = _schema("version:long batch_id")
 TABLES = {
-    "members": _schema(" ".join(["rec_id", *STAGED_COLUMNS, *[f"n_{a}" for a in ATTRIBUTES], "entity_id", _STATE])),
+    "members": _schema(" ".join(["rec_id", *STAGED_COLUMNS, *[f"n_{a}" for a in ATTRIBUTES], "entity_id", "_deleted:boolean"])),
     "golden": _schema("entity_id entity_type first_name last_name email phone company_name confidence_score:double "
-                      f"source_name created_at:timestamp {_STATE}"),
+                      "source_name created_at:timestamp _deleted:boolean"),
     "entity_event": _schema("event entity_id other_entity_id source_system source_id cause weight:double"),
     "results": _schema("source_system external_id entity_id is_new:boolean matched_source confidence:double").add(
         "canonical_data", _schema(" ".join(ATTRIBUTES))),
     "errors": _schema("source_system external_id error"),
     "params": _schema("field m:double u:double match_rate:double iteration:int"),
-    "override": _schema(f"kind left_id right_id {_STATE}"),
-    "lock": _schema(f"entity_id {_STATE}"),
+    "override": _schema("kind left_id right_id _deleted:boolean"),
+    "lock": _schema("entity_id _deleted:boolean"),
 }
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """The tables as of one version; reading them needs no further look at the log."""
+    """The tables as of one version."""
 
     store: "GraphStore"
     version: int
-    base: int
-
-    def changes(self, name: str, first: int, last: int) -> DataFrame:
-        """All rows written by a range of versions, with the `version` that wrote them."""
-        schema = T.StructType(TABLES[name].fields + [T.StructField("version", T.LongType())])
-        # Constant bounds on the partition column: folders outside them are not read.
-        return (self.store.spark.read.schema(schema).parquet(f"{self.store.path}/{name}")
-                .where(F.col("version").between(first, last)))
 
     def rows(self, name: str) -> DataFrame:
-        """The last row of every key, deleted ones included. The base has one row per key, so only later rows are grouped."""
-        keys = KEYS[name]
-        rows = self.changes(name, self.base, self.base)
-        if self.version > self.base:
-            later = last_per_key(self.changes(name, self.base + 1, self.version), keys, "version")
-            rows = rows.join(later.select(*keys), keys, "left_anti").unionByName(later)
-        return rows.drop("version")
+        """The last row of every key with the version that wrote it, deleted ones included; all rows of a table without keys."""
+        schema = T.StructType(TABLES[name].fields + [T.StructField("version", T.LongType())])
+        # A constant bound on the partition column: later folders are not read.
+        rows = self.store.spark.read.schema(schema).parquet(f"{self.store.path}/{name}").where(F.col("version") <= self.version)
+        return last_per_key(rows, KEYS[name], "version").withColumnRenamed("version", "updated_version") if name in KEYS else rows
 
     def read(self, name: str) -> DataFrame:
         """A table without deleted rows; `updated_version` is the version of a row's last change."""
-        if name not in KEYS:
-            return self.changes(name, 0, self.version)
-        return self.rows(name).where(~F.coalesce("_deleted", F.lit(False))).drop("_deleted")
+        return self.rows(name).where(~F.col("_deleted")).drop("_deleted") if name in KEYS else self.rows(name)
 
 
 @dataclass(frozen=True)
@@ -83,24 +69,17 @@ class GraphStore:
     path: str
 
     def create(self) -> "GraphStore":
-        for name in TABLES:
-            self._write(name, self.spark.createDataFrame([], TABLES[name]), 0)
-        self._commit(0, "create", True)
+        self._write(0, "create", {name: self.spark.createDataFrame([], schema) for name, schema in TABLES.items()})
         return self
 
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
-
-    def status(self, batch_id: str | None = None, version: int | None = None) -> tuple[Snapshot, bool]:
-        """The last (or the given) version, and whether a batch is in the log; one read of the log."""
-        seen = F.col("version") <= (F.lit(version) if version is not None else F.col("version"))
-        row = self.commits().agg(
-            F.max(F.when(seen, F.col("version"))).alias("version"), F.max(F.when(seen & F.col("base"), F.col("version"))).alias("base"),
-            F.coalesce(F.max(F.col("batch_id") == F.lit(batch_id)), F.lit(False)).alias("known")).first()
-        return Snapshot(self, row["version"], row["base"]), row["known"]
+    def status(self, batch_id: str | None = None) -> tuple[Snapshot, bool]:
+        """The last version, and whether a batch is stored."""
+        row = self.spark.read.schema(BATCHES).parquet(f"{self.path}/batches").agg(
+            F.max("version").alias("version"), F.max(F.col("batch_id").eqNullSafe(F.lit(batch_id))).alias("known")).first()
+        return Snapshot(self, row["version"]), row["known"]
 
     def snapshot(self, version: int | None = None) -> Snapshot:
-        return self.status(version=version)[0]
+        return self.status()[0] if version is None else Snapshot(self, version)
 
     def version(self) -> int:
         return self.snapshot().version
@@ -111,18 +90,10 @@ class GraphStore:
     def read(self, name: str, version: int | None = None) -> DataFrame:
         return self.snapshot(version).read(name)
 
-    def write(self, batch_id: str, tables: dict[str, DataFrame], base: bool = False) -> int:
-        """Write changed rows as the next version. A repeated batch id writes nothing.
-
-        A version that was interrupted before its commit is never read, and its folder is replaced by the retry.
-        """
+    def write(self, batch_id: str, tables: dict[str, DataFrame]) -> int:
+        """Store changed rows as the next version. A repeated batch id writes nothing; an interrupted batch is written anew."""
         now, known = self.status(batch_id)
-        if known:
-            return now.version
-        for name, df in tables.items():
-            self._write(name, df, now.version + 1)
-        self._commit(now.version + 1, batch_id, base)
-        return now.version + 1
+        return now.version if known else self._write(now.version + 1, batch_id, tables)
 
     def crosswalk(self, version: int | None = None) -> DataFrame:
         return self.read("members", version).select(
@@ -134,44 +105,29 @@ class GraphStore:
         return rows.withColumnRenamed("_deleted", "removed")
 
     def replace(self, batch_id: str, tables: dict[str, DataFrame], other: dict[str, DataFrame]) -> int:
-        """Write a new base from the complete rows of some keyed tables; `other` is appended to tables without a key.
+        """Make the given rows the whole content of keyed tables; `other` is added to tables without a key.
 
-        Rows that did not change keep the version of their last change; rows that are gone are kept as deleted, so that
-        exports show them. Keyed tables that are not given stay as they are.
+        Only what differs is written: rows that did not change keep their version, rows that are gone are marked as deleted.
         """
         now, known = self.status(batch_id)
         if known:
             return now.version
-        return self.write(batch_id, {name: self._against(now, name, tables.get(name)) for name in KEYS} | other, base=True)
-
-    def compact(self) -> int:
-        """Write the current tables in full as a new base. Earlier versions stay readable."""
-        return self.replace(f"compact-{self.version()}", {}, {})
-
-    def _against(self, now: Snapshot, name: str, new: DataFrame | None) -> DataFrame:
-        """All rows of a table after a replacement, with the versions of their last changes."""
-        old, keys = now.rows(name), KEYS[name]
-        if new is None:
-            return old
-        version, data = F.lit(now.version + 1).cast("long"), [c for c in TABLES[name].fieldNames() if c not in ("_deleted", "updated_version")]
-        rest = [c for c in data if c not in keys] or keys
-        both = (old.select(*keys, F.struct(*rest, "_deleted", "updated_version").alias("_o"))
-                .join(new.select(*keys, F.struct(*rest).alias("_n")), keys, "full"))
-        same = F.col("_n").isNotNull() & F.col("_o").isNotNull() & ~F.col("_o._deleted")
-        for c in rest:
-            same = same & F.col(f"_o.{c}").eqNullSafe(F.col(f"_n.{c}"))
-        gone = F.col("_n").isNull()
-        unchanged = same | (gone & F.col("_o._deleted"))
-        row = [F.col(c) if c in keys else F.when(gone, F.col(f"_o.{c}")).otherwise(F.col(f"_n.{c}")).alias(c) for c in data]
-        return both.select(*row, gone.alias("_deleted"),
-                           F.when(unchanged, F.col("_o.updated_version")).otherwise(version).alias("updated_version"))
-
-    def _write(self, name: str, df: DataFrame, version: int) -> None:
-        for column, value in (("_deleted", F.lit(False)), ("updated_version", F.lit(version).cast("long"))):
-            if column in TABLES[name].fieldNames() and column not in df.columns:
-                df = df.withColumn(column, value)
-        df.select(*TABLES[name].fieldNames()).write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
-
-    def _commit(self, version: int, batch_id: str, base: bool) -> None:
-        row = self.spark.createDataFrame([(version, batch_id, base)], COMMITS).coalesce(1)
-        row.write.mode("append").parquet(f"{self.path}/commits")
+        return self.write(batch_id, {name: changed_rows(now.read(name), new, KEYS[name], TABLES[name].fieldNames())
+                                     for name, new in tables.items()} | other)
+
+    def _write(self, version: int, batch_id: str, tables: dict[str, DataFrame]) -> int:
+        for name, df in tables.items():
+            if name in KEYS and "_deleted" not in df.columns:
+                df = df.withColumn("_deleted", F.lit(False))
+            df.select(*TABLES[name].fieldNames()).write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
+        batch = self.spark.createDataFrame([(version, batch_id)], BATCHES)
+        batch.coalesce(1).write.mode("append").parquet(f"{self.path}/batches")
+        return version
+
+
+def changed_rows(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """The rows of `new` that `old` has not, and the rows of keys that only `old` has, marked as deleted."""
+    data = [c for c in columns if c != "_deleted"]
+    both = old.select(*keys, F.struct(*data).alias("_old")).join(new.select(*keys, F.struct(*data).alias("_new")), keys, "full")
+    return (both.where(~F.col("_old").eqNullSafe(F.col("_new")))
+            .select(F.coalesce("_new", "_old").alias("_row"), F.col("_new").isNull().alias("_deleted")).select("_row.*", "_deleted"))

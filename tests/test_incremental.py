@@ -76,7 +76,7 @@ def test_interrupted_write_is_never_read(spark, tmp_path):
     table = spark.createDataFrame([("e1",)], "entity_id string")
     store.write("one", {"lock": table})
     # A crash after writing the folder but before the commit: the rows stay invisible, the retry replaces them.
-    spark.createDataFrame([("half", False, 2)], TABLES["lock"]).write.parquet(f"{store.path}/lock/version=2")
+    spark.createDataFrame([("half", False)], TABLES["lock"]).write.parquet(f"{store.path}/lock/version=2")
     assert [r.entity_id for r in store.read("lock").collect()] == ["e1"]
     store.write("two", {"lock": spark.createDataFrame([("e2",)], "entity_id string")})
     assert sorted(r.entity_id for r in store.read("lock").collect()) == ["e1", "e2"]
