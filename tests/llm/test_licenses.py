@@ -5,7 +5,8 @@ import random
 import pytest
 
 from personweave.llm import licenses as module
-from personweave.llm.licenses import NOTICES, Templates, scan_licenses, shingles_of, words_of
+from personweave.llm.licenses import (NOTICES, Place, Templates, best_places, scan_licenses, shingles_of, templates as all_templates,
+                                       words_of)
 from tests.llm.common import clashing, documents
 
 LONG = {"long": " ".join(f"term{i}" for i in range(300)), "half": " ".join(f"part{i}" for i in range(150))}
@@ -71,3 +72,43 @@ def test_number_of_templates_is_checked(monkeypatch):
     monkeypatch.setattr(module, "MAX_TEMPLATES", 1)
     with pytest.raises(ValueError):
         Templates(NOTICES)
+
+
+ALL = all_templates()
+NAMED = Templates(ALL, phrases=True)
+
+
+@pytest.mark.parametrize("name", sorted(ALL))
+def test_every_template_is_reported_as_itself(name):
+    text = f"one two three four {ALL[name]} five six seven eight"
+    ((row,),) = NAMED.scan([text], 0.8, best=True)
+    assert row == (name, 1, 4, 4 + len(words_of(ALL[name])), 1.0)
+
+
+def test_changed_notices_and_versions_side_by_side():
+    two, three = ALL["GPL-2.0-or-later/header"], NOTICES["GPL-3.0-header"]
+    (rows,) = NAMED.scan([f"{two} and then something else entirely {three} {two.replace('redistribute', 'share')}"], 0.8, best=True)
+    assert {(r[0], r[1]) for r in rows} == {("GPL-2.0-or-later/header", 2), ("GPL-3.0-header", 1)}
+
+
+def test_phrases_against_brute_force():
+    rng = random.Random(3)
+    short = {"ab": "a b", "abc": "a b c", "d": "d", "cab": "c a b a"}
+    texts = [" ".join(rng.choices("abcd", k=rng.randrange(12))) for _ in range(300)]
+    for text, rows in zip(texts, Templates(short, phrases=True).scan(texts, 0.8)):
+        words = text.split()
+        want = {n: [i for i in range(len(words)) if words[i:i + len(t.split())] == t.split()] for n, t in short.items()}
+        assert [r[0] for r in rows] == sorted(n for n, at in want.items() if at)
+        assert all(r[2] == want[r[0]][0] for r in rows)
+
+
+def test_best_places_against_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        places = sorted({Place(a, a + rng.randrange(1, 9), rng.randrange(4), rng.choice([0.8, 1.0]), rng.randrange(1, 9))
+                         for a in (rng.randrange(30) for _ in range(rng.randrange(12)))})
+        kept = []
+        for p in sorted(places, key=lambda p: (p.end - p.start - 2 * p.covered, -p.share, p.template, p.start)):
+            if not any(2 * len({*range(*p[:2])} & {*range(*q[:2])}) > min(p[1] - p[0], q[1] - q[0]) for q in kept):
+                kept.append(p)
+        assert best_places(places) == sorted(kept)
