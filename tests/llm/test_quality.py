@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from personweave.llm.quality import STATISTICS, Settings, isotonic, quality_scores, statistics
+from personweave.llm.quality import STATISTICS, Settings, fit, fourier, held_out, isotonic, quality_scores, statistics, training_rows
 from tests.llm.common import clashing, documents
 
 SF = "/root/testdata/sf0.01"
@@ -83,3 +83,18 @@ def test_sample_is_bounded(spark, tables):
     docs, labels = tables
     out = quality_scores(docs, labels, settings=Settings(max_rows=100, features=32)).collect()
     assert len(out) == docs.count()
+
+
+def test_weights_against_direct_ridge(spark, tables):
+    """Summed normal equations of tasks and folds give what one ridge regression over all labelled rows gives."""
+    docs, labels = tables
+    s = Settings(features=24, tasks=3)
+    model = fit(training_rows(docs, labels, ~held_out(F.col("doc_id")), s, "doc_id", "text", "quality"), s)
+    rows = docs.join(labels, "doc_id").where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("text", "quality").collect()
+    stats, y = np.stack([statistics(r.text) for r in rows]), np.array([r.quality for r in rows], float)
+    assert np.allclose(model.mean, stats.mean(0))
+    z = fourier(stats, stats.mean(0), np.sqrt(np.maximum(stats.var(0), 1e-6)), s)
+    # Ridge as least squares with a row per penalised weight.
+    extra = np.sqrt(s.ridge) * np.eye(s.features, s.features + 1)
+    direct = np.linalg.lstsq(np.vstack([z, extra]), np.concatenate([y, np.zeros(s.features)]), rcond=None)[0]
+    assert np.allclose(z @ model.weights[-1], z @ direct, atol=1e-4)
