@@ -207,3 +207,28 @@ def test_ordinary_blocks_use_one_equi_join(spark):
     assert "SortMergeJoin" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("profile", ["batch", "incremental"])
+def test_listing_of_oversized_blocks_needs_no_shuffle_of_pairs(spark, profile):
+    """Each pair is made once, however many keys and similar values its sides share."""
+    spec = batch_spec(block_limit=4)
+    # Names that are similar without being equal: a pair is met on several paths of sub-blocks.
+    profiles = collapse_profiles(prepare_records(staged(spark, records(120, 21)), spec), spec).cache()
+    rows = collected(profiles, spec)
+    found = scored_pairs(profiles.drop("profile_key"), spec, 4.0, profile=profile)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [l_vid" not in plan and "Deduplicate" not in plan
+    pairs = [(r.left_id, r.right_id) for r in found.collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(a, b) for a, b in combinations(sorted(rows), 2)
+                          if shares_key(rows[a], rows[b], spec, profile) and weight_of(rows[a], rows[b], spec) >= 4.0}
+
+
+def test_dense_graph_is_thinned_in_the_first_round(spark):
+    """Of all pairs of a group, one edge per node is left by the first round; repeated edges change nothing."""
+    ids = [f"n{i:03d}" for i in range(60)]
+    edges = [(a, b) for a, b in combinations(ids[:40], 2)] + [(b, a) for a, b in combinations(ids[40:], 2)] * 2
+    found = connected_components(spark.createDataFrame([(i,) for i in ids], "rec_id string"),
+                                 spark.createDataFrame(edges, "left_id string, right_id string"))
+    assert {r.rec_id: r.component for r in found.collect()} == groups_of(ids, edges)
