@@ -225,6 +225,20 @@ def test_listing_of_oversized_blocks_needs_no_shuffle_of_pairs(spark, profile):
                           if shares_key(rows[a], rows[b], spec, profile) and weight_of(rows[a], rows[b], spec) >= 4.0}
 
 
+@pytest.mark.parametrize("limit,floor,profile,seed", [(3, 8.0, "batch", 31), (3, 4.0, "batch", 32), (4, 8.0, "incremental", 33), (8, 6.5, "batch", 34)])
+def test_spanning_links_connect_the_same_groups_without_repeats(spark, limit, floor, profile, seed):
+    spec = batch_spec(block_limit=limit)
+    profiles = collapse_profiles(prepare_records(staged(spark, records(100, seed)), spec), spec).cache()
+    rows = collected(profiles, spec)
+    expected = {(a, b) for a, b in combinations(sorted(rows), 2)
+                if shares_key(rows[a], rows[b], spec, profile) and weight_of(rows[a], rows[b], spec) >= floor}
+    links = scored_pairs(profiles.drop("profile_key"), spec, floor, profile=profile, spanning=True)
+    assert "Aggregate [l_vid" not in links._jdf.queryExecution().optimizedPlan().toString()
+    pairs = {(min(r), max(r)) for r in links.select("left_id", "right_id").collect()}
+    assert pairs <= expected
+    assert groups_of(rows, pairs) == groups_of(rows, expected)
+
+
 def test_dense_graph_is_thinned_in_the_first_round(spark):
     """Of all pairs of a group, one edge per node is left by the first round; repeated edges change nothing."""
     ids = [f"n{i:03d}" for i in range(60)]
