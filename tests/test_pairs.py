@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from personweave.functions.similarity import jaro_winkler
+from personweave.operators import pairs as joins
 from personweave.operators import values as vocabulary
 from personweave.operators.cluster import connected_components
 from personweave.operators.normalize import collapse_profiles, prepare_records
@@ -239,6 +240,37 @@ def test_spanning_links_connect_the_same_groups_without_repeats(spark, limit, fl
     assert groups_of(rows, pairs) == groups_of(rows, expected)
 
 
+@pytest.mark.parametrize("limit,floor,profile,seed", [(256, 8.0, "batch", 41), (256, 4.0, "incremental", 42), (12, 8.0, "batch", 43)])
+def test_hubs_of_ordinary_blocks_connect_the_same_groups(spark, monkeypatch, limit, floor, profile, seed):
+    monkeypatch.setattr(joins, "HUB_ROWS", 2)
+    spec = batch_spec(block_limit=limit)
+    profiles = collapse_profiles(prepare_records(staged(spark, records(100, seed)), spec), spec).cache()
+    rows = collected(profiles, spec)
+    expected = {(a, b) for a, b in combinations(sorted(rows), 2)
+                if shares_key(rows[a], rows[b], spec, profile) and weight_of(rows[a], rows[b], spec) >= floor}
+    links = scored_pairs(profiles.drop("profile_key"), spec, floor, profile=profile, spanning=True)
+    pairs = {(min(r), max(r)) for r in links.select("left_id", "right_id").collect()}
+    assert pairs <= expected and len(pairs) < len(expected)
+    assert groups_of(rows, pairs) == groups_of(rows, expected)
+
+
+def test_blocks_below_the_limit_make_few_links_too(spark):
+    """Records of one name match where only one has an email and only one a phone: the links are as many as the records."""
+    spec = batch_spec()
+
+    def row(i, first, last, company):
+        return (f"{last}{i:03d}", "crm_contacts", f"{last}{i}@x.com" if i % 2 else None, None if i % 2 else f"555{i:07d}", first, last, company)
+
+    # An ordinary block of 200 rows, and an oversized one with two sub-blocks of 225 rows.
+    rows = [row(i, "alice", "smith", None) for i in range(200)]
+    rows += [row(i, "bertram", "jones", ["acme", "techstart"][i // 225]) for i in range(450)]
+    profiles = collapse_profiles(prepare_records(staged(spark, rows), spec), spec).cache()
+    links = scored_pairs(profiles.drop("profile_key"), spec, spec.match, spanning=True).cache()
+    assert links.count() < 3 * profiles.count()
+    components = connected_components(profiles.select("vid"), links.select("left_id", "right_id"), "vid")
+    assert components.select("component").distinct().count() == 3
+
+
 def test_dense_graph_is_thinned_in_the_first_round(spark):
     """Of all pairs of a group, one edge per node is left by the first round; repeated edges change nothing."""
     ids = [f"n{i:03d}" for i in range(60)]
