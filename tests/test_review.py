@@ -6,6 +6,8 @@ from dataclasses import replace
 
 import pytest
 
+from personweave.operators import pairs as joins
+from personweave.operators import review
 from personweave.operators.normalize import collapse_profiles, prepare_records
 from personweave.operators.pairs import scored_pairs
 from personweave.operators.review import review_groups, review_pairs_of
@@ -38,6 +40,29 @@ def test_counts_equal_the_listed_pairs(spark, limit):
     assert all(spec.possible <= r.weight < spec.match for r in groups)
 
 
+@pytest.mark.parametrize("limit", [3, 256])
+def test_pairs_of_all_profiles(spark, limit):
+    spec = batch_spec(block_limit=limit)
+    profiles = profiles_of(spark, spec, records(120, 6))
+    pairs = listed(profiles, replace(spec, block_limit=256))
+    found = review_pairs_of(profiles.select("vid"), profiles, spec)
+    assert sorted((r.left_id, r.right_id, tuple(r[g] for g in GAMMAS)) for r in found.collect()) == sorted(
+        pairs + [(b, a, g) for a, b, g in pairs])
+
+
+def test_asked_profiles_do_not_meet_whole_oversized_blocks(spark, monkeypatch):
+    spec = batch_spec(block_limit=8)
+    names = ["".join(random.Random(i).choice("bcdfglmnprst") for _ in range(7)) for i in range(300)]
+    rows = [(str(i), "crm_contacts", f"p{i // 2}@x.org", "555-010-2000", f"q{i}", names[i], None) for i in range(300)]
+    profiles = profiles_of(spark, spec, rows)
+    met = []
+    compared = joins.block_pairs
+    monkeypatch.setattr(joins, "block_pairs", lambda *a: met.append(compared(*a).count()) or compared(*a))
+    monkeypatch.setattr(review, "block_pairs", joins.block_pairs)
+    review_pairs_of(profiles.select("vid"), profiles, spec).count()
+    assert met and max(met) < 10 * len(rows)
+
+
 def test_pairs_of_asked_profiles(spark):
     spec = batch_spec()
     profiles = profiles_of(spark, spec, records(120, 5))
