@@ -17,7 +17,9 @@ from personweave.operators.upsert import upsert_crosswalk
 from personweave.operators.values import similar_values
 from personweave.plans.batch import reconcile
 from personweave.spec import ScoreField, batch_spec
-from personweave.streaming.incremental import Graph, link_or_new, merged_entities, resolve_batch, strongest_candidates
+from personweave.streaming.incremental import (
+    Graph, candidates_vs_graph, entity_candidates, link_or_new, merged_entities, resolve_batch, strongest_candidates,
+)
 from tests.seed import CASES, change_rows, raw_seed, staged
 from tests.test_pairs import COMPANY, FIRST, LAST, records
 
@@ -177,3 +179,33 @@ def test_hot_block_of_the_graph_stays_linear(spark):
         assert len(best) == 300 and {r.entity_id for r in best} == {"crm_contacts:S0"}
     ends = merged_entities(found, loose_merge, None).collect()
     assert len(ends) == 299 and {r.survivor for r in ends} == {"crm_contacts:S0"}
+
+
+@pytest.mark.parametrize("limit", [3, 256])
+@pytest.mark.parametrize("floor,merge", [(4.0, 12.0), (8.0, 8.0)])
+def test_deciding_pairs_decide_like_all_pairs(spark, limit, floor, merge):
+    spec = batch_spec(block_limit=limit, merge=merge)
+    members = prepare_records(staged(spark, records(120, 51)), spec, "incremental").withColumn(
+        "entity_id", F.concat(F.lit("E"), F.pmod(F.xxhash64("rec_id"), F.lit(60)).cast("string"))).cache()
+    profiles = collapse_profiles(prepare_records(staged(spark, records(60, 52)), spec, "incremental"), spec).cache()
+
+    def decided(**how):
+        found = entity_candidates(candidates_vs_graph(profiles, members, spec, floor=floor, **how))
+        return sorted((r.left_id, r.decision, r.entity_id, r.matched_id, round(r.weight, 6), r.matched_values) for r in link_or_new(found, spec).collect())
+
+    every = decided()
+    assert decided(deciding=True) == every
+    assert "merge" in {d for _, d, *_ in every}
+
+
+def test_deciding_pairs_of_a_hot_block_stay_linear(spark):
+    """New records and stored entities with one name: two candidates each, although every pair reaches the floor."""
+    spec = batch_spec(block_limit=16)
+    stored = [(f"S{i}", "crm_contacts", f"s{i}@x.com", None, "alice", "smith", "acme") for i in range(200)]
+    new = [(f"N{i}", "crm_contacts", f"n{i}@x.com", None, "alice", "smith", "acme") for i in range(200)]
+    members = prepare_records(staged(spark, stored), spec, "incremental").withColumn("entity_id", F.col("rec_id"))
+    profiles = collapse_profiles(prepare_records(staged(spark, new), spec, "incremental"), spec)
+    found = candidates_vs_graph(profiles, members, spec, floor=4.0, deciding=True)
+    assert 200 <= found.count() <= 16 * 200
+    best = link_or_new(entity_candidates(found), spec).collect()
+    assert len(best) == 200 and {r.decision for r in best} == {"new"}
