@@ -155,3 +155,19 @@ def test_killed_and_restarted(spark, tmp_path, scenario, monkeypatch, cut):
     again = KeyedGraph(*args)
     again.resolve(batches[0][0], "b0", AS_OF)
     assert shown(again.crosswalk(), again.golden()) == want[0]
+
+
+def test_a_batch_is_computed_once(spark, tmp_path, scenario):
+    spec, first, batches, want = scenario
+    graph = KeyedGraph.create(spark, str(tmp_path / "g"), spec, first.members, first.golden, buckets=8)
+    changes = batches[0][0]
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(external_id):
+        seen.add(1)
+        return external_id
+
+    external_id = F.udf(counted, "string").asNondeterministic()
+    graph.resolve(changes.withColumn("external_id", external_id("external_id")), "b0", AS_OF)
+    assert shown(graph.crosswalk(), graph.golden()) == want[0]
+    assert seen.value == changes.count()

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from personweave.functions.similarity import jaro_winkler
+from personweave.operators import strongest
 from personweave.operators.cluster import separated_components
 from personweave.operators.normalize import collapse_profiles, normalize_records, prepare_records
 from personweave.operators.train import em_iterate, random_pairs
@@ -209,3 +210,25 @@ def test_deciding_pairs_of_a_hot_block_stay_linear(spark):
     assert 200 <= found.count() <= 16 * 200
     best = link_or_new(entity_candidates(found), spec).collect()
     assert len(best) == 200 and {r.decision for r in best} == {"new"}
+
+
+def test_a_hot_block_keeps_only_rows_times_deciding_sets(spark, monkeypatch):
+    """Rows with all five values stand in the block of their name once per set of names and company that makes a match."""
+    spec = batch_spec(block_limit=16)
+    stored = [(f"S{i}", "crm_contacts", f"s{i}@x.com", f"555{i:07d}", "alice", "smith", "acme") for i in range(60)]
+    new = [(f"N{i}", "crm_contacts", f"s{i}@x.com" if i < 20 else None, f"555{i:07d}" if i < 40 else None, "alice", "smith", "acme") for i in range(60)]
+    members = prepare_records(staged(spark, stored), spec, "incremental").withColumn("entity_id", F.col("rec_id"))
+    profiles = collapse_profiles(prepare_records(staged(spark, new), spec, "incremental"), spec)
+    sizes, written = {}, strongest.scratch_table
+
+    def counted(df, name):
+        table = written(df, name)
+        sizes[name] = table.count()
+        return table
+
+    monkeypatch.setattr(strongest, "scratch_table", counted)
+    best = {r.left_id: r.entity_id for r in link_or_new(strongest_candidates(profiles, members, spec), spec).collect()}
+    # Emails and phones decide in their own blocks, names and company in this one.
+    assert all(best[f"crm_contacts:N{i}"] == f"crm_contacts:S{i}" for i in range(40))
+    assert len(best) == 41 and best["crm_contacts:N40"] == "crm_contacts:S0"  # the other twenty are copies of N40
+    assert sizes["stored-groups"] == 4 * 60
