@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures import catalog
 from personweave.functions.similarity import jaro_winkler
 from personweave.operators import pairs as joins
 from personweave.operators import values as vocabulary
@@ -278,3 +279,30 @@ def test_dense_graph_is_thinned_in_the_first_round(spark):
     found = connected_components(spark.createDataFrame([(i,) for i in ids], "rec_id string"),
                                  spark.createDataFrame(edges, "left_id string, right_id string"))
     assert {r.rec_id: r.component for r in found.collect()} == groups_of(ids, edges)
+
+
+def customers(spark, tmp_path, n):
+    """A folder with the one table that the records are derived from."""
+    spark.createDataFrame([(k, f"c{k}", 0, 0.0, "X") for k in range(n)],
+                          "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    return str(tmp_path)
+
+
+def test_classes_of_all_pairs_that_share_a_key(spark, tmp_path):
+    """No pair is left out for its weight, in ordinary or in oversized blocks."""
+    run = catalog.run_of(spark, customers(spark, tmp_path, 900))
+    rows, spec = collected(run.profiles, run.spec), run.spec
+    expected = {}
+    for a, b in combinations(sorted(rows), 2):
+        if shares_key(rows[a], rows[b], spec, "batch"):
+            w = weight_of(rows[a], rows[b], spec)
+            expected[a, b] = "match" if w >= 8 else "possible" if w >= 4 else "unlikely" if w >= -5 else "non_match"
+    found = catalog.QUERIES["classify_pairs"](spark, str(tmp_path)).collect()
+    assert len(found) == len(expected) and {(r.left_id, r.right_id): r["class"] for r in found} == expected
+    assert {"match", "unlikely"} <= set(expected.values())
+
+    hot = batch_spec(block_limit=3)
+    profiles = collapse_profiles(prepare_records(staged(spark, records(70, 61)), hot), hot).cache()
+    rows = collected(profiles, hot)
+    pairs = [(r.left_id, r.right_id) for r in scored_pairs(profiles.drop("profile_key"), hot, float("-inf")).collect()]
+    assert sorted(pairs) == [p for p in combinations(sorted(rows), 2) if shares_key(*(rows[v] for v in p), hot, "batch")]
