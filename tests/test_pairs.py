@@ -306,3 +306,24 @@ def test_classes_of_all_pairs_that_share_a_key(spark, tmp_path):
     rows = collected(profiles, hot)
     pairs = [(r.left_id, r.right_id) for r in scored_pairs(profiles.drop("profile_key"), hot, float("-inf")).collect()]
     assert sorted(pairs) == [p for p in combinations(sorted(rows), 2) if shares_key(*(rows[v] for v in p), hot, "batch")]
+
+
+def test_similarities_are_computed_per_pair_of_bundles(spark):
+    """Rows with equal texts share a bundle: pairs of bundles, which meet the similarity, are far fewer than pairs of rows."""
+    spec = batch_spec(block_limit=100)
+    rows = [(f"R{i:04d}", "crm_contacts", f"p{i // 2}@x.com" if i % 3 else None, f"555{i // 5:07d}" if i % 4 else None, "alice", "smith",
+             ["acme corp", "acme corpp", "techstart"][i % 3]) for i in range(240)]
+    profiles = collapse_profiles(prepare_records(staged(spark, rows), spec), spec).cache()
+    values = collected(profiles, spec)
+    for limit in (100, 1000):
+        spec = batch_spec(block_limit=limit)
+        expected = {(a, b): round(w, 6) for a, b in combinations(sorted(values), 2)
+                    if shares_key(values[a], values[b], spec, "batch") and (w := weight_of(values[a], values[b], spec)) >= 4.0}
+        found = scored_pairs(profiles.drop("profile_key"), spec, 4.0)
+        assert {(r.left_id, r.right_id): round(r.weight, 6) for r in found.collect()} == expected and len(expected) > 5000
+    keyed = joins.block_keys(profiles.withColumn("side", F.lit("B")), spec)
+    bundles = joins._bundles(keyed, ["key_type", "key_value"], spec)
+    assert bundles.select(F.explode("rows")).count() == keyed.count() and bundles.agg(F.max(F.size("rows"))).first()[0] <= joins.BUNDLE_ROWS
+    assert joins.block_pairs(bundles, spec, "batch", True).count() < len(expected) / 5
+    hot = keyed.withColumn("block", F.lit("all"))
+    assert joins._bundles(hot, ["block"], spec, bounded=False).select(F.explode("rows")).count() == keyed.count()
