@@ -15,6 +15,8 @@ from personweave.operators import values as vocabulary
 from personweave.operators.cluster import connected_components
 from personweave.operators.normalize import collapse_profiles, prepare_records
 from personweave.operators.pairs import scored_pairs
+from personweave.operators.score import best_candidate
+from personweave.operators.strongest import strongest_pairs
 from personweave.operators.values import similar_values
 from personweave.plans.batch import reconcile
 from personweave.spec import batch_spec
@@ -327,3 +329,39 @@ def test_similarities_are_computed_per_pair_of_bundles(spark):
     assert joins.block_pairs(bundles, spec, "batch", True).count() < len(expected) / 5
     hot = keyed.withColumn("block", F.lit("all"))
     assert joins._bundles(hot, ["block"], spec, bounded=False).select(F.explode("rows")).count() == keyed.count()
+
+
+@pytest.mark.parametrize("limit,floor,seed", [(3, 4.0, 71), (12, 4.0, 72), (256, 6.5, 73)])
+def test_texts_of_all_pairs(spark, limit, floor, seed):
+    """Fewer pairs show the same texts on the same sides."""
+    spec = batch_spec(block_limit=limit)
+    rows = records(110, seed) + [(f"S{i:03d}", "crm_contacts", None, f"55{i // 2:08d}", "alice", ["smith", "smyth"][i % 2], "summit") for i in range(40)]
+    profiles = collapse_profiles(prepare_records(staged(spark, rows), spec), spec).cache()
+    every = scored_pairs(profiles.drop("profile_key"), spec, floor)
+    fewer = scored_pairs(profiles.drop("profile_key"), spec, floor, texts=True)
+    columns = [p + c for p in ("l_", "r_") for c in ("n_first_name", "n_last_name", "n_company_name")]
+    assert set(map(tuple, fewer.select(*columns).collect())) == set(map(tuple, every.select(*columns).collect()))
+    few, all_pairs = [{(r.left_id, r.right_id) for r in df.collect()} for df in (fewer, every)]
+    assert few < all_pairs
+
+
+@pytest.mark.parametrize("limit,floor,profile,seed", [(3, 4.0, "batch", 81), (12, 8.0, "batch", 82), (3, 4.0, "incremental", 83)])
+def test_strongest_pairs_hold_every_best_candidate(spark, limit, floor, profile, seed):
+    spec = batch_spec(block_limit=limit)
+    profiles = collapse_profiles(prepare_records(staged(spark, records(120, seed)), spec), spec).cache()
+    rows = collected(profiles, spec)
+    expected = {}
+    for a, b in combinations(sorted(rows), 2):
+        if shares_key(rows[a], rows[b], spec, profile) and (w := weight_of(rows[a], rows[b], spec)) >= floor:
+            expected[a] = min(expected.get(a, (0, "")), (-round(w, 9), b))
+    found = best_candidate(strongest_pairs(profiles, spec, floor, profile)).collect()
+    assert {r.left_id: (-round(r.weight, 9), r.right_id) for r in found} == expected
+
+
+def test_strongest_pairs_of_a_hot_block_are_few(spark):
+    spec = batch_spec(block_limit=16)
+    rows = [(f"R{i:04d}", "crm_contacts", None, "5550000000", hashlib.md5(str(i).encode()).hexdigest(), None, None) for i in range(400)]
+    profiles = collapse_profiles(prepare_records(staged(spark, rows), spec), spec).cache()
+    found = strongest_pairs(profiles, spec, spec.possible)
+    assert found.count() < 4000
+    assert {(r.left_id, r.right_id) for r in best_candidate(found).collect()} >= {("crm_contacts:R0000", "crm_contacts:R0001")}
