@@ -365,3 +365,17 @@ def test_strongest_pairs_of_a_hot_block_are_few(spark):
     found = strongest_pairs(profiles, spec, spec.possible)
     assert found.count() < 4000
     assert {(r.left_id, r.right_id) for r in best_candidate(found).collect()} >= {("crm_contacts:R0000", "crm_contacts:R0001")}
+
+
+@pytest.mark.parametrize("limit,seed", [(3, 91), (12, 92), (256, 93)])
+def test_thinned_pairs_connect_the_same_rows_at_every_weight(spark, limit, seed):
+    spec = batch_spec(block_limit=limit)
+    rows = records(100, seed) + [(f"S{i:03d}", "crm_contacts", f"s{i // 2}@x.com" if i % 3 else None, f"55{i // 3:08d}" if i % 4 else None,
+                                  "alice", "smith", ["summit", "acme corp"][i % 2]) for i in range(80)]
+    profiles = collapse_profiles(prepare_records(staged(spark, rows), spec), spec).cache()
+    every, thin = [{(r.left_id, r.right_id): round(r.weight, 6) for r in scored_pairs(profiles.drop("profile_key"), spec, 4.0, thinned=t).collect()}
+                   for t in (False, True)]
+    assert thin.items() <= every.items() and len(thin) < len(every)
+    ids = {v for p in every for v in p}
+    for weight in set(every.values()):
+        assert groups_of(ids, [p for p in thin if thin[p] == weight]) == groups_of(ids, [p for p in every if every[p] == weight])
